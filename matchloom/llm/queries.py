@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, quality_rules, sharding
+from . import exact_dedup, mixing, ngram_join, quality_rules, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked(_table(spark, sf_dir, "documents")).drop("uid", "leads")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents")).drop("uid")
 
@@ -30,5 +34,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents")).drop("whole", "extra", "source")
 
 
-QUERIES = {f.__name__: f for f in (op6_exact_dedup, op7_sharding, op8_quality_rules, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op6_exact_dedup, op7_sharding, op8_quality_rules, op10_mixing)}
 ORACLES: dict[str, str] = {}
