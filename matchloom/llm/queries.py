@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, ngram_join, quality_rules, sharding
+from . import archives, exact_dedup, mixing, ngram_join, packing, quality_rules, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +17,15 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(_table(spark, sf_dir, "documents")).drop("uid", "leads")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed(_table(spark, sf_dir, "documents"), path, 4096, whole=False).drop("uid", "ids")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents")).drop("uid")
 
@@ -34,5 +44,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents")).drop("whole", "extra", "source")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op6_exact_dedup, op7_sharding, op8_quality_rules, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_warc, op6_exact_dedup, op7_sharding, op8_quality_rules, op10_mixing)}
 ORACLES: dict[str, str] = {}
