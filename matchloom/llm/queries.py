@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, exact_dedup, mixing, ngram_join, packing, quality_rules, sharding
+from . import archives, exact_dedup, mixing, ngram_join, packing, quality_rules, secret_scan, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,9 +40,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(_table(spark, sf_dir, "documents")).drop("uid", "host")
 
 
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scanned(_table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents")).drop("whole", "extra", "source")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_warc, op6_exact_dedup, op7_sharding, op8_quality_rules, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_warc, op6_exact_dedup, op7_sharding, op8_quality_rules, op9_secret_scans, op10_mixing)}
 ORACLES: dict[str, str] = {}
