@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, exact_dedup, mixing, ngram_join, packing, quality_rules, secret_scan, sharding
+from . import archives, exact_dedup, line_dedup, mixing, ngram_join, packing, quality_model, quality_rules, secret_scan, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,16 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.deduplicated(_table(spark, sf_dir, "documents"), with_text=False)
+    return rows.withColumn("kept_lines", F.array_join("kept", ",")).drop("kept")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality_model.judged(docs, labels, F.col("source"), F.col("lang"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents")).drop("uid")
 
@@ -48,5 +58,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents")).drop("whole", "extra", "source")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_warc, op6_exact_dedup, op7_sharding, op8_quality_rules, op9_secret_scans, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_warc, op4_line_dedup, op5_quality_classifier, op6_exact_dedup, op7_sharding, op8_quality_rules, op9_secret_scans, op10_mixing)}
 ORACLES: dict[str, str] = {}
