@@ -9,7 +9,8 @@ plus one: then two shared tokens are neighbours in both, so the index holds the
 The number of keys of a document is linear in its length.
 
 Candidates are verified by the exact intersection of their shingles (ids of 56 bits). Each document is first checked against
-one partner, the least document of most of its keys; then all candidates that are still in
+one partner, the leader of most of its keys: the document with the fewest tokens of its own, near the middle of
+a group; then all candidates that are still in
 different components are. So a key with many documents costs one pair a document and not all pairs, and yet
 no link between components is lost.
 
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
@@ -146,7 +147,7 @@ def _count(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_rows(out)]).drop_columns(["bucket"])
 
 
-_SETS = "uid long, doc_id long, size int, first long, tokens array<long>, keys array<long>"
+_SETS = "uid long, doc_id long, size int, first long, tokens array<long>, keys array<long>, parity array<long>"
 
 
 def _keys(tokens: np.ndarray, codes: np.ndarray, size: int, percent: int) -> np.ndarray:
@@ -184,19 +185,22 @@ def _gather(table: pa.Table, percent: int) -> pa.Table:
     order = np.lexsort((tokens, codes, own))
     tokens, codes, own = tokens[order], codes[order], own[order]
     ends = np.searchsorted(own, np.arange(len(sizes) + 1))
-    sets, keys = [None] * len(sizes), [None] * len(sizes)
+    sets, keys, parity = [None] * len(sizes), [None] * len(sizes), [None] * len(sizes)
     for i in np.flatnonzero(wanted).tolist():
         t, c = tokens[ends[i] : ends[i + 1]], codes[ends[i] : ends[i + 1]]
         sets[i], keys[i] = t.astype(np.int64), _keys(t, c, int(sizes[i]), percent).astype(np.int64)
+        parity[i] = np.packbits(np.bincount((t & np.uint64(255)).astype(np.int64), minlength=256) & 1).view(np.int64)
     return pa.table(
         [pa.array(np.arange(len(sizes)) + (chunk << 16), pa.int64()), pa.array(ids, pa.int64()), pa.array(sizes.astype(np.int32)), pa.array(first),
-         pa.array(sets, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
-        names=["uid", "doc_id", "size", "first", "tokens", "keys"],
+         pa.array(sets, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64())),
+         pa.array(parity, pa.list_(pa.int64()))],
+        names=["uid", "doc_id", "size", "first", "tokens", "keys", "parity"],
     )
 
 
 def token_sets(docs: DataFrame, width: int = 5, percent: int = 75, chunk_tokens: int = 2_000_000) -> DataFrame:
-    """Stored: uid, doc_id, size of the set, first (uid of the first document with the same set), tokens and keys."""
+    """Stored: uid, doc_id, size of the set, first (uid of the first document with the same set), tokens (those
+    that other documents have), keys, and the parities of the numbers of tokens in 256 classes."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2
     packed = docs.select("doc_id", "text").mapInArrow(lambda it: _spread(it, width, buckets, chunk_tokens), _PACKED)
     counted = packed.groupBy("bucket").applyInArrow(_count, _PACKED.partition(", ")[2])
@@ -211,18 +215,34 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(of("a"), "a").join(of("b"), "b").filter(close).select("a", "b")
 
 
+def _possible(x: str, y: str, percent: int) -> Column:
+    """Whether two documents can be linked: by the numbers of their tokens and of those that any other document has, and as a token
+    that only one of them has changes the parity of a class."""
+    size, most = F.col(f"{x}.size") + F.col(f"{y}.size"), F.least(f"{x}.shared", f"{y}.shared")
+    apart = size - F.col(f"{x}.shared") - F.col(f"{y}.shared")
+    for i in range(4):
+        apart += F.bit_count(F.col(f"{x}.p{i}").bitwiseXOR(F.col(f"{y}.p{i}")))
+    return (most * 100 >= (size - most) * percent) & (apart * (100 + percent) <= size * (100 - percent))
+
+
 def links(sets: DataFrame, percent: int = 75) -> DataFrame:
     """Stored: verified pairs (a, b) of uids of different sets that connect all linked documents. Not every link inside
     a component is among them."""
-    near = sets.filter(F.col("tokens").isNotNull())
-    indexed = near.select("uid", "size", F.explode(F.array_distinct("keys")).alias("key"))
-    least = indexed.groupBy("key").agg(F.min("uid").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    led = indexed.join(least, "key").filter("uid != a").groupBy("uid", "a").agg(F.count("*").alias("n"))
-    one = stored(led.groupBy("uid").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", F.col("uid").alias("b")), "first-pairs")
+    near = sets.filter(F.col("tokens").isNotNull()).withColumn("shared", F.size("tokens"))
+    near = near.select("*", *[F.col("parity")[i].alias(f"p{i}") for i in range(4)])
+    bounds = ["size", "shared", "p0", "p1", "p2", "p3"]
+    indexed = near.select("uid", *bounds, F.explode(F.array_distinct("keys")).alias("key"))
+    # a key's leader is the document with the fewest tokens of its own
+    leader = F.struct((F.col("size") - F.col("shared")).alias("own"), "uid", *bounds)
+    least = indexed.groupBy("key").agg(F.min(leader).alias("x"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    led = indexed.alias("d").join(least, "key").filter(F.col("d.uid") != F.col("x.uid")).filter(_possible("d", "x", percent))
+    led = led.groupBy("d.uid", F.col("x.uid").alias("a")).agg(F.count("*").alias("n"), F.first("x.own").alias("own"))
+    best = F.struct("n", -F.col("own"), -F.col("a"))
+    one = stored(led.groupBy("uid").agg(F.max_by("a", best).alias("a")).select("a", F.col("uid").alias("b")), "first-pairs")
     found = stored(_verified(one, near, percent), "first-links")
     labels = stored(components(found), "first-components")
-    labelled = near.select("uid", "size", "keys").join(labels.withColumnRenamed("node", "uid"), "uid", "left")
-    labelled = labelled.select("uid", "size", F.coalesce("component", "uid").alias("component"), F.explode(F.array_distinct("keys")).alias("key"))
+    labelled = near.select("uid", *bounds, "keys").join(labels.withColumnRenamed("node", "uid"), "uid", "left")
+    labelled = labelled.select("uid", *bounds, F.coalesce("component", "uid").alias("component"), F.explode(F.array_distinct("keys")).alias("key"))
     several = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
     mixed = stored(labelled.join(several, "key"), "mixed-keys")
     main = mixed.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
@@ -230,8 +250,7 @@ def links(sets: DataFrame, percent: int = 75) -> DataFrame:
     x, y = others.filter("component != main").alias("x"), others.alias("y")
     apart = F.col("x.component") != F.col("y.component")
     once = (F.col("y.component") == F.col("y.main")) | (F.col("x.uid") < F.col("y.uid"))
-    alike = (F.least("x.size", "y.size") * 100 >= F.greatest("x.size", "y.size") * percent) & apart & once
-    pairs = x.join(y, F.col("x.key") == F.col("y.key")).filter(alike)
+    pairs = x.join(y, F.col("x.key") == F.col("y.key")).filter(apart & once & _possible("x", "y", percent))
     pairs = pairs.select(F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b")).distinct()
     tested = one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return stored(found.union(_verified(pairs.join(tested, ["a", "b"], "left_anti"), near, percent)), "links")
