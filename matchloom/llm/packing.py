@@ -11,7 +11,7 @@ sums over the ranges and sums within a range. Only counts are sorted; token ids
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from . import textbytes as tb
 from .shared import hash60, stored
 
 _DIMENSIONS, _BITS = 3, 16
@@ -27,47 +28,95 @@ _TOKENS = "uid long, doc_id long, curve long, n long, ids binary"
 _PIECES = "uid long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-class Words(dict):
-    """Numbers of words, with their token ids in two flat arrays; a word is tokenized when first met. Forgets all
-    when it holds `most` words, so its memory is bounded."""
+_STOP = np.zeros(256, bool)
+_STOP[list(b".,!?|")] = True
+_ASCII = np.zeros(256, bool)
+_ASCII[97:123] = True
 
-    def __init__(self, path: str, most: int = 400_000):
+
+class Words:
+    """Token ids of words, by a hash of the word; a word is tokenized when first met. Words are lower-cased in A-Z, as the vocabulary
+    does, and one stop after a letter is a word of its own, as it is a piece of its own. Beyond `most` words the later half is
+    forgotten, so its memory is bounded."""
+
+    def __init__(self, path: str, most: int = 600_000):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.new: list[bytes] = []
-        self.clear()
-
-    def clear(self) -> None:
-        super().clear()
-        self.new.clear()
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.numbers: dict[int, int] = {}
         self.counts, self.starts, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def __missing__(self, word: bytes) -> int:
-        self.new.append(word)
-        self[word] = number = len(self)
-        return number
-
-    def ids(self, texts: list[str | None], end: int) -> list[np.ndarray]:
-        """Token ids of each text, `end` last. Blanks part tokens in this vocabulary and are dropped, so a text's ids are those of its words."""
-        if len(self) > self.most:
-            self.clear()
-        numbers = [np.fromiter(map(self.__getitem__, (t or "").encode("utf-8", "surrogatepass").split()), np.int64) for t in texts]
-        if self.new:
-            found = [x.ids for x in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in self.new], add_special_tokens=False)]
-            counts = np.array([len(x) for x in found], np.int64)
-            starts = len(self.flat) + np.cumsum(counts) - counts
-            self.counts, self.starts = np.concatenate([self.counts, counts]), np.concatenate([self.starts, starts])
-            self.flat = np.concatenate([self.flat, np.array([i for x in found for i in x], np.uint32)])
-            self.new.clear()
-        out = []
-        for n in numbers:
-            counts = self.counts[n]
-            total = int(counts.sum())
-            at = np.repeat(self.starts[n] - np.cumsum(counts) + counts, counts) + np.arange(total)
-            out.append(np.append(self.flat[at], np.uint32(end)))
-        return out
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of the words, one after the other, and their numbers."""
+        plain = np.array([w.isalpha() for w in words], bool)
+        joined = self.tokenizer.encode(" ".join(w for w, p in zip(words, plain, strict=True) if p), add_special_tokens=False).ids
+        ids = np.array(joined, np.uint32)
+        ends = np.flatnonzero(self.is_end[ids]) + 1
+        if len(ends) != plain.sum():  # a word of letters gave several pieces, or none
+            plain[:] = False
+            ids, ends = ids[:0], ends[:0]
+        counts = np.zeros(len(words), np.int64)
+        counts[plain] = np.diff(np.concatenate([[0], ends]))
+        others = [x.ids for x in self.tokenizer.encode_batch([w for w, p in zip(words, plain, strict=True) if not p], add_special_tokens=False)]
+        counts[~plain] = [len(x) for x in others]
+        flat = np.zeros(counts.sum(), np.uint32)
+        of_plain = np.repeat(plain, counts)
+        flat[of_plain] = ids
+        flat[~of_plain] = [i for x in others for i in x]
+        return flat, counts
+
+    def _number(self, hashes: np.ndarray, word: Callable[[int], bytes]) -> np.ndarray:
+        if len(self.numbers) > self.most:
+            keep = self.most // 2
+            self.numbers = {h: n for h, n in self.numbers.items() if n < keep}
+            self.counts, self.starts = self.counts[:keep], self.starts[:keep]
+            self.flat = self.flat[: self.starts[-1] + self.counts[-1]]
+        get = self.numbers.get
+        found = np.array([get(h, -1) for h in hashes.tolist()], np.int64)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            flat, counts = self._encoded([word(i).decode("utf-8", "replace") for i in new.tolist()])
+            found[new] = len(self.counts) + np.arange(len(new))
+            self.numbers.update(zip(hashes[new].tolist(), found[new].tolist(), strict=True))
+            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
+            self.counts = np.concatenate([self.counts, counts])
+            self.flat = np.concatenate([self.flat, flat])
+        return found
+
+    def ids(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of the rows of a slice, `end` after each row's, and their numbers. Blanks part tokens in this vocabulary and
+        are dropped, so a text's ids are those of its words."""
+        low = data if b"<|" in data.tobytes() else tb.LOWER[data]  # names of special tokens stay as they are
+        begins, ends, first = tb.words(low, offsets)
+        if len(begins) == 0:
+            return np.full(len(offsets) - 1, end, np.uint32), np.ones(len(offsets) - 1, np.int64)
+        parted = _STOP[low[ends - 1]] & _ASCII[low[np.maximum(ends - 2, 0)]] & (ends - begins > 1)
+        upto = np.concatenate([[0], np.cumsum(1 + parted)])
+        first = upto[first]
+        begins, ends = np.repeat(begins, 1 + parted), np.repeat(ends, 1 + parted)
+        second = upto[1:][parted] - 1
+        ends[second - 1] -= 1
+        begins[second] = ends[second] - 1
+        hashes, at, inverse = np.unique(tb.span_hash(tb.rolling(low), begins, ends), return_index=True, return_inverse=True)
+        numbers = self._number(hashes, lambda i: low[begins[at[i]] : ends[at[i]]].tobytes())[inverse]
+        counts = self.counts[numbers]
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        flat = self.flat[np.repeat(self.starts[numbers] - upto[:-1], counts) + np.arange(upto[-1])]
+        stops = upto[first]
+        return np.insert(flat, stops[1:], np.uint32(end)), np.diff(stops) + 1
+
+
+_kept: dict[str, Words] = {}
+
+
+def words_of(path: str) -> Words:
+    """One table for all tasks of a worker."""
+    if path not in _kept:
+        _kept[path] = Words(path)
+    return _kept[path]
 
 
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
@@ -97,23 +146,24 @@ def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _tokens(batches: Iterator[pa.RecordBatch], path: str, end: int, seed: int) -> Iterator[pa.RecordBatch]:
-    words = Words(path)
-    directions = np.random.default_rng(seed).standard_normal((65536, _DIMENSIONS))
+    words = words_of(path)
+    directions = np.random.default_rng(seed).standard_normal((65536, _DIMENSIONS)).astype(np.float32)
+    middle = directions.mean(0)
     uid = TaskContext.get().partitionId() << 40
     for batch in batches:
-        for lo in range(0, batch.num_rows, 256):
-            rows = batch.slice(lo, 256)
-            ids = words.ids(rows.column("text").to_pylist(), end)
-            sizes = np.array([len(x) for x in ids])
-            means = np.add.reduceat(directions[np.concatenate(ids)], np.cumsum(sizes) - sizes) / sizes[:, None]
-            middle = directions.mean(0)  # means are close to it; long texts are closer
-            place = np.tanh((means - middle) * np.sqrt(np.minimum(sizes, 256))[:, None] / 4)
+        numbers = batch.column("doc_id").cast(pa.int64())
+        for lo, hi, data, offsets in tb.slices(batch.column("text")):
+            ids, sizes = words.ids(data, offsets, end)
+            stops = np.cumsum(sizes)
+            means = np.add.reduceat(directions[ids], stops - sizes) / sizes[:, None]
+            place = np.tanh((means - middle) * np.sqrt(np.minimum(sizes, 256))[:, None] / 4)  # means of long texts lie closer
             curve = hilbert(((place + 1) / 2 * (2**_BITS - 1)).astype(np.int64), _BITS)
+            packed_ids = pa.array([x.tobytes() for x in np.split(ids.astype("<u2"), stops[:-1])], pa.binary())
             yield pa.record_batch(
-                [pa.array(range(uid, uid + len(ids)), pa.int64()), rows.column("doc_id").cast(pa.int64()), pa.array(curve), pa.array(sizes, pa.int64()),
-                 pa.array([x.astype("<u2").tobytes() for x in ids], pa.binary())], names=["uid", "doc_id", "curve", "n", "ids"],
-            )
-            uid += len(ids)
+                [pa.array(range(uid, uid + hi - lo), pa.int64()), numbers.slice(lo, hi - lo), pa.array(curve), pa.array(sizes, pa.int64()), packed_ids],
+                names=["uid", "doc_id", "curve", "n", "ids"],
+            )
+            uid += hi - lo
 
 
 def _cut(batches: Iterator[pa.RecordBatch], length: int, whole: bool) -> Iterator[pa.RecordBatch]:
