@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .shared import stored
+from .shared import keep_rows, stored
 
 _WINDOW, _LEAST, _MOST = 16, 256, 16384
 _RECIPE = "uid long, doc_id long, text_sha256 string, chunks array<struct<weak:long,size:int,sha:binary>>"
@@ -101,11 +101,7 @@ def exact_duplicates(docs: DataFrame, chunk_bits: int = 11) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, chunk_bits: int = 11) -> DataFrame:
-    """The rows of docs that exact_duplicates keeps, with all columns of docs. Rows that are alike in doc_id and text
-    count as one."""
-    found = exact_duplicates(docs, chunk_bits).filter("kept").select("doc_id", "text_sha256").distinct()
-    keys = found.select(F.col("doc_id").alias("__doc"), F.col("text_sha256").alias("__sha"))
+    """The rows of docs that exact_duplicates keeps, with all columns of docs."""
+    rows = stored(exact_duplicates(docs, chunk_bits), "duplicates")
     lowered = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    marked = docs.withColumn("__key", F.sha2(lowered, 256))
-    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__sha"))
-    return marked.join(stored(keys, "kept"), same, "left_semi").dropDuplicates(["doc_id", "__key"]).drop("__key")
+    return keep_rows(docs, rows, F.sha2(lowered, 256), "text_sha256", "kept")

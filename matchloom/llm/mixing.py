@@ -30,17 +30,18 @@ def water_fill(sizes: dict, weights: dict, total: float, most: float) -> dict:
     return targets
 
 
-def mixed(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: str = "mix") -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, whole, extra, taken.
+def mixed(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: str = "mix", numbered: bool = False) -> DataFrame:
+    """One row per document: uid (that of docs, if numbered), doc_id, source, size, source_size, target, whole, extra, taken.
 
     size counts the words; null texts have none. Sources stand by code point, null last, and take the
     weights in turn. The mix takes `whole` repetitions and then the first `extra` words. Repeated rows are rows
     of their own. The driver gets one row per source; sources are dataset names, some thousands at most.
     """
     spark = docs.sparkSession
+    uid = F.col("uid") if numbered else F.monotonically_increasing_id()
     rows = stored(
         docs.select(
-            "doc_id", "source", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"),
+            uid.alias("uid"), "doc_id", "source", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"),
             hash60(F.lit(seed), F.col("doc_id")).alias("h"),
         ), "word-counts",
     )
@@ -55,9 +56,26 @@ def mixed(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, most:
     kind = "source string, source_size long, target double, whole long, over long"
     table = spark.createDataFrame(plan, T._parse_datatype_string(kind)) if plan else spark.createDataFrame([], kind)
     blocks = blocks_for(rows.count())
-    ordered = running(rows.withColumn("block", block_of(F.col("h"), blocks)), ["source"], "block", ["h", "doc_id", "size"], F.col("size"), "before")
+    ordered = running(rows.withColumn("block", block_of(F.col("h"), blocks)), ["source"], "block", ["h", "doc_id", "size", "uid"], F.col("size"), "before")
     joined = ordered.alias("d").join(table.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")))
     extra = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("over") - F.col("before")))
     return joined.select(
-        "d.doc_id", "d.source", "size", "source_size", "target", "whole", extra.alias("extra"), (F.col("size") * F.col("whole") + extra).alias("taken")
+        "uid", "d.doc_id", "d.source", "size", "source_size", "target", "whole", extra.alias("extra"), (F.col("size") * F.col("whole") + extra).alias("taken")
     )
+
+
+def repeated(docs: DataFrame, **settings) -> DataFrame:
+    """The mix itself: the rows of docs, each as often as it is taken whole, and once more with the leading words only where so few
+    are taken (words joined by a blank; n_chars is theirs if docs has it). Columns are those of docs."""
+    texts = stored(docs.withColumn("__uid", F.monotonically_increasing_id()), "numbered")
+    plan = mixed(texts.withColumn("uid", F.col("__uid")), numbered=True, **settings).select(F.col("uid").alias("__uid"), "size", "whole", "extra")
+    plan = plan.toDF("__uid", "__size", "__whole", "__extra")
+    full = F.col("__whole") + F.when((F.col("__extra") == F.col("__size")) & (F.col("__size") > 0), 1).otherwise(0)
+    part = F.when((F.col("__extra") > 0) & (F.col("__extra") < F.col("__size")), F.array(F.col("__extra"))).otherwise(F.array().cast("array<long>"))
+    times = F.concat(F.array_repeat(F.lit(-1).cast("long"), full.cast("int")), part)  # -1: whole
+    out = texts.join(plan.withColumn("__words", times).filter(F.size("__words") > 0), "__uid").withColumn("__take", F.explode("__words"))
+    lead = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), 1, F.col("__take").cast("int")), " ")
+    out = out.withColumn("text", F.when(F.col("__take") >= 0, lead).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("__take") >= 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)

@@ -24,13 +24,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
 from .components import components
-from .shared import stored
+from .shared import keep_rows, stored
 
 #: Tokens of up to so many documents are rare.
 RARE = 32
@@ -72,6 +73,7 @@ def _spread(batches: Iterator[pa.RecordBatch], width: int, buckets: int, chunk_t
     chunk = TaskContext.get().partitionId() << 24
     held: list[np.ndarray] = []
     ids: list = []
+    texts: list[int] = []
 
     def emit() -> Iterator[pa.RecordBatch]:
         sizes = np.array([len(x) for x in held])
@@ -83,7 +85,7 @@ def _spread(batches: Iterator[pa.RecordBatch], width: int, buckets: int, chunk_t
         full = np.flatnonzero(sizes)
         yield _rows([*_by_bucket(chunk, _TOKENS, tokens, docs, buckets)])
         yield _rows([*_by_bucket(chunk, _SIGNS, signs[full], full.astype(np.uint16), buckets)])
-        yield _rows([(chunk % buckets, chunk, _HEADER, None, sizes.astype(np.uint32).tobytes(), None, ids)])
+        yield _rows([(chunk % buckets, chunk, _HEADER, None, sizes.astype(np.uint32).tobytes(), np.array(texts, np.uint64).tobytes(), ids)])
 
     for batch in batches:
         numbers = batch.column("doc_id").cast(pa.int64()).to_pylist()
@@ -92,9 +94,10 @@ def _spread(batches: Iterator[pa.RecordBatch], width: int, buckets: int, chunk_t
                 x = x >> np.uint64(8)
                 held.append(x if (x[1:] != x[:-1]).all() else np.unique(x))
             ids += numbers[lo:hi]
+            texts += [xxhash.xxh64_intdigest(data[a:b], 42) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             if sum(map(len, held)) >= chunk_tokens or len(held) >= 40_000:
                 yield from emit()
-                chunk, held, ids = chunk + 1, [], []
+                chunk, held, ids, texts = chunk + 1, [], [], []
     if held:
         yield from emit()
 
@@ -117,7 +120,7 @@ def _count(table: pa.Table) -> pa.Table:
     """One hash range: the tokens of two or more documents go back to their chunks with a code of their number, and
     documents with equal sets with the first of them."""
     rows = table.to_pydict()
-    out = [(None, rows["chunk"][i], _HEADER, None, rows["tokens"][i], None, rows["ids"][i]) for i, k in enumerate(rows["kind"]) if k == _HEADER]
+    out = [(None, rows["chunk"][i], _HEADER, None, rows["tokens"][i], rows["codes"][i], rows["ids"][i]) for i, k in enumerate(rows["kind"]) if k == _HEADER]
     tokens, uids = _documents(rows, _TOKENS)
     order = np.argsort(tokens)
     tokens, uids = tokens[order], uids[order]
@@ -147,7 +150,7 @@ def _count(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_rows(out)]).drop_columns(["bucket"])
 
 
-_SETS = "uid long, doc_id long, size int, first long, tokens array<long>, keys array<long>, parity array<long>"
+_SETS = "uid long, doc_id long, text_key long, size int, first long, tokens array<long>, keys array<long>, parity array<long>"
 
 
 def _keys(tokens: np.ndarray, codes: np.ndarray, size: int, percent: int) -> np.ndarray:
@@ -191,15 +194,15 @@ def _gather(table: pa.Table, percent: int) -> pa.Table:
         sets[i], keys[i] = t.astype(np.int64), _keys(t, c, int(sizes[i]), percent).astype(np.int64)
         parity[i] = np.packbits(np.bincount((t & np.uint64(255)).astype(np.int64), minlength=256) & 1).view(np.int64)
     return pa.table(
-        [pa.array(np.arange(len(sizes)) + (chunk << 16), pa.int64()), pa.array(ids, pa.int64()), pa.array(sizes.astype(np.int32)), pa.array(first),
+        [pa.array(np.arange(len(sizes)) + (chunk << 16), pa.int64()), pa.array(ids, pa.int64()), pa.array(np.frombuffer(rows["codes"][at], np.int64)), pa.array(sizes.astype(np.int32)), pa.array(first),
          pa.array(sets, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64())),
          pa.array(parity, pa.list_(pa.int64()))],
-        names=["uid", "doc_id", "size", "first", "tokens", "keys", "parity"],
+        names=["uid", "doc_id", "text_key", "size", "first", "tokens", "keys", "parity"],
     )
 
 
 def token_sets(docs: DataFrame, width: int = 5, percent: int = 75, chunk_tokens: int = 2_000_000) -> DataFrame:
-    """Stored: uid, doc_id, size of the set, first (uid of the first document with the same set), tokens (those
+    """Stored: uid, doc_id, text_key (xxhash64 of the text), size of the set, first (uid of the first document with the same set), tokens (those
     that other documents have), keys, and the parities of the numbers of tokens in 256 classes."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2
     packed = docs.select("doc_id", "text").mapInArrow(lambda it: _spread(it, width, buckets, chunk_tokens), _PACKED)
@@ -257,7 +260,7 @@ def links(sets: DataFrame, percent: int = 75) -> DataFrame:
 
 
 def linked(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
-    """One row per document: uid, doc_id, n_shingles, component_id (smallest doc_id reachable by links, its own included), leads.
+    """One row per document: uid, doc_id, text_key, n_shingles, component_id (smallest doc_id reachable by links, its own included), leads.
 
     Words are lower-cased in A-Z. A document's set is its distinct runs of `width` words, or the whole sequence if shorter; null, empty or blank
     texts have an empty set and are linked with nothing. Repeated rows are rows of their own. leads marks one
@@ -265,8 +268,14 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     """
     sets = token_sets(docs, width, percent)
     labels = stored(components(links(sets, percent)), "components")
-    rows = sets.select("uid", "doc_id", "size", "first").join(labels.withColumnRenamed("node", "first"), "first", "left")
+    rows = sets.select("uid", "doc_id", "text_key", "size", "first").join(labels.withColumnRenamed("node", "first"), "first", "left")
     rows = rows.withColumn("component", F.coalesce("component", "first"))
     least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.min_by("uid", F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("lead"))
     joined = rows.join(stored(least, "least"), "component")
-    return joined.select("uid", "doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id", (F.col("uid") == F.col("lead")).alias("leads"))
+    return joined.select("uid", "doc_id", "text_key", F.col("size").cast("long").alias("n_shingles"), "component_id", (F.col("uid") == F.col("lead")).alias("leads"))
+
+
+def keep_leads(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of docs that lead their components, one for each, with all columns of docs."""
+    rows = stored(linked(docs, width, percent), "linked")
+    return keep_rows(docs, rows, F.xxhash64(F.coalesce("text", F.lit(""))), "text_key", "leads")

@@ -70,7 +70,7 @@ def common_lines(rows: DataFrame, most_share: float, most_docs: int) -> DataFram
 
 
 def judged(docs: DataFrame, most_share: float = 0.1, most_docs: int = 10, least_words: int = 20, least_part: float = 0.3) -> DataFrame:
-    """One row per document: uid, doc_id, the counts, base_failed, removed_words (in boilerplate lines) and kept.
+    """One row per document: uid, doc_id, host, text_key (xxhash64 of the text), the counts, base_failed, removed_words (in boilerplate lines) and kept.
 
     A null text has no words and fails; a null source is a host of its own. Repeated rows are rows of their own and count as one text.
     base_failed: under 20 words, or over 30 % of the words in 8-word windows that the text repeats.
@@ -83,5 +83,13 @@ def judged(docs: DataFrame, most_share: float = 0.1, most_docs: int = 10, least_
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     left = F.col("n_words") - F.col("removed_words")
     depleted = (left < least_words) | (left < least_part * F.col("n_words"))
-    out = rows.drop("lines", "text_key").join(removed, "uid", "left").withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
+    out = rows.drop("lines").join(removed, "uid", "left").withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
+
+
+def accepted(docs: DataFrame, **limits) -> DataFrame:
+    """The rows of docs that are kept, with all columns of docs. A verdict depends on the host and the text only."""
+    rejected = judged(docs, **limits).filter("not kept").select(F.col("host").alias("__host"), F.col("text_key").alias("__text")).distinct()
+    same = F.col("source").eqNullSafe(F.col("__host")) & (F.col("__key") == F.col("__text"))
+    marked = docs.withColumn("__key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return marked.join(stored(rejected, "rejected"), same, "left_anti").drop("__key")

@@ -14,7 +14,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.linked(_table(spark, sf_dir, "documents")).drop("uid", "leads")
+    return ngram_join.linked(_table(spark, sf_dir, "documents")).drop("uid", "leads", "text_key")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judged(_table(spark, sf_dir, "documents")).drop("uid", "host")
+    return quality_rules.judged(_table(spark, sf_dir, "documents")).drop("uid", "host", "text_key")
 
 
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed(_table(spark, sf_dir, "documents")).drop("whole", "extra", "source")
+    return mixing.mixed(_table(spark, sf_dir, "documents")).drop("uid", "whole", "extra", "source")
 
 
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_warc, op4_line_dedup, op5_quality_classifier, op6_exact_dedup, op7_sharding, op8_quality_rules, op9_secret_scans, op10_mixing)}
