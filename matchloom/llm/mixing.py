@@ -67,15 +67,15 @@ def mixed(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, most:
 def repeated(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: the rows of docs, each as often as it is taken whole, and once more with the leading words only where so few
     are taken (words joined by a blank; n_chars is theirs if docs has it). Columns are those of docs."""
-    texts = stored(docs.withColumn("__uid", F.monotonically_increasing_id()), "numbered")
-    plan = mixed(texts.withColumn("uid", F.col("__uid")), numbered=True, **settings).select(F.col("uid").alias("__uid"), "size", "whole", "extra")
-    plan = plan.toDF("__uid", "__size", "__whole", "__extra")
-    full = F.col("__whole") + F.when((F.col("__extra") == F.col("__size")) & (F.col("__size") > 0), 1).otherwise(0)
-    part = F.when((F.col("__extra") > 0) & (F.col("__extra") < F.col("__size")), F.array(F.col("__extra"))).otherwise(F.array().cast("array<long>"))
+    texts = stored(docs.withColumn("__loom_uid", F.monotonically_increasing_id()), "numbered")
+    plan = mixed(texts.withColumn("uid", F.col("__loom_uid")), numbered=True, **settings).select(F.col("uid").alias("__loom_uid"), "size", "whole", "extra")
+    plan = plan.toDF("__loom_uid", "__loom_size", "__loom_whole", "__loom_extra")
+    full = F.col("__loom_whole") + F.when((F.col("__loom_extra") == F.col("__loom_size")) & (F.col("__loom_size") > 0), 1).otherwise(0)
+    part = F.when((F.col("__loom_extra") > 0) & (F.col("__loom_extra") < F.col("__loom_size")), F.array(F.col("__loom_extra"))).otherwise(F.array().cast("array<long>"))
     times = F.concat(F.array_repeat(F.lit(-1).cast("long"), full.cast("int")), part)  # -1: whole
-    out = texts.join(plan.withColumn("__words", times).filter(F.size("__words") > 0), "__uid").withColumn("__take", F.explode("__words"))
-    lead = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), 1, F.col("__take").cast("int")), " ")
-    out = out.withColumn("text", F.when(F.col("__take") >= 0, lead).otherwise(F.col("text")))
+    out = texts.join(plan.withColumn("__loom_words", times).filter(F.size("__loom_words") > 0), "__loom_uid").withColumn("__loom_take", F.explode("__loom_words"))
+    lead = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), 1, F.col("__loom_take").cast("int")), " ")
+    out = out.withColumn("text", F.when(F.col("__loom_take") >= 0, lead).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__take") >= 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col("__loom_take") >= 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

@@ -125,6 +125,8 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 10_000) -> tuple[
     """Weights of the features and intercepts for either class, from a sample of about most_rows labelled documents whose features the driver gets."""
     sample = labelled_sample(docs, labels, most_rows).select("doc_id", "text", *CLASSES)
     rows = sample.mapInArrow(_collected, "found binary, quality int, toxic int").toPandas()
+    if rows.empty:  # nothing is known against any document
+        return np.zeros((FEATURES, 2)), [5.0, -5.0]
     found = [np.frombuffer(x, np.int32) for x in rows["found"]]
     fits = [fit(found, rows[c].to_numpy(float)) for c in CLASSES]
     return np.stack([w for w, _ in fits], 1), [i for _, i in fits]

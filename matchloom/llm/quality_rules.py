@@ -89,7 +89,7 @@ def judged(docs: DataFrame, most_share: float = 0.1, most_docs: int = 10, least_
 
 def accepted(docs: DataFrame, **limits) -> DataFrame:
     """The rows of docs that are kept, with all columns of docs. A verdict depends on the host and the text only."""
-    rejected = judged(docs, **limits).filter("not kept").select(F.col("host").alias("__host"), F.col("text_key").alias("__text")).distinct()
-    same = F.col("source").eqNullSafe(F.col("__host")) & (F.col("__key") == F.col("__text"))
-    marked = docs.withColumn("__key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return marked.join(stored(rejected, "rejected"), same, "left_anti").drop("__key")
+    rejected = judged(docs, **limits).filter("not kept").select(F.col("host").alias("__loom_host"), F.col("text_key").alias("__loom_text")).distinct()
+    same = F.col("source").eqNullSafe(F.col("__loom_host")) & (F.col("__loom_key") == F.col("__loom_text"))
+    marked = docs.withColumn("__loom_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return marked.join(stored(rejected, "rejected"), same, "left_anti").drop("__loom_key")

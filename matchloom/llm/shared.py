@@ -75,9 +75,9 @@ def running(df: DataFrame, group: list[str], block: str, order: list, amount: Co
 def keep_rows(docs: DataFrame, rows: DataFrame, key: Column, name: str, kept: str) -> DataFrame:
     """The rows of docs whose doc_id and key are among those of rows where `kept` holds. rows: one for each row of docs, with doc_id
     and the key as `name`. Of rows alike in both, which would all come, one stays."""
-    found = rows.filter(kept).select(F.col("doc_id").alias("__doc"), F.col(name).alias("__name")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__name"))
-    out = docs.withColumn("__key", key).join(stored(found, "kept-rows"), same, "left_semi")
+    found = rows.filter(kept).select(F.col("doc_id").alias("__loom_doc"), F.col(name).alias("__loom_name")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__loom_doc")) & (F.col("__loom_key") == F.col("__loom_name"))
+    out = docs.withColumn("__loom_key", key).join(stored(found, "kept-rows"), same, "left_semi")
     if not rows.groupBy("doc_id", name).count().filter("count > 1").isEmpty():
-        out = out.dropDuplicates(["doc_id", "__key"])
-    return out.drop("__key")
+        out = out.dropDuplicates(["doc_id", "__loom_key"])
+    return out.drop("__loom_key")
