@@ -50,16 +50,25 @@ def _probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column("path"), pa.array([r is None for r in reasons]), pa.array(reasons, pa.string())], names=["file", "ok", "reason"])
 
 
+def _empty_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Shards without a byte, which Spark's readers pass over; the driver lists the folder, as they do."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.gz")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return spark.createDataFrame([(f.getPath().toString(),) for f in found if f.getLen() == 0], "file string")
+
+
 def shard_health(spark: SparkSession, folder: str) -> DataFrame:
     """file, ok, reason of each *.gz shard. A shard that does not decompress to its end is bad as a whole: Spark would keep the
     rows before the damage."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("path", "content")
-    return files.mapInArrow(_probes, "file string, ok boolean, reason string")
+    empty = _empty_shards(spark, folder).select("file", F.lit(False).alias("ok"), F.lit("empty").alias("reason"))
+    return files.mapInArrow(_probes, "file string, ok boolean, reason string").union(empty)
 
 
 def landing_summary(spark: SparkSession, folder: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder)
-    return files.agg(F.count("*").alias("shards"), F.coalesce(F.sum("length"), F.lit(0).cast("long")).alias("bytes"))
+    sizes = files.select("length").union(_empty_shards(spark, folder).select(F.lit(0).cast("long")))
+    return sizes.agg(F.count("*").alias("shards"), F.coalesce(F.sum("length"), F.lit(0).cast("long")).alias("bytes"))
 
 
 def write_landing(rows: DataFrame, folder: str) -> bool:
