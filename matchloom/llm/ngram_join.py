@@ -201,10 +201,12 @@ def _gather(table: pa.Table, percent: int) -> pa.Table:
     )
 
 
-def token_sets(docs: DataFrame, width: int = 5, percent: int = 75, chunk_tokens: int = 2_000_000) -> DataFrame:
+def token_sets(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     """Stored: uid, doc_id, text_key (xxhash64 of the text), size of the set, first (uid of the first document with the same set), tokens (those
     that other documents have), keys, and the parities of the numbers of tokens in 256 classes."""
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2
+    # hash ranges of some 30 million tokens at most, and chunks that bring some dozens to each
+    buckets = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.count() // 50_000)
+    chunk_tokens = min(16_000_000, max(2_000_000, 64 * buckets))
     packed = docs.select("doc_id", "text").mapInArrow(lambda it: _spread(it, width, buckets, chunk_tokens), _PACKED)
     counted = packed.groupBy("bucket").applyInArrow(_count, _PACKED.partition(", ")[2])
     return stored(counted.groupBy("chunk").applyInArrow(lambda t: _gather(t, percent), _SETS), "token-sets")
