@@ -34,6 +34,13 @@ def newest_patch(facts: DataFrame, patches: DataFrame) -> DataFrame:
     return newest.orderBy(F.col("newest").desc(), "patch").limit(1).select("patch", "newest", lag.alias("lag_days"), (lag > STALE_DAYS).alias("stale"))
 
 
+def patch_age(patches: DataFrame, now: int) -> DataFrame:
+    """The newest release, its day, its age in days at `now`, and whether releases are probably missing since."""
+    newest = patches.agg(F.max_by("name", F.struct("start_ts", "name")).alias("name"), F.max("start_ts").alias("start_ts"))
+    age = S.days_between(F.lit(now), F.col("start_ts"))
+    return newest.select("name", S.iso_date(F.col("start_ts")).alias("day"), age.alias("age_days"), (age > STALE_DAYS).alias("stale"))
+
+
 def version_crosscheck(raw: DataFrame, patches: DataFrame, versions: DataFrame, limit: int = 10) -> DataFrame:
     """Where the landed version id names another release than the as-of join, before the ids froze."""
     rows = asof(raw.select("startDateTime", "gameVersionId").filter(F.col("gameVersionId") < FROZEN_VERSION), patches)

@@ -630,6 +630,11 @@ def patch_source_disagreement(spark, sf):
     return dims.disagreements(first, second)
 
 
+@query(f"SELECT name, strftime(make_timestamp(start_ts * 1000000), '%Y-%m-%d') AS day, ({D.NOW} - start_ts) / 86400 AS age_days, ({D.NOW} - start_ts) / 86400 > 45 AS stale FROM ({_MERGE}) ORDER BY start_ts DESC, name DESC LIMIT 1")
+def patch_age(spark, sf):
+    return quality.patch_age(dims.merged_patches(_sources(spark, sf)), D.NOW)
+
+
 @query(f"SELECT name, start_ts, lead(start_ts) OVER (ORDER BY start_ts, name) AS end_ts FROM ({_MERGE}) QUALIFY end_ts IS NULL OR end_ts > start_ts")
 def patch_intervals(spark, sf):
     return A.intervals(dims.merged_patches(_sources(spark, sf)))
