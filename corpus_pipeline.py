@@ -1,6 +1,6 @@
 """Documents to packed training sequences.
 
-Stages, in order: quality rules (rejected documents go), exact dedup (one of equal texts stays), n-gram Jaccard join (one document of each
+Stages, in order: quality rules (rejected documents and boilerplate lines go), exact dedup (one of equal texts stays), n-gram Jaccard join (one document of each
 near-duplicate component stays), mixing of sources (documents are repeated or left out), packing. Each takes (spark, docs, sf_dir) and
 returns a DataFrame that is written and read again as the next one's docs. Documents without words fail the first stage.
 """

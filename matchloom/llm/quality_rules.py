@@ -38,22 +38,22 @@ def _repeated(hashes: Column, width: int) -> Column:
 
 
 def measured(docs: DataFrame, width: int = 8) -> DataFrame:
-    """Stored: uid, doc_id, host, text_key, counts of the base rules and lines (array of line hash and words)."""
+    """Stored: uid, doc_id, host, text_key, counts of the base rules and lines (array of line hash, words and place in the text)."""
     text = F.coalesce("text", F.lit(""))
     base = docs.select("doc_id", F.col("source").alias("host"), text.alias("text")).select(
         "*", F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)).alias("words"),
-        F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD)).alias("rows"),
+        F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(x.alias("row"), i.alias("pos"))), lambda x: x["row"].rlike(WORD)).alias("rows"),
     )
     windows = F.when(F.size("words") >= width, F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - width + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("words", i, width))))
     plain = lambda x: F.lower(F.trim(F.regexp_replace(F.regexp_replace(x, "[0-9]+", "0"), f"{BLANK}+", " ")))
-    lines = F.transform("rows", lambda x: F.struct(F.xxhash64(plain(x)).alias("line"), F.regexp_count(x, F.lit(WORD)).alias("n")))
+    lines = F.transform("rows", lambda x: F.struct(F.xxhash64(plain(x["row"])).alias("line"), F.regexp_count(x["row"], F.lit(WORD)).alias("n"), x["pos"].alias("pos")))
     wide = base.select("doc_id", "host", "text", "words", "rows", F.coalesce(windows, F.array().cast("array<long>")).alias("windows"))
     out = wide.select(
         F.monotonically_increasing_id().alias("uid"), "doc_id", "host", F.xxhash64("text").alias("text_key"),
         F.size("words").cast("long").alias("n_words"),
         F.length(F.translate("text", _BLANKS, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-        (F.size("rows") - F.size(F.array_distinct("rows"))).cast("long").alias("n_dup_lines"),
+        (F.size("rows") - F.size(F.array_distinct("rows.row"))).cast("long").alias("n_dup_lines"),
         _repeated(F.col("windows"), width).cast("long").alias("n_repeat_words"),
         lines.alias("lines"),
     )
@@ -69,17 +69,14 @@ def common_lines(rows: DataFrame, most_share: float, most_docs: int) -> DataFram
     return stored(over.select("c.host", "line"), "common-lines")
 
 
-def judged(docs: DataFrame, most_share: float = 0.1, most_docs: int = 10, least_words: int = 20, least_part: float = 0.3) -> DataFrame:
-    """One row per document: uid, doc_id, host, text_key (xxhash64 of the text), the counts, base_failed, removed_words (in boilerplate lines) and kept.
-
-    A null text has no words and fails; a null source is a host of its own. Repeated rows are rows of their own and count as one text.
-    base_failed: under 20 words, or over 30 % of the words in 8-word windows that the text repeats.
-    """
+def _verdicts(docs: DataFrame, most_share: float = 0.1, most_docs: int = 10, least_words: int = 20, least_part: float = 0.3) -> DataFrame:
+    """The rows of judged, and gone: the places of the boilerplate lines, null if there are none."""
     rows = measured(docs)
     common = common_lines(rows, most_share, most_docs)
-    each = rows.select("uid", "host", F.explode("lines").alias("l")).select("uid", "host", "l.line", "l.n")
+    each = rows.select("uid", "host", F.explode("lines").alias("l")).select("uid", "host", "l.line", "l.n", "l.pos")
     cond = F.col("e.host").eqNullSafe(F.col("c.host")) & (F.col("e.line") == F.col("c.line"))
-    removed = each.alias("e").join(common.alias("c"), cond, "left_semi").groupBy("uid").agg(F.sum("n").cast("long").alias("removed_words"))
+    found = each.alias("e").join(common.alias("c"), cond, "left_semi")
+    removed = found.groupBy("uid").agg(F.sum("n").cast("long").alias("removed_words"), F.collect_list("pos").alias("gone"))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     left = F.col("n_words") - F.col("removed_words")
     depleted = (left < least_words) | (left < least_part * F.col("n_words"))
@@ -87,9 +84,24 @@ def judged(docs: DataFrame, most_share: float = 0.1, most_docs: int = 10, least_
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
 
 
+def judged(docs: DataFrame, **limits) -> DataFrame:
+    """One row per document: uid, doc_id, host, text_key (xxhash64 of the text), the counts, base_failed, removed_words (in boilerplate lines) and kept.
+
+    A null text has no words and fails; a null source is a host of its own. Repeated rows are rows of their own and count as one text.
+    base_failed: under 20 words, or over 30 % of the words in 8-word windows that the text repeats.
+    limits: most_share and most_docs of common_lines; least_words and least_part of the words that must be left.
+    """
+    return _verdicts(docs, **limits).drop("gone")
+
+
 def accepted(docs: DataFrame, **limits) -> DataFrame:
-    """The rows of docs that are kept, with all columns of docs. A verdict depends on the host and the text only."""
-    rejected = judged(docs, **limits).filter("not kept").select(F.col("host").alias("__loom_host"), F.col("text_key").alias("__loom_text")).distinct()
+    """The rows of docs that are kept, with all columns of docs, their texts without the boilerplate lines. Lines without words stay.
+    A verdict depends on the host and the text only, as do the lines that go."""
+    touched = _verdicts(docs, **limits).filter("not kept or gone is not null").select(F.col("host").alias("__loom_host"), F.col("text_key").alias("__loom_text"), "kept", "gone")
+    verdicts = touched.groupBy("__loom_host", "__loom_text").agg(F.first(F.struct("kept", "gone")).alias("__loom_verdict"))
     same = F.col("source").eqNullSafe(F.col("__loom_host")) & (F.col("__loom_key") == F.col("__loom_text"))
     marked = docs.withColumn("__loom_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return marked.join(stored(rejected, "rejected"), same, "left_anti").drop("__loom_key")
+    left = marked.join(stored(verdicts, "verdicts"), same, "left").filter(F.coalesce("__loom_verdict.kept", F.lit(True)))
+    gone = F.col("__loom_verdict.gone")
+    stays = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(gone, i))
+    return left.withColumn("text", F.when(gone.isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))).select(*docs.columns)
