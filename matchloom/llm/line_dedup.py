@@ -7,7 +7,8 @@ only its earliest line matters, and a key with any number of lines costs one can
 Candidates are verified word by word.
 
 The variants less one word are made only for lines that have a variant less a quarter in common: a line's words but for a
-stretch of about a quarter, in four places, which together hold any edit; and only for the words of such a stretch. Distinct lines are handled once, by the place where they first occur.
+stretch of about a quarter, in four places, which together hold any edit; and only for the words of such a stretch. A variant's hash is
+made of sums over blocks of words, so that a line of n words costs n times the root of n steps at most. Distinct lines are handled once, by the place where they first occur.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ def _quarters(line: Column, n: Column) -> Column:
     return F.when(b == shorter, F.array(*keys(b))).otherwise(F.array(*keys(b), *keys(shorter)))
 
 
-def line_places(docs: DataFrame, least_words: int, most_words: int) -> DataFrame:
+def line_places(docs: DataFrame, least_words: int) -> DataFrame:
     """Stored: uid, doc_id, text_key, pos, line (hash of its words) and quarters of each line with words, and of the first line of any document, with
     a null hash if that has none. Lines that are only compared as equal or not have no quarters."""
     text = F.coalesce("text", F.lit(""))
@@ -51,7 +52,7 @@ def line_places(docs: DataFrame, least_words: int, most_words: int) -> DataFrame
     rows = rows.select("uid", "doc_id", "text_key", "pos", _plain(F.col("low")).alias("plain"))
     blanks = F.octet_length("plain") - F.octet_length(F.replace("plain", F.lit(" "), F.lit("")))
     rows = rows.select("*", (blanks + 1).alias("n"))
-    quarters = F.when(F.col("n").between(least_words - 1, most_words), _quarters(F.col("plain"), F.col("n")))
+    quarters = F.when(F.col("n") >= least_words - 1, _quarters(F.col("plain"), F.col("n")))
     return stored(rows.select("uid", "doc_id", "text_key", "pos", F.when(F.col("plain").isNotNull(), F.xxhash64("plain")).alias("line"), quarters.alias("quarters")), "line-places")
 
 
@@ -64,6 +65,14 @@ def near(a: Column, b: Column) -> Column:
     return F.when(n == m, rest(a, at + 1) == rest(b, at + 1)).when(n == m + 1, rest(a, at + 1) == rest(b, at)).when(m == n + 1, rest(a, at) == rest(b, at + 1)).otherwise(False)
 
 
+def _floor(x: Column) -> Column:
+    return F.floor(x).cast("int")
+
+
+def _xor(hashes: Column) -> Column:
+    return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(h))
+
+
 def _near_lines(docs: DataFrame, first: DataFrame, least_words: int) -> DataFrame:
     """line: the distinct lines for which an earlier one is within one edit. first: line, place, quarters."""
     blocks = first.select("line", F.posexplode("quarters").alias("quarter", "block"))
@@ -84,18 +93,30 @@ def _near_lines(docs: DataFrame, first: DataFrame, least_words: int) -> DataFram
     lines = stored(texts.join(tried, "line"), "tried-words")
     hashed = lines.select("line", "place", "without", F.size("words").alias("n"), F.transform("words", lambda w: F.xxhash64(w)).alias("w"))
     hashed = hashed.withColumn("placed", F.transform("w", lambda w, i: F.xxhash64(i, w)))
-    hashed = hashed.withColumn("whole", F.aggregate("placed", F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(h)))
+    hashed = hashed.withColumn("whole", _xor(F.col("placed")))
     # only a word in a stretch that a shared quarter leaves out can be the one that differs
     b = lambda q: F.when(q < 4, F.floor(F.col("n") / 4)).otherwise(F.floor((F.col("n") - 1) / 4)).cast("int")
     stretches = F.transform("without", lambda q: F.struct(((q % 4) * b(q)).alias("after"), (F.col("n") - (3 - q % 4) * b(q)).alias("upto")))
     hashed = hashed.withColumn("stretches", stretches)
     hashed = hashed.withColumn("at", F.filter(F.sequence(F.lit(1), F.col("n")), lambda i: F.exists("stretches", lambda r: (i > r["after"]) & (i <= r["upto"]))))
-    less = lambda i: F.concat(F.slice("w", 1, i - 1), F.slice("w", i + 1, F.col("n") - i))
-    gap = F.transform("at", lambda i: F.struct(F.xxhash64(i, F.col("n"), F.col("whole").bitwiseXOR(F.element_at("placed", i))).alias("key"), F.lit(0).alias("kind")))
-    short = F.transform("at", lambda i: F.struct(F.xxhash64(less(i)).alias("key"), F.lit(1).alias("kind")))
-    own = F.array(F.struct(F.xxhash64("w").alias("key"), F.lit(2).alias("kind")))
-    edits = F.when(F.col("n") >= least_words, F.concat(gap, short, own)).otherwise(own)
-    keys = stored(hashed.select("line", "place", F.explode(F.array_distinct(edits)).alias("k")).select("line", "place", "k.*"), "line-keys")
+    # less a word: the words before it hashed with their places, and those after it with the places they then have
+    sums = F.transform(F.sequence(F.lit(0), _floor((F.col("n") - 1) / F.col("b"))), lambda k: _xor(F.slice("turn", k * F.col("b") + 1, F.col("b"))))
+    hashed = hashed.withColumn("moved", F.transform("w", lambda w, i: F.xxhash64(i - 1, w))).withColumn("b", F.ceil(F.sqrt("n")).cast("int"))
+    hashed = hashed.withColumn("turn", F.zip_with("placed", "moved", lambda x, y: x.bitwiseXOR(y)))
+    hashed = hashed.withColumn("sums", sums).withColumn("after", _xor(F.col("moved")))
+    hashed = hashed.withColumn("before", F.transform("sums", lambda _, k: _xor(F.slice("sums", 1, k))))
+
+    def less(i: Column) -> Column:
+        block = _floor((i - 1) / F.col("b"))
+        rest = _xor(F.slice("turn", block * F.col("b") + 1, i - 1 - block * F.col("b")))
+        whole = F.element_at("before", block + 1).bitwiseXOR(rest).bitwiseXOR(F.col("after")).bitwiseXOR(F.element_at("moved", i))
+        return F.xxhash64(F.col("n") - 1, whole)
+
+    of_kind = lambda hashes, kind: F.transform(F.array_distinct(hashes), lambda h: F.struct(h.alias("key"), F.lit(kind).alias("kind")))
+    gap = of_kind(F.transform("at", lambda i: F.xxhash64(i, F.col("n"), F.col("whole").bitwiseXOR(F.element_at("placed", i)))), 0)
+    own = F.array(F.struct(F.xxhash64("n", "whole").alias("key"), F.lit(2).alias("kind")))
+    edits = F.when(F.col("n") >= least_words, F.concat(gap, of_kind(F.transform("at", less), 1), own)).otherwise(own)
+    keys = stored(hashed.select("line", "place", F.explode(edits).alias("k")).select("line", "place", "k.*"), "line-keys")
     # of a gap alike the earliest line; of a line less a word the earliest longer one, and the shorter one itself
     earliest = lambda test: F.min(F.when(test, F.struct("place", "line")))
     groups = keys.groupBy("key", (F.col("kind") > 0).alias("short")).agg(earliest(F.col("kind") != 2).alias("long_one"), earliest(F.col("kind") == 2).alias("own_one"), F.count("*").alias("n"))
@@ -108,15 +129,15 @@ def _near_lines(docs: DataFrame, first: DataFrame, least_words: int) -> DataFram
     return stored(tested.select("line").distinct(), "near-lines")
 
 
-def line_verdicts(docs: DataFrame, least_words: int = 8, most_words: int = 500) -> DataFrame:
+def line_verdicts(docs: DataFrame, least_words: int = 8) -> DataFrame:
     """Stored, a row per document: uid, doc_id, n_lines, n_equal, n_near, kept (places of the lines that stay, in order).
 
     docs: uid (unique; it is read once only), doc_id, text. A line with words goes if an earlier line, in the order of doc_id (null first), uid and place, has the
-    same words (n_equal), or else if one is within one edit (n_near); lines without words are not counted. Lines of under least_words or
-    over most_words words are compared as equal or not only; of two lines within one edit one may have a word less than least_words.
+    same words (n_equal), or else if one is within one edit (n_near); lines without words are not counted. Lines of under least_words
+    words are compared as equal or not only; of two lines within one edit one may have a word less than least_words.
     It does not matter whether the earlier line goes itself.
     """
-    rows = line_places(docs, least_words, most_words)
+    rows = line_places(docs, least_words)
     places = rows.filter("line is not null")
     place = F.struct("doc_id", "uid", "pos", "text_key")
     first = stored(places.groupBy("line").agg(F.min(place).alias("place"), F.first("quarters").alias("quarters")), "first-lines")
@@ -135,13 +156,13 @@ def line_verdicts(docs: DataFrame, least_words: int = 8, most_words: int = 500)
     )
 
 
-def deduplicated(docs: DataFrame, least_words: int = 8, most_words: int = 500, with_text: bool = True) -> DataFrame:
+def deduplicated(docs: DataFrame, least_words: int = 8, with_text: bool = True) -> DataFrame:
     """docs with the lines that stay as text, and n_lines, n_equal, n_near and kept. Lines without words stay. with_text False: doc_id and the
     verdicts only. A null text stays null and has no lines."""
     if not with_text:
-        return line_verdicts(docs.select("doc_id", "text").withColumn("uid", F.monotonically_increasing_id()), least_words, most_words).drop("uid")
+        return line_verdicts(docs.select("doc_id", "text").withColumn("uid", F.monotonically_increasing_id()), least_words).drop("uid")
     texts = stored(docs.withColumn("__loom_uid", F.monotonically_increasing_id()), "numbered")
-    verdicts = line_verdicts(texts.select(F.col("__loom_uid").alias("uid"), "doc_id", "text"), least_words, most_words)
+    verdicts = line_verdicts(texts.select(F.col("__loom_uid").alias("uid"), "doc_id", "text"), least_words)
     verdicts = verdicts.drop("doc_id").withColumnRenamed("uid", "__loom_uid")
     stays = lambda x, i: ~x.rlike(WORD) | F.array_contains("kept", i)
     clashing = [c for c in ("n_lines", "n_equal", "n_near", "kept") if c in docs.columns]
