@@ -9,11 +9,11 @@ are written as revisits. WARC files are text files of Spark's own writer, whose
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 from datetime import datetime, timezone
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,8 +80,8 @@ def _split_http(content: bytes) -> tuple[int, bytes, bytes]:
 
 
 def _pages_to_arc(batches: Iterator[pa.RecordBatch], per_file: int) -> Iterator[pa.RecordBatch]:
-    """Archives of up to per_file pages, in turn of either version."""
-    made = 0
+    """Archives of up to per_file pages, in turn of either version; named by partition and number, as rows can be repeated."""
+    made, part = 0, TaskContext.get().partitionId()
     for batch in batches:
         rows = list(zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True))
         for lo in range(0, len(rows), per_file):
@@ -93,7 +93,7 @@ def _pages_to_arc(batches: Iterator[pa.RecordBatch], per_file: int) -> Iterator[
                 address = "".join(c if c.isprintable() and c != " " else "%20" for c in url or "about:blank")
                 records.append((address, "0.0.0.0", "20240131000000", "text/html", head.encode() + payload))
             made += 1
-            name = f"pages-{uuid.uuid5(uuid.NAMESPACE_URL, str(rows[lo]))}.arc"
+            name = f"pages-{part:06}-{made:06}.arc"
             yield pa.record_batch([pa.array([name]), pa.array([write_arc(name, 1 + made % 2, records)], pa.binary())], names=["name", "content"])
 
 
@@ -149,7 +149,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def arc_to_warc(archives: DataFrame, path: str, least: int = 100, per_file: int = 2000) -> None:
-    """Writes the records of the ARC files as WARC files in the folder `path`.
+    """Writes the records of the ARC files (name, unique, and content) as WARC files in the folder `path`.
 
     Of records with equal payloads of at least `least` bytes, the one with the smallest X-Page-Id (then by file and place)
     is a response and the others revisit it; a record without that field comes after those with it. Equal means the same SHA-256 and size.
