@@ -11,7 +11,7 @@ sums over the ranges and sums within a range. Only counts are sorted; token ids
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +34,19 @@ _ASCII = np.zeros(256, bool)
 _ASCII[97:123] = True
 
 
+def _distinct(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A span of each distinct word, and for each span which of them it is. Words of one hash are told apart by their lanes and lengths."""
+    lanes, size = tb.word_lanes(data, begin, end), end - begin
+    _, at, inverse = np.unique(tb.word_hash(data, begin, end), return_index=True, return_inverse=True)
+    first = at[inverse]
+    if all((x == x[first]).all() for x in (*lanes, size)):
+        return at, inverse
+    _, at, inverse = np.unique(np.rec.fromarrays([*lanes, size]), return_index=True, return_inverse=True)
+    return at, inverse
+
+
 class Words:
-    """Token ids of words, by a hash of the word; a word is tokenized when first met. Words are lower-cased in A-Z, as the vocabulary
+    """Token ids of words, by their bytes; a word is tokenized when first met. Words are lower-cased in A-Z, as the vocabulary
     does, and one stop after a letter is a word of its own, as it is a piece of its own. Beyond `most` words the later half is
     forgotten, so its memory is bounded."""
 
@@ -46,7 +57,7 @@ class Words:
         vocabulary = self.tokenizer.get_vocab()
         self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.is_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.numbers: dict[int, int] = {}
+        self.numbers: dict[bytes, int] = {}
         self.counts, self.starts, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -68,19 +79,20 @@ class Words:
         flat[~of_plain] = [i for x in others for i in x]
         return flat, counts
 
-    def _number(self, hashes: np.ndarray, word: Callable[[int], bytes]) -> np.ndarray:
+    def _number(self, words: list[bytes]) -> np.ndarray:
         if len(self.numbers) > self.most:
             keep = self.most // 2
-            self.numbers = {h: n for h, n in self.numbers.items() if n < keep}
+            self.numbers = {w: n for w, n in self.numbers.items() if n < keep}
             self.counts, self.starts = self.counts[:keep], self.starts[:keep]
             self.flat = self.flat[: self.starts[-1] + self.counts[-1]]
         get = self.numbers.get
-        found = np.array([get(h, -1) for h in hashes.tolist()], np.int64)
+        found = np.array([get(w, -1) for w in words], np.int64)
         new = np.flatnonzero(found < 0)
         if len(new):
-            flat, counts = self._encoded([word(i).decode("utf-8", "replace") for i in new.tolist()])
+            fresh = [words[i] for i in new.tolist()]
+            flat, counts = self._encoded([w.decode("utf-8", "replace") for w in fresh])
             found[new] = len(self.counts) + np.arange(len(new))
-            self.numbers.update(zip(hashes[new].tolist(), found[new].tolist(), strict=True))
+            self.numbers.update(zip(fresh, found[new].tolist(), strict=True))
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
             self.counts = np.concatenate([self.counts, counts])
             self.flat = np.concatenate([self.flat, flat])
@@ -100,8 +112,9 @@ class Words:
         second = upto[1:][parted] - 1
         ends[second - 1] -= 1
         begins[second] = ends[second] - 1
-        hashes, at, inverse = np.unique(tb.span_hash(tb.rolling(low), begins, ends), return_index=True, return_inverse=True)
-        numbers = self._number(hashes, lambda i: low[begins[at[i]] : ends[at[i]]].tobytes())[inverse]
+        at, inverse = _distinct(low, begins, ends)
+        raw = low.tobytes()
+        numbers = self._number([raw[b:e] for b, e in zip(begins[at].tolist(), ends[at].tolist(), strict=True)])[inverse]
         counts = self.counts[numbers]
         upto = np.concatenate([[0], np.cumsum(counts)])
         flat = self.flat[np.repeat(self.starts[numbers] - upto[:-1], counts) + np.arange(upto[-1])]

@@ -46,10 +46,9 @@ def features(texts: pa.Array) -> Iterator[tuple[int, int, list[np.ndarray]]]:
     for lo, hi, data, offsets in tb.slices(texts):
         low = tb.LOWER[data]
         begins, ends = runs(low, offsets, _LETTER, 1)
-        sums = tb.rolling(low)
-        words = (tb.span_hash(sums, begins, ends) & np.uint64(_WORDS - 1)).astype(np.int64)
+        words = (tb.word_hash(low, begins, ends) & np.uint64(_WORDS - 1)).astype(np.int64)
         long = ends - begins > _STEM
-        stems = (tb.span_hash(sums, begins, np.minimum(ends, begins + _STEM)) >> np.uint64(40) & np.uint64(_WORDS - 1)).astype(np.int64)
+        stems = (tb.word_hash(low, begins, np.minimum(ends, begins + _STEM)) >> np.uint64(40) & np.uint64(_WORDS - 1)).astype(np.int64)
         at = np.searchsorted(begins, offsets)
         totals = [np.concatenate([[0], np.cumsum(m[data])]) for m in (_UPPER, _SIGN, _DIGIT)]
         out = []

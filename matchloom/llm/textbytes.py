@@ -1,7 +1,8 @@
-"""Whole Arrow batches of texts as NumPy arrays: words, rolling hashes and word shingles.
+"""Whole Arrow batches of texts as NumPy arrays: words, their hashes, word shingles and rolling hashes.
 
-Hashes are 64 bits: a polynomial over random byte values modulo 2**64, then mixed. Two different
-words of one corpus meet with a chance of about 2**-64 a pair, which is neglected throughout.
+Words are told apart by two lanes of 64 bits and their length: the bytes themselves for words of up to 16 bytes, and the
+128 bits of XXH3 for longer ones. A word's hash mixes both lanes. Rolling hashes are a polynomial modulo 2**64, which some regular strings
+share; they only choose where something is cut, and decide nothing about equality.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**64 - 1, 256, dtype=np.uint64) | np.uint64(1)
@@ -69,6 +71,34 @@ def span_hash(sums: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64) * _PLACE[63])
 
 
+#: Keeps the lowest n bytes of a lane.
+_LOW = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+
+
+def word_lanes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two lanes of each span of bytes."""
+    padded = np.zeros(len(data) + 16, np.uint8)
+    padded[: len(data)] = data
+    at = np.ndarray(len(data) + 9, "<u8", padded, 0, (1,))  # eight bytes from each place
+    size = end - begin
+    one = at[begin] & _LOW[np.minimum(size, 8)]
+    two = at[np.minimum(begin + 8, len(data))] & _LOW[np.clip(size - 8, 0, 8)]
+    long = np.flatnonzero(size > 16)
+    if len(long):
+        view, half = memoryview(padded), (1 << 64) - 1
+        digests = [xxhash.xxh3_128_intdigest(view[b:e]) for b, e in zip(begin[long].tolist(), end[long].tolist(), strict=True)]
+        one[long] = np.array([d & half for d in digests], np.uint64)
+        two[long] = np.array([d >> 64 for d in digests], np.uint64)
+    return one, two
+
+
+def word_hash(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64 bits of each span of bytes; those of up to 8 bytes never meet one another."""
+    one, two = word_lanes(data, begin, end)
+    size = (end - begin).astype(np.uint64)
+    return mix(mix(one + size * _PLACE[62]) + mix(two * _PLACE[61] + np.where(size > np.uint64(8), size, np.uint64(0))))
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begins and ends of the words, and for each row (and after the last) its first word's number."""
     n = len(data)
@@ -91,7 +121,7 @@ def word_shingles(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> list
     them all; of none, nothing."""
     data = LOWER[data]
     begins, ends, first = words(data, offsets)
-    hashes = span_hash(rolling(data), begins, ends)
+    hashes = word_hash(data, begins, ends)
     n = len(hashes)
     runs = np.zeros(max(0, n - width + 1), np.uint64)
     for j in range(width):
