@@ -10,12 +10,17 @@ The number of keys of a document is linear in its length.
 
 Candidates are verified by the exact intersection of their shingles (ids of 56 bits). Each document is first checked against
 one partner, the leader of most of its keys: the document with the fewest tokens of its own, near the middle of
-a group; then all candidates that are still in
-different components are. So a key with many documents costs one pair a document and not all pairs, and yet
-no link between components is lost.
+a group. What could still join different components is found without the pairs of a key:
 
-Tokens are shuffled as packed arrays, by hash range and then by chunk of documents. A token held by every document
-costs its range two bytes a document.
+- Keys of few documents give their pairs.
+- The documents of any other key are checked against the key's leader. For two of them that it does not link, only the
+  tokens in which they differ from the leader matter: the frequent tokens of the group are gone, and with h(x) such tokens they
+  must share at least (h(x) + h(y) - D) / 2 of them, D being the most that linked documents may differ by. So the
+  prefix method is used again on these differences, whose tokens of one document come first and use up most prefixes. As one of the two is not linked with the leader,
+  a document near the leader must share more than half of its differences.
+
+Tokens are shuffled as packed arrays, by hash range and then by chunk of documents. A token that many documents of a chunk hold is sent as
+one count a chunk, and its documents go straight to their chunk, so that no range grows with the documents of one token.
 """
 
 from __future__ import annotations
@@ -36,7 +41,11 @@ from .shared import keep_rows, stored
 #: Tokens of up to so many documents are rare.
 RARE = 32
 _PLANES = 7
-_TOKENS, _SIGNS, _HEADER, _COPIES = 0, 1, 2, 3
+_TOKENS, _SIGNS, _HEADER, _COPIES, _HOT, _LISTS = range(6)
+#: Tokens that so many documents of a chunk hold are counted in the chunk.
+_MANY = 256
+#: Bytes of text for each hash range, about a sixth as many tokens.
+_RANGE_BYTES = 100_000_000
 _PACKED = "bucket int, chunk long, kind int, docs binary, tokens binary, codes binary, ids array<long>"
 
 
@@ -59,8 +68,7 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _by_bucket(chunk: int, kind: int, tokens: np.ndarray, docs: np.ndarray, buckets: int) -> Iterator[tuple]:
-    order = np.argsort(tokens)
-    tokens, docs = tokens[order], docs[order]
+    """Rows of sorted tokens, one for each hash range."""
     bucket = ((tokens >> np.uint64(24)) * np.uint64(buckets)) >> np.uint64(32)
     edges = np.flatnonzero(np.diff(bucket)) + 1
     for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(tokens)], strict=True):
@@ -83,6 +91,17 @@ def _spread(batches: Iterator[pa.RecordBatch], width: int, buckets: int, chunk_t
         ends = np.cumsum(sizes)
         signs = tb.mix(sums[ends] - sums[ends - sizes] + sizes.astype(np.uint64)) >> np.uint64(8)
         full = np.flatnonzero(sizes)
+        full = full[np.argsort(signs[full], kind="stable")]
+        order = np.argsort(tokens, kind="stable")
+        tokens, docs = tokens[order], docs[order]
+        begins, lengths = _runs(tokens)
+        hot = lengths >= _MANY
+        if hot.any():
+            here, counts = np.repeat(hot, lengths), lengths[hot].astype(np.uint32)
+            often = tokens[begins[hot]]
+            yield _rows([*_by_bucket(chunk, _HOT, often, counts, buckets)])
+            yield _rows([(chunk % buckets, chunk, _LISTS, docs[here].tobytes(), _planes(often), counts.tobytes(), None)])
+            tokens, docs = tokens[~here], docs[~here]
         yield _rows([*_by_bucket(chunk, _TOKENS, tokens, docs, buckets)])
         yield _rows([*_by_bucket(chunk, _SIGNS, signs[full], full.astype(np.uint16), buckets)])
         yield _rows([(chunk % buckets, chunk, _HEADER, None, sizes.astype(np.uint32).tobytes(), np.array(texts, np.uint64).tobytes(), ids)])
@@ -116,17 +135,35 @@ def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begins, np.diff(np.concatenate([begins, [len(values)]]))
 
 
+def _code(counts: np.ndarray) -> np.ndarray:
+    """A number of documents in a byte: itself if rare, else by its logarithm."""
+    return np.where(counts <= RARE, counts, RARE + np.log2(np.maximum(counts, 1)).astype(np.int64)).astype(np.uint8)
+
+
 def _count(table: pa.Table) -> pa.Table:
     """One hash range: the tokens of two or more documents go back to their chunks with a code of their number, and
     documents with equal sets with the first of them."""
     rows = table.to_pydict()
-    out = [(None, rows["chunk"][i], _HEADER, None, rows["tokens"][i], rows["codes"][i], rows["ids"][i]) for i, k in enumerate(rows["kind"]) if k == _HEADER]
+    out = [(None, rows["chunk"][i], k, rows["docs"][i], rows["tokens"][i], rows["codes"][i], rows["ids"][i]) for i, k in enumerate(rows["kind"]) if k in (_HEADER, _LISTS)]
     tokens, uids = _documents(rows, _TOKENS)
     order = np.argsort(tokens)
     tokens, uids = tokens[order], uids[order]
-    _, lengths = _runs(tokens)
-    codes = np.where(lengths <= RARE, lengths, RARE + np.log2(np.maximum(lengths, 1)).astype(np.int64)).astype(np.uint8)
-    codes = np.repeat(codes, lengths)
+    begins, lengths = _runs(tokens)
+    totals = lengths.copy()
+    hot = [i for i, k in enumerate(rows["kind"]) if k == _HOT]
+    if hot:
+        each = [_values(rows["tokens"][i]) for i in hot]
+        often, which = np.unique(np.concatenate(each), return_inverse=True)
+        sums = np.zeros(len(often), np.int64)
+        np.add.at(sums, which, np.concatenate([np.frombuffer(rows["docs"][i], np.uint32) for i in hot]))
+        if len(begins):
+            at = np.minimum(np.searchsorted(tokens[begins], often), len(begins) - 1)
+            same = tokens[begins][at] == often
+            sums[same] += lengths[at[same]]
+            totals[at[same]] = sums[same]
+        for i, x in zip(hot, each, strict=True):
+            out.append((None, rows["chunk"][i], _HOT, None, rows["tokens"][i], _code(sums[np.searchsorted(often, x)]).tobytes(), None))
+    codes = np.repeat(_code(totals), lengths)
     several = codes > 1
     tokens, uids, codes = tokens[several], uids[several], codes[several]
     order = np.argsort(uids, kind="stable")  # tokens stay sorted within a document
@@ -181,6 +218,14 @@ def _gather(table: pa.Table, percent: int) -> pa.Table:
     codes = [np.frombuffer(rows["codes"][i], np.uint8) for i, k in enumerate(rows["kind"]) if k == _TOKENS]
     codes = np.concatenate(codes) if codes else np.zeros(0, np.uint8)
     own = (uids & 65535).astype(np.int64)
+    if _LISTS in rows["kind"]:
+        lists = rows["kind"].index(_LISTS)
+        often, counts = _values(rows["tokens"][lists]), np.frombuffer(rows["codes"][lists], np.uint32).astype(np.int64)
+        hot = [i for i, k in enumerate(rows["kind"]) if k == _HOT]
+        told = np.concatenate([_values(rows["tokens"][i]) for i in hot])
+        code = np.concatenate([np.frombuffer(rows["codes"][i], np.uint8) for i in hot])[np.argsort(told)]  # of the same tokens, sorted
+        tokens, codes = np.concatenate([tokens, np.repeat(often, counts)]), np.concatenate([codes, np.repeat(code, counts)])
+        own = np.concatenate([own, np.frombuffer(rows["docs"][lists], np.uint16).astype(np.int64)])
     shared = np.bincount(own, minlength=len(sizes))
     wanted = (first & 65535 == np.arange(len(sizes))) & (first >> 16 == chunk) & (shared * 100 >= sizes.astype(np.int64) * percent) & (sizes > 0)
     keep = wanted[own]
@@ -204,8 +249,9 @@ def _gather(table: pa.Table, percent: int) -> pa.Table:
 def token_sets(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     """Stored: uid, doc_id, text_key (xxhash64 of the text), size of the set, first (uid of the first document with the same set), tokens (those
     that other documents have), keys, and the parities of the numbers of tokens in 256 classes."""
-    # hash ranges of some 30 million tokens at most, and chunks that bring some dozens to each
-    buckets = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.count() // 50_000)
+    # hash ranges of some 20 million tokens, and chunks that bring some dozens to each
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // _RANGE_BYTES)
     chunk_tokens = min(16_000_000, max(2_000_000, 64 * buckets))
     packed = docs.select("doc_id", "text").mapInArrow(lambda it: _spread(it, width, buckets, chunk_tokens), _PACKED)
     counted = packed.groupBy("bucket").applyInArrow(_count, _PACKED.partition(", ")[2])
@@ -248,17 +294,63 @@ def links(sets: DataFrame, percent: int = 75) -> DataFrame:
     labels = stored(components(found), "first-components")
     labelled = near.select("uid", *bounds, "keys").join(labels.withColumnRenamed("node", "uid"), "uid", "left")
     labelled = labelled.select("uid", *bounds, F.coalesce("component", "uid").alias("component"), F.explode(F.array_distinct("keys")).alias("key"))
-    several = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
+    several = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"), F.min(F.struct((F.col("size") - F.col("shared")).alias("own"), "uid")).alias("lead"))
+    several = several.filter("x < y").select("key", "n", F.col("lead.uid").alias("c"))
     mixed = stored(labelled.join(several, "key"), "mixed-keys")
-    main = mixed.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
-    others = mixed.join(stored(main, "main-components"), "key")
-    x, y = others.filter("component != main").alias("x"), others.alias("y")
-    apart = F.col("x.component") != F.col("y.component")
-    once = (F.col("y.component") == F.col("y.main")) | (F.col("x.uid") < F.col("y.uid"))
-    pairs = x.join(y, F.col("x.key") == F.col("y.key")).filter(apart & once & _possible("x", "y", percent))
-    pairs = pairs.select(F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b")).distinct()
+    few = mixed.filter(F.col("n") <= RARE)
+    pairs = few.alias("x").join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.uid") < F.col("y.uid")) & (F.col("x.component") != F.col("y.component")) & _possible("x", "y", percent))
+    pairs = stored(pairs.select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b")).distinct(), "few-pairs")
+    around, apart = _around_leaders(mixed.filter((F.col("n") > RARE) & (F.col("uid") != F.col("c"))), near, percent)
     tested = one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return stored(found.union(_verified(pairs.join(tested, ["a", "b"], "left_anti"), near, percent)), "links")
+    left = stored(pairs.union(apart).distinct(), "pairs").join(tested, ["a", "b"], "left_anti")
+    return stored(found.union(around).union(_verified(left, near, percent)), "links")
+
+
+def _around_leaders(rows: DataFrame, near: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links of documents with the leaders c of their keys, and pairs (a, b) that can be linked and are not both linked with a leader.
+
+    rows: uid, c and component for each key of more than a few documents. For a leader with tokens t that any other document has, a document's
+    differences are the tokens that it has and t has not, or the other way round; `h` is their number. Of two documents that are linked, at most
+    D tokens are in one only; they share at least (h + h' - D) / 2 of their differences. Tokens that only one document of the leader's has as a
+    difference come first in the order, then rare ones.
+    """
+    ratio = (100 - percent) / (100 + percent)
+    members = rows.select("c", "uid", "component").distinct()
+    of = near.select("uid", "size", "tokens")
+    joined = members.join(of, "uid").join(of.toDF("c", "size_c", "tokens_c"), "c")
+    fresh, gone = F.array_except("tokens", "tokens_c"), F.array_except("tokens_c", "tokens")
+    joined = joined.withColumn("fresh", fresh).withColumn("diffs", F.concat("fresh", gone)).withColumn("both", F.size("tokens") - F.size("fresh"))
+    joined = joined.select(
+        "c", "uid", "component", "size", "size_c", "diffs", (F.size("diffs") + F.col("size") - F.size("tokens")).alias("h"),
+        (F.col("size_c") - F.size("tokens_c")).alias("own_c"), (100 * F.col("both") >= percent * (F.col("size") + F.col("size_c") - F.col("both"))).alias("linked"),
+    )
+    joined = stored(joined, "around-leaders")
+    around = joined.filter("linked").select(F.col("c").alias("a"), F.col("uid").alias("b"))
+    # where all are linked with the leader, nothing is left to find
+    groups = stored(joined.groupBy("c").agg(F.min("h").alias("least_h"), F.max("size").alias("most"), F.min("linked").alias("all_linked")).filter("not all_linked").drop("all_linked"), "leader-groups")
+    open_rows = joined.join(groups, "c")
+    reach = ratio * (F.col("size") + F.least(F.col("most").cast("double"), F.col("size") * 100 / percent))  # D at most
+    near_one = (F.col("h") - F.col("own_c") + ratio * (F.col("size_c") - F.col("size"))) / 2  # the other one is not linked with the leader
+    far_one = F.greatest(F.col("h") - reach, (F.col("h") + F.col("least_h") - reach) / 2)
+    needed = F.greatest(F.lit(1), F.ceil(F.when(F.col("linked"), near_one).otherwise(far_one) - 1e-6))
+    open_rows = open_rows.withColumn("needed", needed.cast("int")).withColumn("reach", reach)
+    each = open_rows.select("c", "uid", F.explode("diffs").alias("token"))
+    counts = each.groupBy("c", "token").agg(F.count("*").alias("n")).filter("n > 1")
+    ordered = each.join(counts, ["c", "token"]).groupBy("c", "uid").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("order"))  # no longer than two documents
+    kept = ["c", "uid", "component", "size", "h", "linked"]
+    indexed = open_rows.join(ordered, ["c", "uid"]).withColumn("sh", F.size("order")).filter("sh >= needed")
+    indexed = indexed.select(*kept, "sh", F.posexplode(F.slice("order", 1, F.col("sh") - F.col("needed") + 1)).alias("pos", "x")).select(*kept, "sh", "pos", F.col("x.token").alias("token"))
+    # a leader's own tokens are left out of the differences; so documents that differ from it by hardly more can be linked with hardly linked ones without a shared difference
+    close = F.when(F.col("linked"), F.col("h") * (1 - ratio) <= F.col("own_c") + 1).otherwise(F.col("h") <= F.col("reach"))
+    bare = open_rows.filter(F.col("own_c") > 0).filter(close).select(*kept, F.lit(None).cast("int").alias("sh"), F.lit(0).alias("pos"), F.lit(None).cast("long").alias("token"))
+    indexed = stored(indexed.union(bare), "difference-index")
+    x, y = indexed.filter("not linked").alias("x"), indexed.alias("y")
+    once = F.col("y.linked") | (F.col("x.uid") < F.col("y.uid"))
+    most = F.coalesce(F.least(F.col("x.sh") - F.col("x.pos"), F.col("y.sh") - F.col("y.pos")), F.lit(0))
+    can = (F.col("x.h") + F.col("y.h") - 2 * most) * (100 + percent) <= (100 - percent) * (F.col("x.size") + F.col("y.size"))
+    same = (F.col("x.c") == F.col("y.c")) & F.col("x.token").eqNullSafe(F.col("y.token")) & (F.col("x.uid") != F.col("y.uid"))
+    pairs = x.join(y, same & once & (F.col("x.component") != F.col("y.component")) & can)
+    return around, pairs.select(F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b")).distinct()
 
 
 def linked(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
@@ -266,8 +358,11 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
 
     Words are lower-cased in A-Z. A document's set is its distinct runs of `width` words, or the whole sequence if shorter; null, empty or blank
     texts have an empty set and are linked with nothing. Repeated rows are rows of their own. leads marks one
-    document of each component: one with that doc_id. A null doc_id is passed over unless there is no other.
+    document of each component: one with that doc_id. A null doc_id is passed over unless there is no other. Very long texts are taken whole; columns
+    besides doc_id and text are not read. percent: 67 or more, as below it two linked documents need not share neighbouring tokens.
     """
+    if percent < 67:
+        raise ValueError("percent must be 67 or more")
     sets = token_sets(docs, width, percent)
     labels = stored(components(links(sets, percent)), "components")
     rows = sets.select("uid", "doc_id", "text_key", "size", "first").join(labels.withColumnRenamed("node", "first"), "first", "left")
