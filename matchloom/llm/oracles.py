@@ -43,14 +43,14 @@ w AS (SELECT doc_id, text, regexp_extract_all(text, {_WORD}) AS ws FROM d),
 win AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8)),
 rep AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1),
 cov AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS j FROM rep) GROUP BY doc_id),
-l AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM d),
+l AS (SELECT doc_id, source, text, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line FROM d),
 k AS (SELECT *, len(regexp_extract_all(line, {_WORD})) AS n, lower(trim(regexp_replace(regexp_replace(line, '[0-9]+', '0', 'g'), {_BLANK}, ' ', 'g'))) AS plain FROM l WHERE regexp_matches(line, {_WORD})),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM k GROUP BY doc_id),
 hosts AS (SELECT source, count(DISTINCT text) AS texts FROM d GROUP BY source),
-common AS (SELECT k.source, plain FROM k JOIN hosts h ON h.source IS NOT DISTINCT FROM k.source GROUP BY k.source, plain, texts HAVING count(DISTINCT text) > 10 AND count(DISTINCT text) > 0.1 * texts),
-gone AS (SELECT doc_id, sum(n) AS n FROM k WHERE EXISTS (SELECT 1 FROM common c WHERE c.source IS NOT DISTINCT FROM k.source AND c.plain = k.plain) GROUP BY doc_id),
+common AS (SELECT k.source, plain FROM k JOIN hosts h ON h.source IS NOT DISTINCT FROM k.source GROUP BY k.source, plain, texts HAVING count(DISTINCT text) > 10 AND count(DISTINCT text) > 0.01 * texts),
+gone AS (SELECT doc_id, sum(n) AS n, string_agg(pos, ',' ORDER BY pos) AS places FROM k WHERE EXISTS (SELECT 1 FROM common c WHERE c.source IS NOT DISTINCT FROM k.source AND c.plain = k.plain) GROUP BY doc_id),
 b AS (SELECT w.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
-coalesce(dup.n, 0) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words, CAST(coalesce(gone.n, 0) AS BIGINT) AS removed_words
+coalesce(dup.n, 0) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words, CAST(coalesce(gone.n, 0) AS BIGINT) AS removed_words, coalesce(gone.places, '') AS removed_lines
 FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN cov USING (doc_id) LEFT JOIN gone USING (doc_id)),
 v AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b)
 SELECT *, NOT base_failed AND n_words - removed_words >= 20 AND n_words - removed_words >= 0.3 * n_words AS kept FROM v""",

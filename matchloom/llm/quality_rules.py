@@ -1,9 +1,9 @@
 """Quality rules with cross-document line frequency. DataFrame functions only.
 
 Lines are lower-cased, their blanks and digits made alike, and hashed. For each host a line's documents are counted, copies of one
-text once; a line in more than a share of the host's texts is boilerplate and goes. A document
-that keeps too few words or too small a part of them is depleted and rejected, as is one that fails the base
-rules.
+text once, as else a text with some copies in its host would be taken for boilerplate as a whole and all of its copies go. A line in more
+documents than the limits allow is boilerplate and is taken out of the texts. A document that keeps too few words or too small a part of them
+is depleted and rejected, as is one that fails the base rules.
 """
 
 from __future__ import annotations
@@ -69,7 +69,7 @@ def common_lines(rows: DataFrame, most_share: float, most_docs: int) -> DataFram
     return stored(over.select("c.host", "line"), "common-lines")
 
 
-def _verdicts(docs: DataFrame, most_share: float = 0.1, most_docs: int = 10, least_words: int = 20, least_part: float = 0.3) -> DataFrame:
+def _verdicts(docs: DataFrame, most_share: float = 0.01, most_docs: int = 10, least_words: int = 20, least_part: float = 0.3) -> DataFrame:
     """The rows of judged, and gone: the places of the boilerplate lines, null if there are none."""
     rows = measured(docs)
     common = common_lines(rows, most_share, most_docs)
@@ -88,15 +88,19 @@ def judged(docs: DataFrame, **limits) -> DataFrame:
     """One row per document: uid, doc_id, host, text_key (xxhash64 of the text), the counts, base_failed, removed_words (in boilerplate lines) and kept.
 
     A null text has no words and fails; a null source is a host of its own. Repeated rows are rows of their own and count as one text.
-    base_failed: under 20 words, or over 30 % of the words in 8-word windows that the text repeats.
-    limits: most_share and most_docs of common_lines; least_words and least_part of the words that must be left.
+    Texts are taken whole at any length, and columns besides doc_id, text and source are not read.
+    base_failed: under 20 words, or over 30 % of the words in 8-word windows that the text repeats. removed_lines: the places of the
+    boilerplate lines, from 0, joined by commas.
+    limits: a line is boilerplate in over most_docs (10) texts of its host and over most_share (0.01) of them; least_words (20) and
+    least_part (0.3) of the words must be left.
     """
-    return _verdicts(docs, **limits).drop("gone")
+    rows = _verdicts(docs, **limits)
+    return rows.withColumn("removed_lines", F.coalesce(F.array_join(F.array_sort("gone"), ","), F.lit(""))).drop("gone")
 
 
 def accepted(docs: DataFrame, **limits) -> DataFrame:
-    """The rows of docs that are kept, with all columns of docs, their texts without the boilerplate lines. Lines without words stay.
-    A verdict depends on the host and the text only, as do the lines that go."""
+    """The rows of docs that are kept, with all columns of docs, their texts without the boilerplate lines. Lines without words stay; n_chars, if docs
+    has it, follows the text. A verdict depends on the host and the text only, as do the lines that go, so repeated rows go or stay together."""
     touched = _verdicts(docs, **limits).filter("not kept or gone is not null").select(F.col("host").alias("__loom_host"), F.col("text_key").alias("__loom_text"), "kept", "gone")
     verdicts = touched.groupBy("__loom_host", "__loom_text").agg(F.first(F.struct("kept", "gone")).alias("__loom_verdict"))
     same = F.col("source").eqNullSafe(F.col("__loom_host")) & (F.col("__loom_key") == F.col("__loom_text"))
@@ -104,4 +108,7 @@ def accepted(docs: DataFrame, **limits) -> DataFrame:
     left = marked.join(stored(verdicts, "verdicts"), same, "left").filter(F.coalesce("__loom_verdict.kept", F.lit(True)))
     gone = F.col("__loom_verdict.gone")
     stays = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(gone, i))
-    return left.withColumn("text", F.when(gone.isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))).select(*docs.columns)
+    left = left.withColumn("text", F.when(gone.isNull(), F.col("text")).otherwise(F.array_join(stays, "\n")))
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.when(gone.isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return left.select(*docs.columns)

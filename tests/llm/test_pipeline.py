@@ -22,26 +22,36 @@ def ascii_lower(text):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
 
 
+def plain(line):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", re.sub("[0-9]+", "0", line)).strip(" ").lower()
+
+
+def is_common(texts, all_texts):
+    return len(texts) > 10 and len(texts) > 0.01 * len(all_texts)
+
+
 def by_rules(rows):
-    plain = lambda x: re.sub(r"[\x20\x09-\x0D]+", " ", re.sub("[0-9]+", "0", x)).strip(" ").lower()
+    """The rows that stay, their texts as they were, and as the stage hands them on."""
     lines = {t: [x for x in t.split("\n") if WORD.search(x)] for _, t, _ in rows}
     texts, seen = defaultdict(set), defaultdict(set)
     for _, t, s in rows:
         texts[s].add(t)
         for x in lines[t]:
             seen[s, plain(x)].add(t)
-    kept = []
+    kept, cleaned = [], []
     for row in rows:
-        _, t, s = row
+        d, t, s = row
+        goes = lambda x: is_common(seen[s, plain(x)], texts[s])  # noqa: B023, E731
         words = WORD.findall(t)
         windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
         many = Counter(windows)
         inside = {j for i, w in enumerate(windows) if many[w] > 1 for j in range(i, i + 8)}
-        gone = sum(len(WORD.findall(x)) for x in lines[t] if len(seen[s, plain(x)]) > 10 and len(seen[s, plain(x)]) > 0.1 * len(texts[s]))
+        gone = sum(len(WORD.findall(x)) for x in lines[t] if goes(x))
         left = len(words) - gone
         if len(words) >= 20 and 100 * len(inside) <= 30 * len(words) and left >= 20 and left >= 0.3 * len(words):
             kept.append(row)
-    return kept
+            cleaned.append((d, "\n".join(x for x in t.split("\n") if not goes(x)), s))
+    return kept, cleaned
 
 
 def by_copies(rows):
@@ -92,7 +102,7 @@ def tables(spark, tmp_path_factory):
 def test_rows(spark, tables):
     pipeline = pytest.importorskip("corpus_pipeline")
     path, rows = tables
-    want = mixed(by_near_copies(by_copies(by_rules(rows))))
+    want = mixed(by_near_copies(by_copies(by_rules(rows)[1])))
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     ids = {d: [*tokenizer.encode(t, add_special_tokens=False).ids, 2] for d, t in want}
     lengths = sorted((d, len([*tokenizer.encode(t, add_special_tokens=False).ids, 2])) for d, t in want)
