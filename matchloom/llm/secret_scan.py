@@ -1,8 +1,8 @@
 """Secret scans: fixed patterns, and character Markov models of random strings and ordinary identifiers.
 
 Two first-order models over the characters of keys are trained from labelled samples: random strings are what the fixed
-patterns find, ordinary ones the other words. A run of key characters is a secret if its log-likelihood ratio is high
-enough in all and for each character.
+patterns find, ordinary ones the other runs of key characters of any length that change between capitals, small letters and digits seldom. In every run, of any length and also where a fixed pattern has found something, the
+stretch with the highest log-likelihood ratio is taken, then those left and right of it: a key that stands behind a path or a name is not averaged with it.
 """
 
 from __future__ import annotations
@@ -37,7 +37,10 @@ _IN_HEX[list(b"0123456789abcdef")] = True
 _STATE = np.zeros(256, np.int64)
 _STATE[list(_KEY)] = np.arange(1, len(_KEY) + 1)
 _STATES = len(_KEY) + 1
-_LEAST_RUN = 20
+_SIGNS = b"+/_=-"
+#: Capitals 1, small letters 2, digits 3, signs 0.
+_CASE = np.zeros(256, np.int8)
+_CASE[65:91], _CASE[97:123], _CASE[48:58] = 1, 2, 3
 
 
 def runs(data: np.ndarray, offsets: np.ndarray, member: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,46 +79,73 @@ def _points(raw: bytes, places: list[int]) -> dict[int, int]:
     return out
 
 
-def _found(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, list, list]]:
-    """For each slice of rows: first and last row, bytes, and for each row its base spans and its other runs of key characters,
-    (start, end, byte begin, byte end)."""
+def _found(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list, list]]:
+    """For each slice of rows: first and last row, bytes, offsets of the rows, and for each row its text and its base spans."""
     for lo, hi, data, offsets in tb.slices(texts):
-        hexes, keys = runs(data, offsets, _IN_HEX, PATTERNS[2][3]), runs(data, offsets, _IN_KEY, _LEAST_RUN)
-        bases, others = [], []
+        begins, ends = runs(data, offsets, _IN_HEX, PATTERNS[2][3])
+        at = np.searchsorted(begins, offsets)
+        raws, bases = [], []
         for i in range(hi - lo):
             a, b = int(offsets[i]), int(offsets[i + 1])
             raw = data[a:b].tobytes()
-            own = [[(int(x) - a, int(y) - a) for x, y in zip(s[np.searchsorted(s, a) : np.searchsorted(s, b)], e[np.searchsorted(s, a) : np.searchsorted(s, b)], strict=True)] for s, e in (hexes, keys)]
-            point = _points(raw, [p for spans in own for s in spans for p in s])
-            base = base_spans(raw.decode("utf-8"), [(point[x], point[y]) for x, y in own[0]])
-            free = [(point[x], point[y], a + x, a + y) for x, y in own[1] if not any(s < point[y] and point[x] < e for s, e, _ in base)]
-            bases.append(base)
-            others.append(free)
-        yield lo, hi, data, bases, others
+            hexes = [(int(x) - a, int(y) - a) for x, y in zip(begins[at[i] : at[i + 1]], ends[at[i] : at[i + 1]], strict=True)]
+            point = _points(raw, [p for span in hexes for p in span])
+            bases.append(base_spans(raw.decode("utf-8"), [(point[x], point[y]) for x, y in hexes]))
+            raws.append(raw)
+        yield lo, hi, data, offsets, raws, bases
+
+
+def _states(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which bytes lie in the runs, and states before and at each of these."""
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[begins] += 1
+    edge[ends] -= 1  # runs are apart, or at the edge of rows, where both meet
+    inside = np.cumsum(edge[:-1], dtype=np.int8) > 0
+    states = np.where(inside, _STATE[data], 0)
+    before = np.zeros_like(states)
+    before[1:] = states[:-1]
+    before[begins] = 0
+    return inside, before[inside], states[inside]
+
+
+def _covered(offsets: np.ndarray, raws: list[bytes], bases: list) -> np.ndarray:
+    """Which bytes lie in base spans."""
+    out = np.zeros(int(offsets[-1]), bool)
+    for i, (raw, base) in enumerate(zip(raws, bases, strict=True)):
+        if base:
+            text = raw.decode("utf-8") if not raw.isascii() else None
+            place = lambda p: p if text is None else len(text[:p].encode())  # noqa: B023, E731
+            for s, e, _ in base:
+                out[offsets[i] + place(s) : offsets[i] + place(e)] = True
+    return out
+
+
+def _ordinary(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether each run starts a new piece of capitals, small letters (with one capital before them) or digits at most once in four characters."""
+    case = _CASE[data]
+    before = np.concatenate([[0], case[:-1]])
+    before[begins[begins < len(data)]] = 0
+    fresh = (case != before) & (case > 0) & ~((before == 1) & (case == 2))
+    pieces = np.concatenate([[0], np.cumsum(fresh)])
+    return 4 * (pieces[ends] - pieces[begins] - 1) <= ends - begins
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of neighbouring characters in what the patterns find (label 1) and in the other words (0)."""
+    """Pairs of neighbouring characters in what the patterns find (label 1) and in the ordinary runs of key characters that they do not touch (0)."""
     counts = np.zeros((2, _STATES, _STATES), np.int64)
     for batch in batches:
-        texts = batch.column("text")
-        for lo, hi, data, bases, _ in _found(texts):
-            secrets = []
-            for text, base in zip(texts.slice(lo, hi - lo).to_pylist(), bases, strict=True):
-                secrets += [re.split(r"[:=]\s*[\"']?", text[s:e], maxsplit=1)[-1] if k == 0 else text[s:e] for s, e, k in base]
-            for s in secrets:
-                states = _STATE[np.frombuffer(s.encode(), np.uint8)]
-                np.add.at(counts[1], (np.concatenate([[0], states[:-1]]), states), 1)
-            begins, ends = runs(data, np.zeros(1, np.int64), _IN_KEY, 2)
-            plain = ends - begins < 16
-            begins, ends = begins[plain], ends[plain]
-            inside = np.zeros(len(data) + 1, np.int64)
-            np.add.at(inside, begins, 1)
-            np.add.at(inside, ends, -1)
-            inside = np.cumsum(inside[:-1]) > 0
-            states = np.where(inside, _STATE[data], 0)
-            pair = np.concatenate([[0], states[:-1]])[inside] * _STATES + states[inside]
-            counts[0] += np.bincount(pair, minlength=_STATES * _STATES).reshape(_STATES, _STATES)
+        for _, _, data, offsets, raws, bases in _found(batch.column("text")):
+            for raw, base in zip(raws, bases, strict=True):
+                text = raw.decode("utf-8") if base else ""
+                for s, e, k in base:
+                    secret = re.split(r"[:=]\s*[\"']?", text[s:e], maxsplit=1)[-1] if k == 0 else text[s:e]
+                    states = _STATE[np.frombuffer(secret.encode(), np.uint8)]
+                    np.add.at(counts[1], (np.concatenate([[0], states[:-1]]), states), 1)
+            begins, ends = runs(data, offsets, _IN_KEY, 1)
+            sums = np.concatenate([[0], np.cumsum(_covered(offsets, raws, bases))])
+            plain = (sums[begins] == sums[ends]) & _ordinary(data, begins, ends)
+            _, before, after = _states(data, begins[plain], ends[plain])
+            counts[0] += np.bincount(before * _STATES + after, minlength=_STATES * _STATES).reshape(_STATES, _STATES)
     label, before, after = np.nonzero(counts)
     columns = [pa.array(x.astype(np.int32)) for x in (label, before, after)] + [pa.array(counts[label, before, after])]
     yield pa.record_batch(columns, names=["label", "before", "after", "n"])
@@ -138,21 +168,59 @@ def train(docs: DataFrame, most_rows: int = 20_000, strength: float = 20.0) -> n
     return logs[1] - logs[0]
 
 
+def stretches(run: bytes, ratio: np.ndarray, least_total: float, least_mean: float) -> list[tuple[int, int]]:
+    """Begins and ends of the random stretches of a run of key characters: the stretch with the highest sum of ratios, widened to the signs around it, if the
+    sum is least_total and least_mean for each of its characters, or more; then those of what is left and right of it."""
+    states = _STATE[np.frombuffer(run, np.uint8)]
+    steps = ratio[np.concatenate([[0], states[:-1]]), states]
+    sums = np.concatenate([[0.0], np.cumsum(steps)])
+    found, left = [], [(0, len(run))]
+    while left:
+        a, b = left.pop()
+        own = sums[a : b + 1]
+        least = np.minimum.accumulate(own)
+        end = int(np.argmax(own - least))
+        begin = int(np.argmin(own[: end + 1]))
+        if own[end] - own[begin] < least_total:
+            continue
+        begin, end = a + begin, a + end
+        total, size = sums[end] - sums[begin], end - begin
+        while begin > a and run[begin - 1] not in _SIGNS:
+            begin -= 1
+        while end < b and run[end] not in _SIGNS:
+            end += 1
+        if total >= least_mean * size:
+            found.append((begin, end))
+        left += [(a, begin), (end, b)]
+    return sorted(found)
+
+
 def _scan(batches: Iterator[pa.RecordBatch], ratio: np.ndarray, least_total: float, least_mean: float) -> Iterator[pa.RecordBatch]:
+    gains = np.maximum(ratio, 0)
+    text_of = lambda xs: ",".join(f"{KINDS[k]}:{s}:{e}" for s, e, k in xs)
     for batch in batches:
         ids = batch.column("doc_id").cast(pa.int64())
-        for lo, hi, data, bases, others in _found(batch.column("text")):
+        for lo, hi, data, offsets, raws, bases in _found(batch.column("text")):
+            begins, ends = runs(data, offsets, _IN_KEY, 1)
+            inside, before, after = _states(data, begins, ends)
+            upto = np.concatenate([[0.0], np.cumsum(gains[before, after])])
+            size = np.concatenate([[0], np.cumsum(inside)])
+            hopeful = np.flatnonzero(upto[size[ends]] - upto[size[begins]] >= least_total - 1e-6)
+            row = np.searchsorted(offsets, begins[hopeful], "right") - 1
+            more: dict[int, list] = {}
+            for i, a, b in zip(row.tolist(), begins[hopeful].tolist(), ends[hopeful].tolist(), strict=True):
+                at = a - int(offsets[i])
+                more.setdefault(i, []).extend((at + x, at + y) for x, y in stretches(data[a:b].tobytes(), ratio, least_total, least_mean))
             rows = []
-            for base, free in zip(bases, others, strict=True):
+            for i, base in enumerate(bases):
                 spans = list(base)
-                for start, end, a, b in free:
-                    states = _STATE[data[a:b]]
-                    score = float(ratio[np.concatenate([[0], states[:-1]]), states].sum())
-                    if score >= least_total and score >= least_mean * (b - a):
-                        spans.append((start, end, 3))
-                text = lambda xs: ",".join(f"{KINDS[k]}:{s}:{e}" for s, e, k in xs)
-                counts = [sum(k == i for _, _, k in spans) for i in range(4)]
-                rows.append((*counts, hashlib.sha256(text(base).encode()).hexdigest(), text(sorted(spans, key=lambda x: (x[0], x[2], x[1])))))
+                if more.get(i):
+                    point = _points(raws[i], [p for span in more[i] for p in span])
+                    hidden = {p for s, e, _ in base for p in range(s, e)}
+                    own = [(point[a], point[b]) for a, b in more[i]]
+                    spans += [(s, e, 3) for s, e in own if not all(p in hidden for p in range(s, e))]
+                counts = [sum(k == n for _, _, k in spans) for n in range(4)]
+                rows.append((*counts, hashlib.sha256(text_of(base).encode()).hexdigest(), text_of(sorted(spans, key=lambda x: (x[0], x[2], x[1])))))
             kinds = [pa.int64()] * 4 + [pa.string()] * 2
             names = ["n_assign", "n_access", "n_hex", "n_markov", "base_sha256", "spans"]
             yield pa.record_batch([ids.slice(lo, hi - lo), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))], names=["doc_id", *names])
@@ -161,9 +229,9 @@ def _scan(batches: Iterator[pa.RecordBatch], ratio: np.ndarray, least_total: flo
 def scanned(docs: DataFrame, most_rows: int = 20_000, least_total: float = 25.0, least_mean: float = 0.9) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, n_markov, base_sha256 (of the fixed patterns' spans), spans.
 
-    Spans are kind:start:end in code points, end exclusive, by start and then kind. A null text counts as empty. A run of 20
-    or more key characters that meets no span of a fixed pattern is a markov span if its log-likelihood ratio is least_total
-    and least_mean for each character, or more. Repeated rows are rows of their own.
+    Spans are kind:start:end in code points, end exclusive, by start and then kind. A null text counts as empty. A stretch of key characters
+    is a markov span if its log-likelihood ratio is least_total and least_mean for each character, or more (see stretches), unless every character of it
+    is in spans of the fixed patterns. Repeated rows are rows of their own; texts of any length are taken whole, and columns besides doc_id and text are not read.
     """
     ratio = train(docs, most_rows)
     kind = "doc_id long, n_assign long, n_access long, n_hex long, n_markov long, base_sha256 string, spans string"
