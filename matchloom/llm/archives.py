@@ -2,12 +2,14 @@
 
 ARC is read by its version line, header lines and declared lengths. Each record becomes a WARC record with a
 synthesised identifier, timestamp, type and digests; equal payloads are found by digest and size, and all but the first
-are written as revisits. WARC files are text files of Spark's own writer, whose line separator is the record's end
-(two line breaks), so any store that Spark can write will do; they are read whole and parsed by their declared lengths.
+are written as revisits. WARC files are written by Spark's own text writer, compressed with gzip, whose line separator is the record's end
+(two line breaks), so any store that Spark can write will do; they are read whole and parsed by their declared lengths. Files of
+either format are bounded by bytes; only a record that is larger alone has a file of its own.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 from datetime import datetime, timezone
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 from .shared import new_path, stored
 
 _END = "\r\n\r\n"
+#: Bytes of records after which an archive is full.
+FILE_BYTES = 32_000_000
 #: Field names of a URL record's header line in either version, as the version block declares them.
 ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -34,10 +38,12 @@ def write_arc(name: str, version: int, records: list[tuple[str, str, str, str, b
     block = f"{version} 0 matchloom\n{fields}\n\n".encode()
     tail = {1: "", 2: f"200 - - 0 {name} "}[version]
     out = [f"filedesc://{name} 0.0.0.0 20240101000000 text/plain {tail}{len(block)}\n".encode(), block]
+    at = len(out[0]) + len(block)
     for url, ip, date, mime, content in records:
-        at = sum(map(len, out))
         middle = {1: "", 2: f"200 {hashlib.md5(content).hexdigest()} - {at} {name} "}[version]
-        out += [f"{url} {ip} {date} {mime} {middle}{len(content)}\n".encode(), content, b"\n"]
+        header = f"{url} {ip} {date} {mime} {middle}{len(content)}\n".encode()
+        out += [header, content, b"\n"]
+        at += len(header) + len(content) + 1
     return b"".join(out)
 
 
@@ -79,27 +85,36 @@ def _split_http(content: bytes) -> tuple[int, bytes, bytes]:
     return (int(words[1]) if len(words) > 1 and words[1].isdigit() else 0), head + b"\r\n\r\n", payload
 
 
-def _pages_to_arc(batches: Iterator[pa.RecordBatch], per_file: int) -> Iterator[pa.RecordBatch]:
-    """Archives of up to per_file pages, in turn of either version; named by partition and number, as rows can be repeated."""
-    made, part = 0, TaskContext.get().partitionId()
-    for batch in batches:
-        rows = list(zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True))
-        for lo in range(0, len(rows), per_file):
-            records = []
-            for page, url, html in rows[lo : lo + per_file]:
-                payload = (html or "").encode("utf-8", "surrogatepass")
-                own = "" if page is None else f"X-Page-Id: {page}\r\n"
-                head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{own}Content-Length: {len(payload)}\r\n\r\n"
-                address = "".join(c if c.isprintable() and c != " " else "%20" for c in url or "about:blank")
-                records.append((address, "0.0.0.0", "20240131000000", "text/html", head.encode() + payload))
-            made += 1
-            name = f"pages-{part:06}-{made:06}.arc"
-            yield pa.record_batch([pa.array([name]), pa.array([write_arc(name, 1 + made % 2, records)], pa.binary())], names=["name", "content"])
+def _pages_to_arc(batches: Iterator[pa.RecordBatch], per_file: int, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Archives in turn of either version; named by partition and number, as rows can be repeated."""
+    made, part, held, size = 0, TaskContext.get().partitionId(), [], 0
 
+    def archive() -> pa.RecordBatch:
+        name = f"pages-{part:06}-{made:06}.arc"
+        return pa.record_batch([pa.array([name]), pa.array([write_arc(name, 1 + made % 2, held)], pa.binary())], names=["name", "content"])
 
-def pages_to_arc(pages: DataFrame, per_file: int = 200) -> DataFrame:
-    """name, content: ARC files of the pages (page_id, url, html); null html is an empty payload."""
-    return pages.select("page_id", "url", "html").mapInArrow(lambda it: _pages_to_arc(it, per_file), "name string, content binary")
+    for batch in batches:
+        for row in range(batch.num_rows):
+            page, url, html = (batch.column(c)[row].as_py() for c in ("page_id", "url", "html"))
+            payload = (html or "").encode("utf-8", "surrogatepass")
+            own = "" if page is None else f"X-Page-Id: {page}\r\n"
+            head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{own}Content-Length: {len(payload)}\r\n\r\n"
+            address = "".join(c if c.isprintable() and c != " " else "%20" for c in url or "about:blank")
+            held.append((address, "0.0.0.0", "20240131000000", "text/html", head.encode() + payload))
+            size += len(payload)
+            if len(held) >= per_file or size >= most_bytes:
+                made += 1
+                yield archive()
+                held, size = [], 0
+    if held:
+        made += 1
+        yield archive()
+
+
+def pages_to_arc(pages: DataFrame, per_file: int = 200, most_bytes: int = FILE_BYTES) -> DataFrame:
+    """name, content: ARC files of the pages (page_id, url, html), full after per_file records or most_bytes; null html is an empty payload.
+    Names are by partition, so what is read twice must be stored."""
+    return pages.select("page_id", "url", "html").mapInArrow(lambda it: _pages_to_arc(it, per_file, most_bytes), "name string, content binary")
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,6 +126,7 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in read_arc(raw.as_py()):
                 status, head, payload = _split_http(r["content"])
                 rows.append((name.as_py(), r["place"], r["version"], r["url"], r["ip-address"], r["archive-date"], r["content-type"], status, head, payload))
+            # no larger than its archive
             yield pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
@@ -141,15 +157,25 @@ def _bytes_of(row: dict) -> bytes:
     return ("\r\n".join([*lines, f"Content-Length: {len(block)}"]) + _END).encode() + block
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _texts(batches: Iterator[pa.RecordBatch], per_file: int, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """WARC files: records, joined by their end."""
+    held, size = [], 0
+    of = lambda: pa.record_batch([pa.array([_END.encode().join(held)], pa.binary())], names=["value"])
     for batch in batches:
-        for lo in range(0, batch.num_rows, 256):
-            rows = [_bytes_of(r) for r in batch.slice(lo, 256).to_pylist()]
-            yield pa.record_batch([pa.array(rows, pa.binary())], names=["value"])
+        columns = batch.column_names
+        for row in range(batch.num_rows):
+            held.append(_bytes_of({c: batch.column(i)[row].as_py() for i, c in enumerate(columns)}))
+            size += len(held[-1])
+            if len(held) >= per_file or size >= most_bytes:
+                yield of()
+                held, size = [], 0
+    if held:
+        yield of()
 
 
-def arc_to_warc(archives: DataFrame, path: str, least: int = 100, per_file: int = 2000) -> None:
-    """Writes the records of the ARC files (name, unique, and content) as WARC files in the folder `path`.
+def arc_to_warc(archives: DataFrame, path: str, least: int = 100, per_file: int = 2000, most_bytes: int = FILE_BYTES) -> None:
+    """Writes the records of the ARC files (name, unique, and content) as WARC files in the folder `path`, each full after per_file records or
+    most_bytes.
 
     Of records with equal payloads of at least `least` bytes, the one with the smallest X-Page-Id (then by file and place)
     is a response and the others revisit it; a record without that field comes after those with it. Equal means the same SHA-256 and size.
@@ -157,23 +183,24 @@ def arc_to_warc(archives: DataFrame, path: str, least: int = 100, per_file: int
     rows = arc_records(archives)
     page = F.regexp_extract(F.decode("head", "UTF-8"), r"(?i)\r\nX-Page-Id: (-?\d+)\r\n", 1)
     rows = rows.withColumn("page", F.when(page != "", page.cast("long"))).withColumn("sha", F.sha2("payload", 256))
-    rows = rows.withColumn("size", F.length("payload").cast("long"))
+    rows = stored(rows.withColumn("size", F.length("payload").cast("long")), "arc-records")
     key = F.when(F.col("size") >= least, F.concat_ws(":", "sha", "size"))
-    small = stored(rows.select("name", "place", "page", key.alias("key")).filter("key is not null"), "payload-keys")
+    small = rows.select("name", "place", "page", key.alias("key")).filter("key is not null")
     order = F.struct(F.col("page").isNull().alias("none"), "page", "name", "place")
     first = small.groupBy("key").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     later = small.join(stored(first, "first-records"), "key").filter(~((F.col("name") == F.col("first.name")) & (F.col("place") == F.col("first.place"))))
     later = stored(later.select("name", "place", F.col("first.name").alias("first_name"), F.col("first.place").alias("first_place")), "revisits")
     out = rows.join(later, ["name", "place"], "left")
     out = out.withColumn("id", record_id(F.col("name"), F.col("place"))).withColumn("first_id", record_id(F.col("first_name"), F.col("first_place")))
-    text = out.select("url", "ip", "date", "head", "payload", "sha", "size", "id", "first_id").mapInArrow(_texts, "value binary")
-    # the writer puts the end of a record after each value
-    text.select(F.col("value").cast("string").alias("value")).write.option("lineSep", _END).option("maxRecordsPerFile", per_file).text(path)
+    text = out.select("url", "ip", "date", "head", "payload", "sha", "size", "id", "first_id").mapInArrow(lambda it: _texts(it, per_file, most_bytes), "value binary")
+    # a value is a file; the writer puts the end of the last record after it
+    text = text.select(F.col("value").cast("string").alias("value"))
+    text.write.option("lineSep", _END).option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
 
 
 def read_warc_bytes(raw: bytes) -> Iterator[tuple[dict, bytes]]:
-    """Headers (lower-case names) and block of each record, by declared length."""
-    at = 0
+    """Headers (lower-case names) and block of each record of a WARC file, plain or gzip, by declared length."""
+    raw, at = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw, 0
     while at < len(raw):
         end = raw.find(b"\r\n\r\n", at)
         lines = raw[at:end].decode("utf-8", "replace").split("\r\n")
@@ -196,7 +223,7 @@ def _read(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordB
     kinds = [pa.string()] * 5 + [pa.int64()] * 2 + [pa.string(), pa.binary()]
     for batch in batches:
         for raw in batch.column("content"):
-            rows = []
+            rows, held = [], 0
             for h, block in read_warc_bytes(raw.as_py()):
                 _, head, payload = _split_http(block)
                 page = next((x.split(b":")[1] for x in head.split(b"\r\n") if x.lower().startswith(b"x-page-id:")), None)
@@ -205,9 +232,10 @@ def _read(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordB
                     raise ValueError(f"{h['warc-record-id']}: the payload does not have its digest")
                 rows.append((h["warc-record-id"], h["warc-type"], h.get("warc-refers-to"), h["warc-target-uri"], h["warc-date"],
                              None if page is None else int(page), size, digest, payload if whole and h["warc-type"] == "response" else None))
-                if len(rows) >= 256:
+                held += size if whole else 0
+                if len(rows) >= 256 or held >= FILE_BYTES:
                     yield pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
-                    rows = []
+                    rows, held = [], 0
             yield pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
@@ -218,7 +246,13 @@ def read_warc(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, least: int = 100) -> DataFrame:
-    """pages to ARC to WARC files and read again: page_id, url, date, payload_bytes, payload_digest, record_type, refers_to."""
+    """pages to ARC to WARC files and read again: a row for each row of pages, with page_id, url, date, payload_bytes, payload_digest, record_type,
+    refers_to.
+
+    Null html is an empty payload and a null url about:blank; a null page_id stays null, comes after all others and is referred to as null.
+    Repeated rows are records of their own: of equal payloads, also of one page_id, one is the response. Pages of any length are taken whole, and
+    columns besides page_id, url and html are not read. No pages give no rows.
+    """
     spark = pages.sparkSession
     path = new_path(spark, "warc")
     arc_to_warc(pages_to_arc(pages), path, least)
