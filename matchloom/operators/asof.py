@@ -45,11 +45,34 @@ def asof(rows: DataFrame, patches: DataFrame, time: str = "startDateTime", name:
 def nearest(targets: DataFrame, rows: DataFrame, target: str, time: str, key: str) -> DataFrame:
     """Each target time with the row closest in time, the one with the lower key if two are as close: targets' columns, key, distance.
 
-    Targets are few (dates of a report): their number is checked, rows are compared with all of them before one partial aggregation.
+    Two as-of joins in one: a row lies between two neighbouring targets, found by the day as in asof, and is a candidate of either. One partial aggregation keeps
+    the first and the last row between each two targets, and where there are none the next ones count. Targets are few (dates of a report); their number is checked.
     """
-    if targets.count() > MOST_BROADCAST:
+    small = targets.select(F.col(target).alias("t")).filter("t is not null").distinct()
+    bounds = small.agg(F.min("t").alias("first"), F.max("t").alias("last"), F.count("*").alias("n")).first()
+    if bounds["n"] > MOST_BROADCAST:
         raise ValueError("too many targets")
-    away = F.abs(F.col(time) - F.col(target))
-    pairs = rows.filter(F.col(time).isNotNull()).select(time, key).join(F.broadcast(targets))
-    best = pairs.groupBy(*targets.columns).agg(F.min(F.struct(away.alias("distance"), F.col(key).alias("key"))).alias("best"))
-    return best.select(*targets.columns, F.col("best.key").alias(key), F.col("best.distance").alias("distance"))
+    if not bounds["n"]:
+        return targets.select(*targets.columns, F.lit(None).cast(rows.schema[key].dataType).alias(key), F.lit(None).cast("long").alias("distance")).limit(0)
+    first, last = bounds["first"] // SECONDS_PER_DAY, bounds["last"] // SECONDS_PER_DAY
+    ordered = Window.orderBy("t")  # a row for each target
+    spans = small.select(F.lag("t").over(ordered).alias("start"), F.col("t").alias("end")).union(small.agg(F.max("t"), F.lit(None).cast("long")))
+    day = lambda c: F.floor(c / SECONDS_PER_DAY)
+    spread = spans.select(
+        F.col("start").alias("__start"), F.col("end").alias("__end"),
+        F.explode(F.sequence(F.coalesce(day(F.col("start")), F.lit(first - 1)), F.coalesce(day(F.col("end") - 1), F.lit(last)))).alias("__day"),
+    )
+    timed = rows.filter(F.col(time).isNotNull()).select(F.col(time).alias("time"), F.col(key).alias("key"))
+    timed = timed.withColumn("at", F.greatest(F.least(day(F.col("time")), F.lit(last)), F.lit(first - 1)))
+    inside = (F.col("__start").isNull() | (F.col("time") >= F.col("__start"))) & (F.col("__end").isNull() | (F.col("time") < F.col("__end")))
+    between = timed.join(F.broadcast(spread), (F.col("at") == F.col("__day")) & inside)
+    ends = between.groupBy("__start", "__end").agg(F.min(F.struct("time", "key")).alias("after"), F.max(F.struct("time", (-F.col("key")).alias("key"))).alias("before"))
+    after = small.join(ends.select(F.col("__start").alias("t"), "after"), "t", "left")
+    both = after.join(ends.select(F.col("__end").alias("t"), "before"), "t", "left")
+    later, sooner = ordered.rowsBetween(0, Window.unboundedFollowing), ordered.rowsBetween(Window.unboundedPreceding, 0)
+    filled = both.select("t", F.first("after", True).over(later).alias("after"), F.last("before", True).over(sooner).alias("before"))
+    hit = lambda distance, k: F.when(distance.isNotNull(), F.struct(distance.alias("distance"), k.alias("key")))
+    best = F.least(hit(F.col("after.time") - F.col("t"), F.col("after.key")), hit(F.col("t") - F.col("before.time"), -F.col("before.key")))
+    found = filled.select("t", best.alias("best")).filter("best is not null").select("t", F.col("best.key").alias("__key"), F.col("best.distance").alias("__distance"))
+    joined = targets.join(F.broadcast(found), F.col(target) == F.col("t"))
+    return joined.select(*targets.columns, F.col("__key").alias(key), F.col("__distance").alias("distance"))

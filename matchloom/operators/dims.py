@@ -62,9 +62,7 @@ def taxonomy(meta: DataFrame) -> DataFrame:
 
 def absent_from(ids: DataFrame, others: DataFrame, key: str, other: str) -> DataFrame:
     """Rows whose key is NOT IN the others' keys: none if these hold a null, and no row with a null key unless they are empty."""
-    ids.createOrReplaceTempView("absent_ids")
-    others.select(other).createOrReplaceTempView("absent_others")
-    return ids.sparkSession.sql(f"SELECT * FROM absent_ids WHERE {key} NOT IN (SELECT {other} FROM absent_others)")
+    return ids.sparkSession.sql(f"SELECT * FROM {{ids}} WHERE {key} NOT IN (SELECT {other} FROM {{others}})", ids=ids, others=others)
 
 
 def search(rows: DataFrame, name: str, pattern: str, order: str, limit: int = 25) -> DataFrame:

@@ -21,7 +21,7 @@ PLAYER_COLUMNS = {
     "numLastHits": "last_hits", "numDenies": "denies", "goldPerMinute": "gpm", "experiencePerMinute": "xpm", "heroDamage": "hero_damage",
     "towerDamage": "tower_damage", "heroHealing": "hero_healing", "imp": "imp", "award": "award",
 }
-_EVENT_KEYS = {"id": "match_id", "patch": "patch"}
+FANTASY = ("match_id", "hero_id", "account_id", "is_parsed", "kills", "deaths", "last_hits", "denies", "gpm", "camps_stacked", "runes_taken", "obs_wards_killed")
 _EVENT_PLAYER = ("heroId", "isRadiant", "isVictory")
 
 
@@ -30,28 +30,34 @@ def with_players(raw: DataFrame) -> DataFrame:
     return raw.withColumn("p", F.explode("players")).drop("players")
 
 
-def players(raw: DataFrame, patches: DataFrame) -> DataFrame:
-    rows = with_players(asof(raw, patches))
+def player_columns() -> dict[str, Column]:
+    """Columns of the players' fact by name, over rows of with_players."""
     stats = F.col("p.stats")
-    return rows.select(
-        *[F.col(c).alias(n) for c, n in MATCH_COLUMNS.items()],
-        F.col("parsedDateTime").isNotNull().alias("is_parsed"),
-        *[F.col(f"p.{c}").alias(n) for c, n in PLAYER_COLUMNS.items()],
-        S.last_element(stats["campStack"]).alias("camps_stacked"),
-        S.length(stats["runes"]).alias("runes_taken"),
-        S.count_where(stats["wardDestruction"], lambda x: x["isWard"]).alias("obs_wards_killed"),
-        S.length(stats["killEvents"]).alias("kill_events"),
-        F.array(*[F.col(f"p.{c}") for c in schemas.ITEM_SLOTS]).alias("inventory"),
-        F.array(*[F.col(f"p.{c}") for c in schemas.BACKPACK_SLOTS]).alias("backpack"),
-        F.col("p.neutral0Id").alias("neutral_item"),
-        "patch",
-    )
-
-
-def _events(raw: DataFrame, patches: DataFrame, field: str, columns: dict[str, str]) -> DataFrame:
+    return {
+        **{n: F.col(c) for c, n in MATCH_COLUMNS.items()},
+        "is_parsed": F.col("parsedDateTime").isNotNull(),
+        **{n: F.col(f"p.{c}") for c, n in PLAYER_COLUMNS.items()},
+        "camps_stacked": S.last_element(stats["campStack"]),
+        "runes_taken": S.length(stats["runes"]),
+        "obs_wards_killed": S.count_where(stats["wardDestruction"], lambda x: x["isWard"]),
+        "kill_events": S.length(stats["killEvents"]),
+        "inventory": F.array(*[F.col(f"p.{c}") for c in schemas.ITEM_SLOTS]),
+        "backpack": F.array(*[F.col(f"p.{c}") for c in schemas.BACKPACK_SLOTS]),
+        "neutral_item": F.col("p.neutral0Id"),
+        "patch": F.col("patch"),
+    }
+
+
+def players(raw: DataFrame, patches: DataFrame, *columns: str) -> DataFrame:
+    """The players' fact, or the given columns of it only; raw needs no other fields than theirs."""
+    found = player_columns()
+    return with_players(asof(raw, patches)).select(*[found[c].alias(c) for c in columns or found])
+
+
+def _events(raw: DataFrame, patches: DataFrame, field: str, columns: dict[str, str], player: tuple = _EVENT_PLAYER) -> DataFrame:
     rows = with_players(asof(raw, patches)).withColumn("e", F.explode(f"p.stats.{field}"))
     return rows.select(
-        F.col("id").alias("match_id"), *[F.col(f"p.{c}").alias(PLAYER_COLUMNS[c]) for c in _EVENT_PLAYER],
+        F.col("id").alias("match_id"), *[F.col(f"p.{c}").alias(PLAYER_COLUMNS[c]) for c in player],
         *[F.col(f"e.{c}").alias(n) for c, n in columns.items()], "patch",
     )
 
@@ -75,6 +81,24 @@ def with_player(events: DataFrame, facts: DataFrame, *columns: str) -> DataFrame
     return events.join(facts.select(*keys, *columns), keys)
 
 
+def purchases_with_player(raw: DataFrame, patches: DataFrame, *fields: str) -> DataFrame:
+    """Purchases with fields of the players of their match and hero, as with_player gives them, but looked up within the match before it is
+    taken apart, so that nothing is shuffled."""
+    rows = with_players(asof(raw, patches).withColumn("others", F.col("players")))
+    rows = rows.withColumn("q", F.explode(F.filter("others", lambda q: q["heroId"] == F.col("p.heroId")))).withColumn("e", F.explode("p.stats.itemPurchases"))
+    return rows.select(
+        F.col("id").alias("match_id"), F.col("p.heroId").alias("hero_id"), F.col("e.itemId").alias("item_id"), F.col("e.time").alias("purchase_time_s"),
+        *[F.col(f"q.{c}").alias(PLAYER_COLUMNS[c]) for c in fields], "patch",
+    )
+
+
+def bought_items(raw: DataFrame, patches: DataFrame) -> DataFrame:
+    """One row per match and item bought in it: match_id, patch, item_id."""
+    lists = F.flatten(F.transform(F.filter("players", lambda p: p["stats"]["itemPurchases"].isNotNull()), lambda p: p["stats"]["itemPurchases"]["itemId"]))
+    rows = asof(raw, patches).select(F.col("id").alias("match_id"), "patch", F.array_distinct(lists).alias("items"))
+    return rows.select("match_id", "patch", F.explode("items").alias("item_id"))
+
+
 def held_items(facts: DataFrame) -> DataFrame:
     """One row per filled slot of inventory and backpack."""
     held = facts.withColumn("item_id", F.explode(F.concat("inventory", "backpack"))).filter("item_id is not null")
@@ -83,7 +107,7 @@ def held_items(facts: DataFrame) -> DataFrame:
 
 def fantasy_inputs(facts: DataFrame) -> DataFrame:
     """Per player; null where a match was not parsed."""
-    return facts.select("match_id", "hero_id", "account_id", "is_parsed", "kills", "deaths", "last_hits", "denies", "gpm", "camps_stacked", "runes_taken", "obs_wards_killed")
+    return facts.select(*FANTASY)
 
 
 def purchase_class(items: DataFrame) -> Column:
@@ -106,8 +130,9 @@ def timeline(events: DataFrame, time: str = "purchase_time_s") -> DataFrame:
     return events.groupBy(minute.alias("minute")).agg(F.count("*").alias("n"))
 
 
-def item_availability(events: DataFrame) -> DataFrame:
-    """Matches per patch and item; a pair without matches is 0 where the item occurs in any patch."""
-    seen = events.groupBy("patch", "item_id").agg(F.countDistinct("match_id").alias("matches"))
+def item_availability(events: DataFrame, distinct: bool = False) -> DataFrame:
+    """Matches per patch and item; a pair without matches is 0 where the item occurs in any patch. distinct: events are one for each match and item."""
+    n = F.count("match_id") if distinct else F.countDistinct("match_id")
+    seen = events.groupBy("patch", "item_id").agg(n.alias("matches"))
     grid = seen.select("patch").distinct().crossJoin(seen.select("item_id").distinct())  # two dimensions: releases and items
     return grid.join(seen, ["patch", "item_id"], "left").withColumn("matches", F.coalesce("matches", F.lit(0).cast("long")))

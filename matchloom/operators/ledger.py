@@ -10,6 +10,8 @@ from ..functions import scalars as S
 RETRYABLE = ("discovered", "failed")
 MOST_ATTEMPTS = 3
 MOST_ERROR_CHARS = 300
+#: Seconds, or ids, that are numbered together.
+_PART = 900
 # The reasons that end a walk.
 TERMINAL_REASONS = ("reached --until floor", "no more results")
 
@@ -31,15 +33,16 @@ def pending(ledger: DataFrame, limit: int | None = None, walks: list[str] | None
 
 
 def batches(rows: DataFrame, size: int = 6) -> DataFrame:
-    """Ids of each walk in the order of pending(), cut into chunks: source, label, match_id, batch. A walk is numbered by ranges of its
-    start times, so that no task holds it whole."""
-    day = F.floor(F.coalesce("start_time", F.lit(0)) / S.SECONDS_PER_DAY)
-    rows = rows.withColumn("day", day)
-    counts = rows.groupBy("source", "label", "day").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("source", "label").orderBy(F.col("day").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("source", "label", "day", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    inner = Window.partitionBy("source", "label", "day").orderBy(F.col("start_time").desc_nulls_last(), F.col("match_id").desc())
-    numbered = rows.withColumn("rank", F.row_number().over(inner)).join(starts, ["source", "label", "day"])
+    """Ids of each walk in the order of pending(), cut into chunks: source, label, match_id, batch. A walk is numbered by quarters of an hour of its
+    start times, and by ranges of ids where it has none, so that no task holds it whole."""
+    walk = ["source", "label", "untimed", "part"]
+    part = F.floor(F.coalesce("start_time", "match_id") / _PART)
+    rows = rows.withColumns({"untimed": F.col("start_time").isNull(), "part": part})
+    counts = rows.groupBy(*walk).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("source", "label").orderBy("untimed", F.col("part").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*walk, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    inner = Window.partitionBy(*walk).orderBy(F.col("start_time").desc(), F.col("match_id").desc())
+    numbered = rows.withColumn("rank", F.row_number().over(inner)).join(starts, walk)
     return numbered.select("source", "label", "match_id", F.floor((F.col("base") + F.col("rank") - 1) / size).alias("batch"))
 
 

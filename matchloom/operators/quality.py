@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,8 +96,23 @@ def observed_paths(lines: DataFrame, group: Column | None = None, most_schemas:
     return merged.join(paths, "schema").select("group", "path")
 
 
-def stale_shards(lines: DataFrame, requested: DataFrame, group: Column, preview: int = 4) -> DataFrame:
-    """Shards whose records lack requested paths: file, missing (a number), first_missing."""
+def field_usage(rows: DataFrame, paths: list[str]) -> DataFrame:
+    """path, n: how many records, or elements of an array of records, have a value in each of the fields, given as `field` or `array.field`."""
+
+    def count(path: str) -> Column:
+        outer, _, inner = path.partition(".")
+        filled = F.size(F.filter(outer, lambda x: x[inner].isNotNull())) if inner else F.col(outer).isNotNull().cast("int")
+        return F.coalesce(F.sum(F.greatest(filled, F.lit(0)).cast("long")), F.lit(0).cast("long"))
+
+    pairs = F.array(*[F.struct(F.lit(p).alias("path"), count(p).alias("n")) for p in paths])
+    return rows.agg(pairs.alias("pairs")).select(F.explode("pairs").alias("p")).select("p.path", "p.n")
+
+
+def stale_shards(lines: DataFrame, requested: DataFrame, group: Column, preview: int = 4, most_records: int = 200) -> DataFrame:
+    """Shards whose first most_records records lack requested paths: file, missing (a number), first_missing. lines: value, the shard by `group`, in the order of
+    the scan; a shard is one file, which one task reads."""
+    place = Window.partitionBy(group).orderBy(F.monotonically_increasing_id())
+    lines = lines.withColumn("__place", F.row_number().over(place)).filter(F.col("__place") <= most_records)
     seen = observed_paths(lines, group)
     wanted = seen.select("group").distinct().crossJoin(F.broadcast(requested))  # shards by pinned fields
     gaps = wanted.join(seen, ["group", "path"], "left_anti").groupBy("group").agg(F.array_sort(F.collect_list("path")).alias("paths"))

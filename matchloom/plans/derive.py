@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,15 +80,21 @@ def _exprs(fields: dict[str, str]) -> list:
     return [F.expr(e).alias(n) for n, e in fields.items()]
 
 
-def raw(spark: SparkSession, sf: str) -> DataFrame:
-    """Nested matches: one per order that has lines."""
+def raw(spark: SparkSession, sf: str, match: tuple | None = None, player: tuple | None = None, stats: tuple | None = None) -> DataFrame:
+    """Nested matches: one per order that has lines. match, player, stats: the fields to make at either level (None: all; id always; no stats for an empty
+    tuple). Only the lines' own columns are shuffled; records are made after that."""
+    wanted = lambda have, want: have if want is None else {k: have[k] for k in have if k in want}
+    match_fields = {"id": MATCH["id"]} | wanted(MATCH, match)
+    inner, lists = wanted(PLAYER, player), wanted(_STATS, stats)
+    used = set(re.findall(r"\bl_\w+", " ".join([*inner.values(), *lists.values()]))) | {"l_linenumber"}
+    lines = table(spark, sf, "lineitem").select("l_orderkey", F.struct(*sorted(used)).alias("line")).groupBy("l_orderkey").agg(F.collect_list("line").alias("lines"))
     orders = table(spark, sf, "orders").withColumn("start", F.expr(START))
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_linestatus")
-    stats = F.when(F.expr("o_orderkey % 20 <> 0"), F.struct(*_exprs(_STATS)))
-    fields = [F.struct(*_exprs(PLAYER), stats.alias("stats")).alias("p"), *_exprs(MATCH)]
-    flat = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(*fields)
-    first = [F.first(c).alias(c) for c in MATCH if c != "id"]
-    return flat.groupBy("id").agg(*first, F.collect_list("p").alias("players")).select(*MATCH, "players")
+    of = lambda fields: ", ".join(f"'{n}', {e}" for n, e in fields.items())
+    if lists:
+        inner = inner | {"stats": f"CASE WHEN o_orderkey % 20 <> 0 THEN named_struct({of(lists)}) END"}
+    record = re.sub(r"\bl_", "x.l_", f"named_struct({of(inner)})")
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.select(*_exprs(match_fields), F.expr(f"transform(lines, x -> {record})").alias("players"))
 
 
 def matches(spark: SparkSession, sf: str) -> DataFrame:

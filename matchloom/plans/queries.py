@@ -35,12 +35,36 @@ def query(oracle: str | None = None, *ctes: str):
     return register
 
 
-def _players(spark: SparkSession, sf: str) -> DataFrame:
-    return facts.players(D.raw(spark, sf), D.patches(spark))
+def _fields(columns: tuple) -> dict[str, tuple]:
+    """The fields of a match that columns of the players' fact need."""
+    match = {n: c for c, n in facts.MATCH_COLUMNS.items()} | {"is_parsed": "parsedDateTime"}
+    player = {n: (c,) for c, n in facts.PLAYER_COLUMNS.items()} | {"inventory": tuple(schemas.ITEM_SLOTS), "backpack": tuple(schemas.BACKPACK_SLOTS), "neutral_item": ("neutral0Id",)}
+    stats = {"camps_stacked": "campStack", "runes_taken": "runes", "obs_wards_killed": "wardDestruction", "kill_events": "killEvents"}
+    return {
+        "match": tuple(match[c] for c in columns if c in match) + ("startDateTime",), "player": tuple(f for c in columns for f in player.get(c, ())),
+        "stats": tuple(stats[c] for c in columns if c in stats),
+    }
+
+
+def _players(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    raw = D.raw(spark, sf, **_fields(columns)) if columns else D.raw(spark, sf)
+    return facts.players(raw, D.patches(spark), *columns)
+
+
+_EVENT_FIELDS = ("heroId", "isRadiant", "isVictory")
+
+
+def _bought(spark: SparkSession, sf: str, *player: str) -> DataFrame:
+    """Matches with their purchases, and the given fields of players."""
+    return D.raw(spark, sf, ("startDateTime",), player or _EVENT_FIELDS, ("itemPurchases",))
 
 
 def _purchases(spark: SparkSession, sf: str) -> DataFrame:
-    return facts.purchases(D.raw(spark, sf), D.patches(spark))
+    return facts.purchases(_bought(spark, sf), D.patches(spark))
+
+
+def _kill_events(spark: SparkSession, sf: str) -> DataFrame:
+    return facts.kill_events(D.raw(spark, sf, ("startDateTime",), _EVENT_FIELDS, ("killEvents",)), D.patches(spark))
 
 
 def _meta(spark: SparkSession, sf: str) -> DataFrame:
@@ -77,22 +101,60 @@ def scan_raw_matches(spark, sf):
     return raw.select("id", "startDateTime", "lobbyType", "parsedDateTime", "leagueId", F.size("players").cast("long").alias("n_players"))
 
 
-@query("SELECT 'ok' AS state, count(*) > 0 AS any_shards UNION ALL SELECT 'bad', TRUE FROM (SELECT count(*) AS n FROM region) WHERE n > 0")
+#: Shards of either vintage, four each; and what is observed in their records.
+_SHARDS = "q AS (SELECT *, concat(CASE WHEN id % 3 <> 0 THEN 'new/' ELSE 'old/' END, id % 4) AS shard, id % 3 = 0 AS old FROM m)"
+_OLD_LACKS = ("leagueId", "players.award", "players.stats")
+
+
+def _vintages(spark, sf, old_codec: str = "gzip") -> str:
+    """A folder with matches in shards by id, those with id % 3 = 0 from a time when some fields were not asked for."""
+    path = landing.shared_path(spark, "landing")
+    rows = D.raw(spark, sf).withColumn("part", F.expr("id % 4"))
+    old = F.transform("players", lambda p: p.dropFields(*[x.partition(".")[2] for x in _OLD_LACKS if "." in x]))
+    for name, part, codec in (("new", rows.filter("id % 3 != 0"), "gzip"), ("old", rows.filter("id % 3 = 0").withColumn("players", old).drop("leagueId"), old_codec)):
+        part.repartition("part").sortWithinPartitions("part", "id").write.partitionBy("part").option("compression", codec).json(f"{path}/{name}")
+    return path
+
+
+def _damaged(spark, sf, path: str) -> str:
+    """Adds shards that are no gzip files, one for each region, and empty ones, one for every other region."""
+    regions = D.table(spark, sf, "region").select(F.to_json(F.struct("*")).alias("value"), "r_regionkey")
+    regions.repartition("r_regionkey").write.partitionBy("r_regionkey").option("compression", "none").text(f"{path}/plain")
+    _as_gz(spark, f"{path}/plain")
+    fs, of = landing._files(spark, path)
+    for r in D.table(spark, sf, "region").filter("r_regionkey % 2 = 1").select("r_regionkey").collect():
+        fs.create(of(f"{path}/empty-{r[0]}.json.gz")).close()
+    return path
+
+
+def _as_gz(spark, folder: str) -> None:
+    """Names the files in a folder as if they were compressed."""
+    fs, of = landing._files(spark, folder)
+    found, names = fs.listFiles(of(folder), True), []
+    while found.hasNext():
+        names.append(found.next().getPath())
+    for n in names:
+        if n.getName().startswith("part-"):
+            fs.rename(n, of(f"{n.toString()}.gz"))
+
+
+@query("SELECT 'ok' AS reason, count(DISTINCT concat(id % 3 = 0, id % 4)) AS shards FROM m UNION ALL SELECT 'not gzip', count(*) FROM region UNION ALL SELECT 'empty', count(*) FROM region WHERE r_regionkey % 2 = 1", "m")
 def shard_health(spark, sf):
-    path = _landed(spark, sf)
-    D.table(spark, sf, "region").select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.option("compression", "none").text(f"{path}/plain")
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    name = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
-    plain = [f.getPath() for f in fs.listStatus(name(f"{path}/plain")) if f.getPath().getName().startswith("part-")][0]
-    fs.rename(plain, name(f"{path}/not-gzip.json.gz"))
-    fs.delete(name(f"{path}/plain"), True)
-    found = landing.shard_health(spark, path)
-    return found.groupBy(F.when(F.col("ok"), "ok").otherwise("bad").alias("state")).agg((F.count("*") > 0).alias("any_shards"))
-
-
-@query("SELECT TRUE AS has_shards, TRUE AS has_bytes")
+    found = landing.shard_health(spark, _damaged(spark, sf, _vintages(spark, sf)))
+    return found.groupBy(F.coalesce("reason", F.lit("ok")).alias("reason")).agg(F.count("*").alias("shards"))
+
+
+@query('SELECT id, "rank", (SELECT count(*) FROM lineitem WHERE l_orderkey = id) AS n_players FROM m WHERE id % 3 <> 0', "m")
+def scan_healthy_shards(spark, sf):
+    """The shards of one vintage are damaged, and the matches of the other are read."""
+    path = _vintages(spark, sf, old_codec="none")
+    _as_gz(spark, f"{path}/old")
+    return landing.scan_healthy(spark, _damaged(spark, sf, path)).select("id", "rank", F.size("players").cast("long").alias("n_players"))
+
+
+@query("SELECT count(DISTINCT concat(id % 3 = 0, id % 4)) AS shards, count(*) > 0 AS has_bytes FROM m", "m")
 def landing_summary(spark, sf):
-    return landing.landing_summary(spark, _landed(spark, sf)).select((F.col("shards") > 0).alias("has_shards"), (F.col("bytes") > 0).alias("has_bytes"))
+    return landing.landing_summary(spark, _vintages(spark, sf)).select("shards", (F.col("bytes") > 0).alias("has_bytes"))
 
 
 @query("SELECT item_id, short_name, cost, is_recipe, components, built_into FROM meta", "meta")
@@ -202,7 +264,7 @@ def purchases_fact(spark, sf):
 
 @query(_KILLS, "kills")
 def kill_events_fact(spark, sf):
-    return facts.kill_events(D.raw(spark, sf), D.patches(spark))
+    return _kill_events(spark, sf)
 
 
 @query(f"SELECT match_id, {_REASON} AS reason FROM summaries", "summaries")
@@ -290,7 +352,7 @@ def asof_patch(spark, sf):
 
 @query('SELECT m.id, count(*) AS n FROM m JOIN lineitem ON l_orderkey = m.id GROUP BY m.id', "m")
 def explode_players(spark, sf):
-    return facts.with_players(D.raw(spark, sf)).groupBy("id").agg(F.count("*").alias("n"))
+    return facts.with_players(D.raw(spark, sf, (), ("heroId",), ())).groupBy("id").agg(F.count("*").alias("n"))
 
 
 @query('SELECT patch, item_id, count(*) AS n, sum(purchase_time_s) AS seconds FROM purchases GROUP BY ALL', "purchases")
@@ -300,7 +362,7 @@ def explode_purchases(spark, sf):
 
 @query("SELECT hero_id, count(*) AS n, CAST(count(*) FILTER (kill_time_s < 0) AS BIGINT) AS pre_horn FROM kills GROUP BY hero_id", "kills")
 def explode_kills(spark, sf):
-    rows = facts.kill_events(D.raw(spark, sf), D.patches(spark))
+    rows = _kill_events(spark, sf)
     return rows.groupBy("hero_id").agg(F.count("*").alias("n"), F.count_if(F.col("kill_time_s") < 0).alias("pre_horn"))
 
 
@@ -435,8 +497,7 @@ _STATE = (
 
 
 def _walk_log(spark, sf):
-    D.table(spark, sf, "events").createOrReplaceTempView("events_log")
-    return spark.sql(_LOG.replace("FROM events", "FROM events_log"))
+    return spark.sql(_LOG.replace("FROM events", "FROM {events}"), events=D.table(spark, sf, "events"))
 
 
 @query(_STATE)
@@ -481,7 +542,7 @@ def version_sample(spark, sf):
 
 @query("SELECT p.match_id, p.hero_id, item_id, purchase_time_s, lane, gpm FROM purchases p JOIN players USING (match_id, hero_id, patch)", "purchases", "players")
 def event_to_player(spark, sf):
-    rows = facts.with_player(_purchases(spark, sf), _players(spark, sf), "lane", "gpm")
+    rows = facts.purchases_with_player(_bought(spark, sf, "heroId", "lane", "goldPerMinute"), D.patches(spark), "lane", "goldPerMinute")
     return rows.select("match_id", "hero_id", "item_id", "purchase_time_s", "lane", "gpm")
 
 
@@ -490,7 +551,7 @@ def event_to_player(spark, sf):
     "LEFT JOIN meta USING (item_id) WHERE item_id IS NOT NULL", "players", "meta",
 )
 def item_names(spark, sf):
-    held = _players(spark, sf).select("match_id", "hero_id", F.explode("inventory").alias("item_id")).filter("item_id is not null")
+    held = _players(spark, sf, "match_id", "hero_id", "inventory").select("match_id", "hero_id", F.explode("inventory").alias("item_id")).filter("item_id is not null")
     return held.join(_meta(spark, sf).select("item_id", "display_name"), "item_id", "left").select("match_id", "hero_id", "item_id", "display_name")
 
 
@@ -502,7 +563,7 @@ def item_names(spark, sf):
     "min(start_time) AS first_start, 100.0::DOUBLE * count(DISTINCT CASE WHEN is_parsed THEN match_id END) / count(DISTINCT match_id) AS percent_parsed FROM players GROUP BY patch ORDER BY first_start", "players",
 )
 def patch_coverage(spark, sf):
-    return quality.coverage(_players(spark, sf)).orderBy("first_start")
+    return quality.coverage(_players(spark, sf, "match_id", "is_parsed", "start_time", "patch")).orderBy("first_start")
 
 
 @query(
@@ -510,7 +571,7 @@ def patch_coverage(spark, sf):
     "FROM players JOIN patches ON name = patch GROUP BY patch, start_ts ORDER BY newest DESC LIMIT 1", "players",
 )
 def newest_per_patch(spark, sf):
-    return quality.newest_patch(_players(spark, sf), D.patches(spark))
+    return quality.newest_patch(_players(spark, sf, "start_time", "patch"), D.patches(spark))
 
 
 @query("SELECT count(*) AS n FROM m", "m")
@@ -555,12 +616,13 @@ def id_rate(spark, sf):
     return frame.id_rate(D.summaries(spark, sf))
 
 
+_HELD = ("match_id", "hero_id", "patch", "is_parsed", "inventory", "backpack")
 _LISTED = f"item_id IN {quality.UNLOGGED_ITEMS}"
 
 
 @query(f"SELECT count(*) AS slots FROM (SELECT unnest([slot0, slot1, slot2, slot3, slot4, slot5, pack0, pack1, pack2]) AS item_id FROM players) WHERE {_LISTED}", "players")
 def unlogged_held(spark, sf):
-    return quality.unlogged_held(_players(spark, sf))
+    return quality.unlogged_held(_players(spark, sf, *_HELD))
 
 
 @query(f"SELECT count(*) AS purchases FROM purchases WHERE {_LISTED}", "purchases")
@@ -573,8 +635,7 @@ def unlogged_bought(spark, sf):
     "FROM players WHERE is_parsed) LEFT JOIN (SELECT DISTINCT match_id, hero_id, item_id, 1 AS logged FROM purchases) USING (match_id, hero_id, item_id) WHERE item_id IS NOT NULL GROUP BY 1", "players", "purchases",
 )
 def unlogged_rate(spark, sf):
-    raw, patches = D.raw(spark, sf), D.patches(spark)
-    return quality.unlogged_rate(facts.players(raw, patches), facts.purchases(raw, patches))
+    return quality.unlogged_rate(_players(spark, sf, *_HELD), _purchases(spark, sf))
 
 
 @query("SELECT league_id, count(*) AS matches, min(COALESCE(start_time, 0)) AS earliest, max(COALESCE(start_time, 0)) AS latest FROM lm GROUP BY league_id", "lm")
@@ -589,7 +650,7 @@ def taxonomy_counts(spark, sf):
 
 @query("SELECT patch, hero_id, count(*) AS n, avg(CAST(is_victory AS INT)) AS win_rate FROM players GROUP BY patch, hero_id", "players")
 def hero_winrate(spark, sf):
-    return facts.hero_winrate(_players(spark, sf))
+    return facts.hero_winrate(_players(spark, sf, "patch", "hero_id", "is_victory"))
 
 
 @query(
@@ -597,7 +658,7 @@ def hero_winrate(spark, sf):
     "LEFT JOIN (SELECT patch, item_id, count(DISTINCT match_id) AS n FROM purchases GROUP BY ALL) s ON s.patch = p.patch AND s.item_id = i.item_id", "purchases",
 )
 def patch_item_availability(spark, sf):
-    return facts.item_availability(_purchases(spark, sf))
+    return facts.item_availability(facts.bought_items(_bought(spark, sf, "heroId"), D.patches(spark)), distinct=True)
 
 
 # Windows
@@ -658,17 +719,16 @@ _RUNS = "SELECT user_id % 40 AS run, event_id AS seq, CASE WHEN event_id % 3 = 0
 
 @query(f"SELECT run, min(seq) AS seq FROM (SELECT run, seq, sum(found) OVER w AS s, count(*) OVER w AS c FROM ({_RUNS}) WINDOW w AS (PARTITION BY run ORDER BY seq ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)) WHERE s = 0 AND c = 3 GROUP BY run")
 def dead_streak(spark, sf):
-    D.table(spark, sf, "events").createOrReplaceTempView("events_runs")
-    return ledger.dead_streaks(spark.sql(_RUNS.replace("FROM events", "FROM events_runs")))
+    return ledger.dead_streaks(spark.sql(_RUNS.replace("FROM events", "FROM {events}"), events=D.table(spark, sf, "events")))
 
 
 # Sorts and searches
 
 
-@query("SELECT n_nationkey AS league_id, n_name AS name FROM nation WHERE contains(lower(n_name), 'an') ORDER BY league_id DESC LIMIT 25")
+@query("SELECT n_nationkey AS league_id, n_name AS name FROM nation WHERE contains(lower(n_name), 'n_1') ORDER BY league_id DESC LIMIT 25")
 def league_search(spark, sf):
     rows = D.table(spark, sf, "nation").select(F.col("n_nationkey").alias("league_id"), F.col("n_name").alias("name"))
-    return dims.search(rows, "name", "AN", "league_id")
+    return dims.search(rows, "name", "N_1", "league_id")
 
 
 @query("SELECT s_suppkey AS team_id, s_name AS name, s_acctbal AS rating FROM supplier WHERE contains(lower(s_name), 'supplier') ORDER BY COALESCE(s_acctbal, 0) DESC, s_name LIMIT 25")
@@ -694,38 +754,68 @@ def _requested(spark) -> DataFrame:
     return rows.union(spark.createDataFrame([("players.newField",)], "path string"))
 
 
-@query("SELECT 'never requested' AS kind, 'players.imp' AS path, count(*) AS lines FROM m UNION ALL SELECT 'not pinned', 'players.newField', count(*) FROM m", "m")
+@query("SELECT 'never requested' AS kind, 'players.imp' AS path, count(*) AS n FROM lineitem WHERE l_orderkey IN (SELECT id FROM m) UNION ALL SELECT 'not pinned', 'players.newField', NULL", "m")
 def schema_drift_static(spark, sf):
-    found = quality.drift(_requested(spark), quality.paths_frame(spark, D.raw(spark, sf).schema))
-    return found.crossJoin(D.matches(spark, sf).agg(F.count("*").alias("lines")))
+    """Fields on one side only, and how many players have a value in those that nobody asked for."""
+    raw = D.raw(spark, sf)
+    found = quality.drift(_requested(spark), quality.paths_frame(spark, raw.schema))
+    unused = [r["path"] for r in found.filter("kind = 'never requested'").collect()]  # names of pinned fields
+    return found.join(F.broadcast(quality.field_usage(raw, unused)), "path", "left").select("kind", "path", "n")
+
+
+def _observed_sql(most: int | None = None) -> str:
+    """CTEs up to obs: shard and path of what the landed records hold, of the first `most` records of each shard."""
+    stats = {"": "TRUE", ".itemPurchases": "TRUE", ".itemPurchases.itemId": "TRUE", ".itemPurchases.time": "TRUE", ".campStack": "TRUE"}
+    for name, fields in (("runes", ("rune", "time")), ("wardDestruction", ("time",)), ("killEvents", ("time",))):
+        stats |= {f".{name}": "l_partkey % 13 <> 0"} | {f".{name}.{f}": "l_partkey % 13 > 1" for f in fields}
+    stats[".wardDestruction.isWard"] = "l_partkey % 13 > 1 AND l_linenumber > 1"
+    lacks = lambda p: " AND NOT old" if p.split(".stats")[0] + (".stats" if ".stats" in p else "") in _OLD_LACKS else ""
+    found = [f"SELECT shard, '{f}' AS path FROM q WHERE \"{f}\" IS NOT NULL{lacks(f)}" for f in D.MATCH] + ["SELECT shard, 'players' FROM q"]
+    found += [f"SELECT shard, 'players.{f}' FROM pq WHERE \"{f}\" IS NOT NULL{lacks(f'players.{f}')}" for f in D.PLAYER]
+    found += [f"SELECT shard, 'players.stats{p}' FROM pq WHERE parsed AND {c}{lacks('players.stats')}" for p, c in stats.items()]
+    first = _SHARDS if most is None else f"{_SHARDS[:-1]} QUALIFY row_number() OVER (PARTITION BY shard ORDER BY id) <= {most})"
+    players = f'pq AS (SELECT q.shard, q.old, q."parsedDateTime" IS NOT NULL AS parsed, l_partkey, l_linenumber, {D._duck(D.PLAYER)} FROM q JOIN lineitem ON l_orderkey = q.id JOIN orders ON o_orderkey = q.id)'
+    pinned = [*D.MATCH, "players", *[f"players.{f}" for f in D.PLAYER], *[f"players.stats{p}" for p in stats]]
+    asked = [p for p in pinned if p != "players.imp"] + ["players.newField"]
+    wanted = "asked(path) AS (VALUES " + ", ".join(f"('{p}')" for p in asked) + ")"
+    return f"{sql('', 'm').rstrip()}, {first}, {players}, {wanted}, obs AS (SELECT DISTINCT shard, path FROM ({' UNION ALL '.join(found)})) "
+
+
+def _lines(spark, sf) -> DataFrame:
+    """Records of the shards that can be read, and their shards."""
+    files = landing.healthy_shards(spark, _damaged(spark, sf, _vintages(spark, sf)))
+    rows = spark.read.text(files).select("value", F.col("_metadata.file_path").alias("path"))
+    return rows.select("value", F.concat_ws("/", F.regexp_extract("path", "/(new|old)/part=", 1), F.regexp_extract("path", r"/part=(\d+)/", 1)).alias("file"))
 
 
-def _lines(spark, sf, where: str = "true") -> DataFrame:
-    path = landing.shared_path(spark, "landing")
-    rows = D.raw(spark, sf)
-    old = F.transform("players", lambda p: p.dropFields("stats", "award"))
-    rows.filter("id % 3 != 0").write.option("compression", "gzip").json(f"{path}/new")
-    rows.filter("id % 3 = 0").withColumn("players", old).drop("leagueId").write.option("compression", "gzip").json(f"{path}/old")
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.gz").text(path)
-    return files.select("value", F.col("_metadata.file_path").alias("file"))
-
-
-@query("SELECT 'players.newField' AS path UNION ALL SELECT 'seriesId'")
+@query()
 def schema_drift_observed(spark, sf):
     """Requested paths that no landed record has; nulls are not written, so a field that is always null counts."""
     return _requested(spark).subtract(quality.observed_paths(_lines(spark, sf)).select("path"))
 
 
-@query("SELECT 'new' AS vintage, 2 AS missing UNION ALL SELECT 'old', 17")
+ORACLES["schema_drift_observed"] = _observed_sql() + "SELECT path FROM asked EXCEPT SELECT path FROM obs"
+#: Records of a shard that are looked at.
+_PREVIEW = 200
+
+
+@query()
 def stale_shards(spark, sf):
-    lines = _lines(spark, sf)
-    vintage = F.regexp_extract("file", "/(new|old)/", 1)
-    return quality.stale_shards(lines, _requested(spark), vintage).select(F.col("file").alias("vintage"), "missing")
+    return quality.stale_shards(_lines(spark, sf), _requested(spark), F.col("file"), most_records=_PREVIEW)
 
 
-@query("SELECT count(*) = 57 AS n_paths FROM (SELECT 1 AS x) CROSS JOIN range(57)")
+ORACLES["stale_shards"] = (
+    _observed_sql(_PREVIEW) + "SELECT shard AS file, count(*)::INT AS missing, array_to_string(list_sort(list(path))[1:4], ',') AS first_missing FROM "
+    "(SELECT s.shard, a.path FROM (SELECT DISTINCT shard FROM q) s CROSS JOIN asked a EXCEPT SELECT shard, path FROM obs) GROUP BY shard"
+)
+
+
+@query()
 def observed_paths(spark, sf):
-    return quality.observed_paths(_lines(spark, sf)).agg((F.count("*") == len(schemas.field_paths(schemas.RAW)) - 1).alias("n_paths"))
+    return quality.observed_paths(_lines(spark, sf)).select("path")
+
+
+ORACLES["observed_paths"] = _observed_sql() + "SELECT DISTINCT path FROM obs"
 
 
 @query(
@@ -767,7 +857,7 @@ def purchase_timeline(spark, sf):
 
 @query("SELECT match_id, hero_id, account_id, is_parsed, kills, deaths, last_hits, denies, gpm, camps_stacked, runes_taken, obs_wards_killed FROM players", "players")
 def fantasy_inputs(spark, sf):
-    return facts.fantasy_inputs(_players(spark, sf))
+    return facts.fantasy_inputs(_players(spark, sf, *facts.FANTASY))
 
 
 _LADDER = ", ".join(f"({a})" for a in quality.RETENTION_LADDER)

@@ -4,25 +4,40 @@ from __future__ import annotations
 
 import gzip
 import io
+import re
 import tempfile
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir, or under a temporary folder where that is unset."""
+def shared_folder(spark: SparkSession) -> str:
+    """This application's folder under spark.checkpoint.dir. Where that is unset, a temporary folder serves in local mode only: on a cluster every machine
+    would write to its own."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not top:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         top = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(top)
-    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{top.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_shared(spark: SparkSession) -> None:
+    """Deletes all intermediate tables of this application; none of its DataFrames can be used after that."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scan_raw(spark: SparkSession, paths, partitions: int | None = None) -> DataFrame:
@@ -50,33 +65,75 @@ def _probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column("path"), pa.array([r is None for r in reasons]), pa.array(reasons, pa.string())], names=["file", "ok", "reason"])
 
 
+def _binary_files(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", True).load(folder)
+
+
 def _empty_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Shards without a byte, which Spark's readers pass over; the driver lists the folder, as they do."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.gz")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    return spark.createDataFrame([(f.getPath().toString(),) for f in found if f.getLen() == 0], "file string")
+    fs, path = _files(spark, folder)
+    found, names = fs.listFiles(path(folder), True), []
+    while found.hasNext():
+        f = found.next()
+        if f.getLen() == 0 and f.getPath().getName().endswith(".gz"):
+            names.append((f.getPath().toString(),))
+    return spark.createDataFrame(names, "file string")
 
 
 def shard_health(spark: SparkSession, folder: str) -> DataFrame:
-    """file, ok, reason of each *.gz shard. A shard that does not decompress to its end is bad as a whole: Spark would keep the
+    """file, ok, reason of each *.gz shard in the folder and those inside it. A shard that does not decompress to its end is bad as a whole: Spark would keep the
     rows before the damage."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("path", "content")
+    files = _binary_files(spark, folder).select("path", "content")
     empty = _empty_shards(spark, folder).select("file", F.lit(False).alias("ok"), F.lit("empty").alias("reason"))
     return files.mapInArrow(_probes, "file string, ok boolean, reason string").union(empty)
 
 
+def healthy_shards(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the shards that can be read to their end; the driver gets names only, as it does when Spark lists a folder."""
+    return sorted(r["file"] for r in shard_health(spark, folder).filter("ok").select("file").collect())
+
+
+def scan_healthy(spark: SparkSession, folder: str, partitions: int | None = None) -> DataFrame:
+    """Landed matches of the shards that can be read to their end: a damaged one costs its own rows and not the scan."""
+    paths = healthy_shards(spark, folder)
+    return scan_raw(spark, paths, partitions) if paths else spark.createDataFrame([], schemas.RAW)
+
+
 def landing_summary(spark: SparkSession, folder: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder)
+    files = _binary_files(spark, folder)
     sizes = files.select("length").union(_empty_shards(spark, folder).select(F.lit(0).cast("long")))
     return sizes.agg(F.count("*").alias("shards"), F.coalesce(F.sum("length"), F.lit(0).cast("long")).alias("bytes"))
 
 
+def _files(spark: SparkSession, folder: str):
+    """The file system of a folder and its path class."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path(folder).getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _renamed(fs, old, new) -> None:
+    """A rename that fails aloud: file systems tell by the result, and move into a folder that is there."""
+    if fs.exists(new) or not fs.rename(old, new):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
 def write_landing(rows: DataFrame, folder: str) -> bool:
-    """Appends gzip JSON shards of new names; nothing is written if there are no rows."""
-    if rows.isEmpty():
-        return False
-    rows.write.mode("append").option("compression", "gzip").json(folder)
-    return True
+    """Appends gzip JSON shards of new names; nothing is written if there are no rows. Rows are computed once: shards are written aside and
+    moved in one by one when they are whole."""
+    spark, seen = rows.sparkSession, Observation()
+    aside = f"{folder.rstrip('/')}-aside-{uuid.uuid4().hex}"
+    fs, path = _files(spark, aside)
+    try:
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.option("compression", "gzip").json(aside)
+        if not seen.get["n"]:
+            return False
+        fs.mkdirs(path(folder))
+        for f in fs.listStatus(path(aside)):
+            if f.getPath().getName().startswith("part-"):
+                _renamed(fs, f.getPath(), path(f"{folder}/{f.getPath().getName()}"))
+        return True
+    finally:
+        fs.delete(path(aside), True)
 
 
 def scan_overrides(spark: SparkSession, path: str) -> DataFrame:
@@ -91,11 +148,17 @@ def scan_item_constants(texts: DataFrame, column: str = "value") -> DataFrame:
 
 
 def write_dimension(df: DataFrame, path: str) -> bool:
-    """A small table as one file; not written when empty."""
-    if df.isEmpty():
-        return False
-    df.coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return True
+    """A small table as one file; what stands there stays if there are no rows. Rows are computed once."""
+    spark, seen = df.sparkSession, Observation()
+    aside = f"{path.rstrip('/')}-aside-{uuid.uuid4().hex}"
+    fs, of = _files(spark, aside)
+    try:
+        df.coalesce(1).observe(seen, F.count(F.lit(1)).alias("n")).write.option("compression", "zstd").parquet(aside)
+        if seen.get["n"]:
+            _replace(fs, of, {path: aside})
+        return bool(seen.get["n"])
+    finally:
+        fs.delete(of(aside), True)
 
 
 def read_dimension(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -112,27 +175,45 @@ def read_fact(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def _replace(fs, path, tables: dict[str, str]) -> None:
+    """Puts new tables in the place of old ones (new by old name), all or none: the old ones are kept beside and come back if any rename fails."""
+    mark = uuid.uuid4().hex
+    moved: list[tuple[str, str | None]] = []
+    try:
+        for target, new in tables.items():
+            fs.mkdirs(path(target).getParent())
+            old = f"{target}-old-{mark}" if fs.exists(path(target)) else None
+            if old:
+                _renamed(fs, path(target), path(old))
+            moved.append((target, old))
+            _renamed(fs, path(new), path(target))
+    except BaseException:
+        for target, old in reversed(moved):
+            fs.delete(path(target), True)
+            if old:
+                _renamed(fs, path(old), path(target))
+        raise
+    for _, old in moved:
+        if old:
+            fs.delete(path(old), True)
+
+
 def publish(tables: dict[str, DataFrame], folder: str) -> dict[str, int]:
     """Writes all facts aside, refuses an empty one, and then replaces each table by a rename. What stood there before survives a
-    failure; old partitions do not survive a success. A reader between two renames sees tables of both runs; on object stores a
+    failure, also of a rename; old partitions do not survive a success. A reader between two renames sees tables of both runs; on object stores a
     rename copies. Returns the row counts."""
     spark = next(iter(tables.values())).sparkSession
-    jvm = spark._jvm
     staging = f"{folder}/_staging-{uuid.uuid4().hex}"
-    fs = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    path = jvm.org.apache.hadoop.fs.Path
+    fs, path = _files(spark, folder)
     counts = {}
     try:
         for name, df in tables.items():
-            write_fact(df, f"{staging}/{name}")
-            counts[name] = read_fact(spark, f"{staging}/{name}", df.schema).count()
+            seen = Observation()
+            write_fact(df.observe(seen, F.count(F.lit(1)).alias("n")), f"{staging}/{name}")
+            counts[name] = seen.get["n"]
             if not counts[name]:
                 raise ValueError(f"{name} has no rows; nothing was replaced")
-        for name in tables:
-            target, old = path(f"{folder}/{name}"), path(f"{staging}/old-{name}")
-            if fs.exists(target):
-                fs.rename(target, old)
-            fs.rename(path(f"{staging}/{name}"), target)
+        _replace(fs, path, {f"{folder}/{name}": f"{staging}/{name}" for name in tables})
     finally:
         fs.delete(path(staging), True)
     return counts

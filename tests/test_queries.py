@@ -33,7 +33,7 @@ def rows():
     events = [(i, datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=i * 2500 + rnd.randrange(900)), rnd.randrange(60), rnd.choice(kinds), 0.5, '{"k":%d}' % i if i % 3 else '{"x":1}' if i % 2 else None) for i in range(1000)]
     return {
         "region": [(i, f"R{i}") for i in range(5)],
-        "nation": [(i, rnd.choice(["JAPAN", "France", "ROMANIA", "Peru"]) + str(i), i % 5) for i in range(25)],
+        "nation": [(i, rnd.choice(["JAPAN", "France", "ROMANIA", "Peru"]) + f"_{i}", i % 5) for i in range(25)],
         "customer": [(i, f"C{i}", rnd.randrange(25), 1.0, "S") for i in range(400)],
         "supplier": [(i, f"Supplier#{i}", i % 25, rnd.choice([None, i * 1.5])) for i in range(40)],
         "part": [(i, f"part {i}", "b", "t", rnd.randrange(1, 50), 900 + i / 3) for i in range(400)],
