@@ -3,7 +3,7 @@
 A document's evidence is the probability of a logistic regression on its words and shapes, fitted to a labelled sample. Hosts and paths (site levels) get posteriors by grouped aggregation: labels where there are
 any and evidence elsewhere, shrunk towards the level above with a strength that the spread between the sites gives. A
 sparse site stays near its host, and a sparse host near the whole. A document's odds are those of its evidence times those of its
-path against the whole.
+path against the whole; for a document with a label its path's sum has its evidence in place of the label, so that no label speaks for its own document.
 """
 
 from __future__ import annotations
@@ -111,18 +111,30 @@ def fit(found: list[np.ndarray], label: np.ndarray, least_z: float = 4.0, ridge:
     return weights, intercept
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, most_rows: int) -> DataFrame:
-    """doc_id, text, quality, toxic of about most_rows labelled documents (those with the lowest hash of their id)."""
-    labels = labels.select("doc_id", *[F.col(c).cast("int").alias(c) for c in CLASSES]).dropna().dropDuplicates(["doc_id"])
+def known_labels(labels: DataFrame) -> DataFrame:
+    """doc_id, quality, toxic of the documents with a label of either class, one row each. Of conflicting labels the majority counts, and of as many on either side the worse
+    one: quality 0, toxic 1. Rows without a doc_id are left out."""
+    share = lambda c: F.avg(F.col(c).cast("double"))
+    return labels.filter("doc_id is not null").groupBy("doc_id").agg((share("quality") > 0.5).cast("int").alias("quality"), (share("toxic") >= 0.5).cast("int").alias("toxic"))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, most_rows: int, most_bytes: int) -> DataFrame:
+    """doc_id, text, quality, toxic of about most_rows labelled documents, or of so many that their texts have about most_bytes (those with the lowest
+    hash of their id); one row for each doc_id, of different texts the first in order."""
+    labels = known_labels(labels).dropna()
+    size = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    rows = min(most_rows, int(most_bytes * size["n"] / max(1, size["bytes"] or 1)))
     total = labels.count()
-    if total > most_rows:
-        labels = labels.filter(hash60(F.col("doc_id")) < int(2**60 * most_rows / total))
-    return docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id")  # bounded by most_rows
+    if total > rows:
+        labels = labels.filter(hash60(F.col("doc_id")) < int(2**60 * rows / total))
+    found = docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id")  # bounded by most_rows
+    return found.groupBy("doc_id", *CLASSES).agg(F.min("text").alias("text"))
 
 
-def train(docs: DataFrame, labels: DataFrame, most_rows: int = 10_000) -> tuple[np.ndarray, list[float]]:
-    """Weights of the features and intercepts for either class, from a sample of about most_rows labelled documents whose features the driver gets."""
-    sample = labelled_sample(docs, labels, most_rows).select("doc_id", "text", *CLASSES)
+def train(docs: DataFrame, labels: DataFrame, most_rows: int = 10_000, most_bytes: int = 256_000_000) -> tuple[np.ndarray, list[float]]:
+    """Weights of the features and intercepts for either class, from a sample of labelled documents whose features the driver gets (see
+    labelled_sample; the distinct features of a document, at most 2 MB, take about as many bytes as its text)."""
+    sample = labelled_sample(docs, labels, most_rows, most_bytes).select("doc_id", "text", *CLASSES)
     rows = sample.mapInArrow(_collected, "found binary, quality int, toxic int").toPandas()
     if rows.empty:  # nothing is known against any document
         return np.zeros((FEATURES, 2)), [5.0, -5.0]
@@ -148,10 +160,11 @@ def _strength(sites: DataFrame, name: str, rate: Column, up: Column) -> float:
 
 
 def judged(docs: DataFrame, labels: DataFrame, host: Column, path: Column, most_rows: int = 10_000, use_labels: bool = True) -> DataFrame:
-    """One row per document: doc_id, host, path, and for quality and toxic: evidence (a probability), site (the path's posterior)
+    """One row per document: doc_id, host, path, and for quality and toxic: evidence (a probability), site (the path's posterior for this document)
     and p (the document's); kept: p_quality >= 0.5 and p_toxic < 0.5.
 
-    Null texts count as empty; a null host or path is a site of its own; repeated rows are rows of their own. Without labels every
+    Null texts count as empty; a null host or path is a site of its own, the one of an empty name; repeated rows are rows of their own, and their label counts
+    for each. Texts of any length are taken whole; other columns of docs are not read unless host or path do. Without labels every
     document is kept. use_labels False: the site levels see the evidence only.
     """
     weights, intercepts = train(docs, labels, most_rows)
@@ -159,8 +172,12 @@ def judged(docs: DataFrame, labels: DataFrame, host: Column, path: Column, most_
     rows = _scored(sited, weights, ["doc_id", "host", "path"])
     chance = lambda c, i: 1 / (1 + F.exp(-(F.lit(i) + F.col(f"score_{c}"))))
     rows = rows.select("doc_id", "host", "path", *[chance(c, i).alias(f"evidence_{c}") for c, i in zip(CLASSES, intercepts, strict=True)])
-    known = labels.select("doc_id", *CLASSES).dropDuplicates(["doc_id"])
-    rows = stored(rows.join(known, "doc_id", "left") if use_labels else rows.withColumns({c: F.lit(None).cast("int") for c in CLASSES}), "evidence")
+    known = known_labels(labels)
+    return posteriors(stored(rows.join(known, "doc_id", "left") if use_labels else rows.withColumns({c: F.lit(None).cast("int") for c in CLASSES}), "evidence"))
+
+
+def posteriors(rows: DataFrame) -> DataFrame:
+    """The site levels, of rows with doc_id, host, path, evidence_* and the labels quality and toxic (null where unknown); see judged."""
     sums = [F.sum(F.coalesce(F.col(c).cast("double"), F.col(f"evidence_{c}"))).alias(c) for c in CLASSES]
     paths = stored(rows.groupBy("host", "path").agg(F.count("*").alias("n"), *sums), "paths")
     hosts = stored(paths.groupBy("host").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in CLASSES]), "hosts")
@@ -171,13 +188,13 @@ def judged(docs: DataFrame, labels: DataFrame, host: Column, path: Column, most_
         k = _strength(hosts, c, F.col(c) / F.col("n"), F.lit(top[c]))
         host_rows = host_rows.withColumn(f"host_{c}", (F.col(c) + k * top[c]) / (F.col("n") + k))
     path_rows = stored(path_rows.join(host_rows.select("host", *[f"host_{c}" for c in CLASSES]), "host"), "path-posteriors")
-    posteriors = path_rows
-    for c in CLASSES:
-        k = _strength(path_rows, c, F.col(c) / F.col("n"), F.col(f"host_{c}"))
-        posteriors = posteriors.withColumn(f"site_{c}", (F.col(c) + k * F.col(f"host_{c}")) / (F.col("n") + k))
-    posteriors = stored(posteriors.select("host", "path", *[f"site_{c}" for c in CLASSES]), "sites")
-    out = rows.drop(*CLASSES).join(posteriors, ["host", "path"])
-    for c in CLASSES:
+    strengths = {c: _strength(path_rows, c, F.col(c) / F.col("n"), F.col(f"host_{c}")) for c in CLASSES}
+    sites = path_rows.select("host", "path", F.col("n").alias("site_n"), *[F.col(c).alias(f"sum_{c}") for c in CLASSES], *[f"host_{c}" for c in CLASSES])
+    out = rows.join(sites, ["host", "path"])
+    for c, k in strengths.items():
+        own = F.coalesce(F.col(c).cast("double") - F.col(f"evidence_{c}"), F.lit(0.0))
+        out = out.withColumn(f"site_{c}", (F.col(f"sum_{c}") - own + k * F.col(f"host_{c}")) / (F.col("site_n") + k))
         z = _logit(F.col(f"evidence_{c}")) + _logit(F.col(f"site_{c}")) - _logit(F.lit(top[c]))
         out = out.withColumn(f"p_{c}", 1 / (1 + F.exp(-z)))
-    return out.withColumn("kept", (F.col("p_quality") >= 0.5) & (F.col("p_toxic") < 0.5))
+    columns = [f"{x}_{c}" for x in ("evidence", "site", "p") for c in CLASSES]
+    return out.select("host", "path", "doc_id", *columns).withColumn("kept", (F.col("p_quality") >= 0.5) & (F.col("p_toxic") < 0.5))
