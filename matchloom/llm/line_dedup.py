@@ -1,7 +1,8 @@
 """Line dedup within one edit by a deletion neighbourhood. DataFrame functions only.
 
 Lines are compared by their words, lower-cased. Two lines are within one edit if one word is replaced, put in or left
-out. Each line gives hashed keys: of itself, of itself with a gap in place of each word, and of itself less each
+out. The bound on edits follows the line's length: one word in lines of `least_words` (8) words or more, of any length, and none in shorter ones, of which
+one word is an eighth or more. Each line gives hashed keys: of itself, of itself with a gap in place of each word, and of itself less each
 word. Lines with a gap alike are near one another; a line less one word is near the line that equals it. So for each key
 only its earliest line matters, and a key with any number of lines costs one candidate for each of them.
 Candidates are verified word by word.
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 
 from .shared import BLANK, WORD, stored
 
-#: Documents with lines to be read again are broadcast up to this number, with some dozens of bytes for each line.
-MOST_BROADCAST = 200_000
+#: Bytes up to which the places of lines to be read again are broadcast; beyond, documents' texts are moved to them once.
+MOST_BROADCAST = 32_000_000
 
 
 def _plain(low: Column) -> Column:
@@ -84,7 +85,7 @@ def _near_lines(docs: DataFrame, first: DataFrame, least_words: int) -> DataFram
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select(F.col("doc_id").alias("of_doc"), F.xxhash64(text).alias("of_text"), text.alias("text"))
     wanted = stored(wanted, "wanted-lines")
-    if wanted.count() <= MOST_BROADCAST:
+    if (wanted.agg(F.sum(64 + 40 * F.size("wanted"))).first()[0] or 0) <= MOST_BROADCAST:
         wanted = F.broadcast(wanted)
     found = keyed.join(wanted, F.col("of_doc").eqNullSafe(F.col("doc_id")) & (F.col("of_text") == F.col("text_key")))
     own = lambda x: F.struct(x["line"].alias("line"), F.try_element_at("rows", x["pos"] + 1).alias("row"))
@@ -157,8 +158,12 @@ def line_verdicts(docs: DataFrame, least_words: int = 8) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, least_words: int = 8, with_text: bool = True) -> DataFrame:
-    """docs with the lines that stay as text, and n_lines, n_equal, n_near and kept. Lines without words stay. with_text False: doc_id and the
-    verdicts only. A null text stays null and has no lines."""
+    """docs with the lines that stay as text, and n_lines, n_equal, n_near and kept (see line_verdicts), which take the place of columns of these names.
+    Lines without words stay. with_text False: doc_id and the verdicts only.
+
+    A null text stays null and has no lines; an empty one stays empty. Of repeated rows the first keeps its lines and the others lose them; which one is
+    first does not matter, as they are alike. Texts and lines of any length are taken whole.
+    """
     if not with_text:
         return line_verdicts(docs.select("doc_id", "text").withColumn("uid", F.monotonically_increasing_id()), least_words).drop("uid")
     texts = stored(docs.withColumn("__loom_uid", F.monotonically_increasing_id()), "numbered")
