@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,20 +16,27 @@ BLANK = r"[\x20\x09-\x0D]"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
+    """This application's folder under spark.checkpoint.dir. Where that is unset, a temporary folder serves in local mode only, as in tests: on a cluster every
+    machine would write to its own."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
+    return f"{found.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_stored(spark: SparkSession) -> None:
+    """Deletes all stored tables of this application; none of its DataFrames can be used after that."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet in the shared folder and read again: lineage ends there, and a lost
     executor costs no recomputation of what went before."""
