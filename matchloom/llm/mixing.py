@@ -35,7 +35,8 @@ def mixed(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, most:
 
     size counts the words; null texts have none. Sources stand by code point, null last, and take the
     weights in turn. The mix takes `whole` repetitions and then the first `extra` words. Repeated rows are rows
-    of their own. The driver gets one row per source; sources are dataset names, some thousands at most.
+    of their own, in any order among themselves as they are alike. Texts of any length count whole; columns besides doc_id, text, source and, if numbered, uid are not
+    read. The driver gets one row per source, which is a dataset's name. No documents give no rows.
     """
     spark = docs.sparkSession
     uid = F.col("uid") if numbered else F.monotonically_increasing_id()

@@ -200,7 +200,8 @@ def packed(docs: DataFrame, tokenizer: str, length: int = 4096, end: int = 2, se
     """One row per piece: uid, doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if whole, the ids (unsigned 32 bits).
 
     A document's ids are those of its text and then `end`; null counts as empty and has that one id. The vocabulary must have
-    under 65536 ids and part its tokens at blanks. Repeated rows are packed each.
+    under 65536 ids and part its tokens at blanks. Repeated rows are packed each, and a null doc_id stays null. A text of any length is tokenized whole and cut
+    into as many pieces as it needs; columns besides doc_id and text are not read. No documents give no rows.
     """
     # the queue of a worker holds few batches, as texts may be long
     rows = stored(docs.select("doc_id", "text").mapInArrow(lambda it: _tokens(it, tokenizer, end, seed), _TOKENS), "tokens")

@@ -58,3 +58,33 @@ def test_rows_with_nulls_copies_and_clashing_columns(spark):
 
 def test_empty(spark):
     assert sharding.shard_rows(spark.createDataFrame([], "doc_id long, text string"), 8).count() == 0
+
+
+def test_whole_result_against_brute_force(spark):
+    """Shards are runs of groups in the order of their keys, cut greedily at the smallest capacity."""
+    import zlib
+
+    from .test_oracles import documents
+
+    rows = documents() + [(5000 + i, "hot text " * 40, "s") for i in range(150)]
+    got = sharding.shard_rows(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3), 8).collect()
+    raw = {d: (t or "").encode() for d, t, _ in rows}
+    assert len(got) == len(rows)
+    assert all((r["size"], r["text_crc32"]) == (len(raw[r["doc_id"]]) + 1, zlib.crc32(raw[r["doc_id"]])) for r in got)
+    texts, sizes, shard_of = {}, {}, {}
+    for r in got:
+        assert texts.setdefault(r["key"], raw[r["doc_id"]]) == raw[r["doc_id"]]
+        sizes[r["key"]] = sizes.get(r["key"], 0) + r["size"]
+        assert shard_of.setdefault(r["key"], r["shard"]) == r["shard"]
+    assert len(texts) == len(set(raw.values()))
+    order = sorted(sizes)
+    capacity = brute([sizes[k] for k in order], 8)
+    shard, room, want = 0, capacity, {}
+    for k in order:
+        if sizes[k] > room:
+            shard, room = shard + 1, capacity
+        room -= sizes[k]
+        want[k] = shard
+    assert shard_of == want
+    for s in set(want.values()):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
