@@ -2,7 +2,11 @@
 
 Stages, in order: quality rules (rejected documents and boilerplate lines go), exact dedup (one of equal texts stays), n-gram Jaccard join (one document of each
 near-duplicate component stays), mixing of sources (documents are repeated or left out), packing. Each takes (spark, docs, sf_dir) and
-returns a DataFrame that is written and read again as the next one's docs. Documents without words fail the first stage.
+returns a DataFrame that is written and read again as the next one's docs.
+
+Nulls and repeats: a null text counts as empty in all stages, and documents without words fail the first; a null source is a source of its own; a null doc_id
+stays null and ranks below any other where copies compete. Repeated rows are rows of their own in quality rules, mixing and packing, and copies of one another in both
+dedup stages. Texts are taken whole at any length, other columns are handed on as they are (n_chars follows a changed text), and no documents give no rows.
 """
 
 from __future__ import annotations
