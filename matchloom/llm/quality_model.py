@@ -159,9 +159,9 @@ def _strength(sites: DataFrame, name: str, rate: Column, up: Column) -> float:
     return float(min(1e5, max(1.0, r["m"] / between - 1)))
 
 
-def judged(docs: DataFrame, labels: DataFrame, host: Column, path: Column, most_rows: int = 10_000, use_labels: bool = True) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, host: Column, path: Column, most_rows: int = 10_000, use_labels: bool = True, most_toxic: float = 0.3) -> DataFrame:
     """One row per document: doc_id, host, path, and for quality and toxic: evidence (a probability), site (the path's posterior for this document)
-    and p (the document's); kept: p_quality >= 0.5 and p_toxic < 0.5.
+    and p (the document's); kept: p_quality >= 0.5 and p_toxic < most_toxic, under a half as a toxic document that stays costs more than a clean one that goes.
 
     Null texts count as empty; a null host or path is a site of its own, the one of an empty name; repeated rows are rows of their own, and their label counts
     for each. Texts of any length are taken whole; other columns of docs are not read unless host or path do. Without labels every
@@ -173,10 +173,10 @@ def judged(docs: DataFrame, labels: DataFrame, host: Column, path: Column, most_
     chance = lambda c, i: 1 / (1 + F.exp(-(F.lit(i) + F.col(f"score_{c}"))))
     rows = rows.select("doc_id", "host", "path", *[chance(c, i).alias(f"evidence_{c}") for c, i in zip(CLASSES, intercepts, strict=True)])
     known = known_labels(labels)
-    return posteriors(stored(rows.join(known, "doc_id", "left") if use_labels else rows.withColumns({c: F.lit(None).cast("int") for c in CLASSES}), "evidence"))
+    return posteriors(stored(rows.join(known, "doc_id", "left") if use_labels else rows.withColumns({c: F.lit(None).cast("int") for c in CLASSES}), "evidence"), most_toxic)
 
 
-def posteriors(rows: DataFrame) -> DataFrame:
+def posteriors(rows: DataFrame, most_toxic: float = 0.3) -> DataFrame:
     """The site levels, of rows with doc_id, host, path, evidence_* and the labels quality and toxic (null where unknown); see judged."""
     sums = [F.sum(F.coalesce(F.col(c).cast("double"), F.col(f"evidence_{c}"))).alias(c) for c in CLASSES]
     paths = stored(rows.groupBy("host", "path").agg(F.count("*").alias("n"), *sums), "paths")
@@ -197,4 +197,4 @@ def posteriors(rows: DataFrame) -> DataFrame:
         z = _logit(F.col(f"evidence_{c}")) + _logit(F.col(f"site_{c}")) - _logit(F.lit(top[c]))
         out = out.withColumn(f"p_{c}", 1 / (1 + F.exp(-z)))
     columns = [f"{x}_{c}" for x in ("evidence", "site", "p") for c in CLASSES]
-    return out.select("host", "path", "doc_id", *columns).withColumn("kept", (F.col("p_quality") >= 0.5) & (F.col("p_toxic") < 0.5))
+    return out.select("host", "path", "doc_id", *columns).withColumn("kept", (F.col("p_quality") >= 0.5) & (F.col("p_toxic") < most_toxic))
