@@ -92,10 +92,25 @@ def purchases_with_player(raw: DataFrame, patches: DataFrame, *fields: str) -> D
     )
 
 
+def _purchased(players, own: Column | None = None) -> Column:
+    """Ids of the items that players (of one hero only, if `own` is given) bought, as a list."""
+    kept = F.filter(players, lambda q: q["stats"]["itemPurchases"].isNotNull() & (F.lit(True) if own is None else q["heroId"] == own))
+    return F.flatten(F.transform(kept, lambda q: q["stats"]["itemPurchases"]["itemId"]))
+
+
+def held_and_bought(raw: DataFrame, patches: DataFrame) -> DataFrame:
+    """One row per filled slot of parsed matches: match_id, hero_id, patch, item_id, and whether the match logs a purchase of the item by the hero. Nothing is
+    shuffled, as a match's purchases are looked up before it is taken apart."""
+    rows = with_players(asof(raw, patches).filter("parsedDateTime is not null").withColumn("others", F.col("players")))
+    slots = F.array(*[F.col(f"p.{c}") for c in (*schemas.ITEM_SLOTS, *schemas.BACKPACK_SLOTS)])
+    rows = rows.select(F.col("id").alias("match_id"), F.col("p.heroId").alias("hero_id"), "patch", slots.alias("held"), _purchased("others", F.col("p.heroId")).alias("bought"))
+    rows = rows.select("match_id", "hero_id", "patch", "bought", F.explode("held").alias("item_id")).filter("item_id is not null")
+    return rows.withColumn("logged", F.coalesce(F.array_contains("bought", F.col("item_id")), F.lit(False))).drop("bought")
+
+
 def bought_items(raw: DataFrame, patches: DataFrame) -> DataFrame:
     """One row per match and item bought in it: match_id, patch, item_id."""
-    lists = F.flatten(F.transform(F.filter("players", lambda p: p["stats"]["itemPurchases"].isNotNull()), lambda p: p["stats"]["itemPurchases"]["itemId"]))
-    rows = asof(raw, patches).select(F.col("id").alias("match_id"), "patch", F.array_distinct(lists).alias("items"))
+    rows = asof(raw, patches).select(F.col("id").alias("match_id"), "patch", F.array_distinct(_purchased("players")).alias("items"))
     return rows.select("match_id", "patch", F.explode("items").alias("item_id"))
 
 
@@ -124,6 +139,12 @@ def classified(events: DataFrame, meta: DataFrame) -> DataFrame:
     return events.join(cut, "item_id").withColumn("item_class", purchase_class(cut))
 
 
+def class_counts(events: DataFrame, meta: DataFrame) -> DataFrame:
+    """Purchases per class of item, counted by item before they meet the items."""
+    rows = classified(events.groupBy("item_id").agg(F.count("*").alias("n")), meta)
+    return rows.groupBy("item_class").agg(F.sum("n").alias("n"))
+
+
 def timeline(events: DataFrame, time: str = "purchase_time_s") -> DataFrame:
     """Per minute from the horn; what comes before it is one bucket, -1."""
     minute = F.when(F.col(time) < 0, F.lit(-1).cast("long")).otherwise(F.floor(F.col(time) / 60))
@@ -134,5 +155,6 @@ def item_availability(events: DataFrame, distinct: bool = False) -> DataFrame:
     """Matches per patch and item; a pair without matches is 0 where the item occurs in any patch. distinct: events are one for each match and item."""
     n = F.count("match_id") if distinct else F.countDistinct("match_id")
     seen = events.groupBy("patch", "item_id").agg(n.alias("matches"))
+    seen = seen.checkpoint() if seen.sparkSession.sparkContext.getCheckpointDir() else seen  # else counted once for each side of the grid
     grid = seen.select("patch").distinct().crossJoin(seen.select("item_id").distinct())  # two dimensions: releases and items
     return grid.join(seen, ["patch", "item_id"], "left").withColumn("matches", F.coalesce("matches", F.lit(0).cast("long")))

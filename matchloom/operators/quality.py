@@ -72,6 +72,11 @@ def unlogged_rate(facts: DataFrame, events: DataFrame, items: tuple = UNLOGGED_I
     return rows.groupBy(F.col("item_id").isin(*items).alias("listed")).agg(F.count("*").alias("held"), F.avg(F.coalesce("logged", F.lit(0))).alias("logged_share"))
 
 
+def unlogged_share(rows: DataFrame, items: tuple = UNLOGGED_ITEMS) -> DataFrame:
+    """The same of rows of facts.held_and_bought."""
+    return rows.groupBy(F.col("item_id").isin(*items).alias("listed")).agg(F.count("*").alias("held"), F.avg(F.col("logged").cast("int")).alias("logged_share"))
+
+
 def paths_frame(spark, schema: T.DataType | str, name: str = "path") -> DataFrame:
     return spark.createDataFrame([(p,) for p in sorted(set(field_paths(schema)))], f"{name} string")
 

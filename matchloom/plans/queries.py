@@ -635,7 +635,8 @@ def unlogged_bought(spark, sf):
     "FROM players WHERE is_parsed) LEFT JOIN (SELECT DISTINCT match_id, hero_id, item_id, 1 AS logged FROM purchases) USING (match_id, hero_id, item_id) WHERE item_id IS NOT NULL GROUP BY 1", "players", "purchases",
 )
 def unlogged_rate(spark, sf):
-    return quality.unlogged_rate(_players(spark, sf, *_HELD), _purchases(spark, sf))
+    raw = D.raw(spark, sf, ("startDateTime", "parsedDateTime"), ("heroId", *schemas.ITEM_SLOTS, *schemas.BACKPACK_SLOTS), ("itemPurchases",))
+    return quality.unlogged_share(facts.held_and_bought(raw, D.patches(spark)))
 
 
 @query("SELECT league_id, count(*) AS matches, min(COALESCE(start_time, 0)) AS earliest, max(COALESCE(start_time, 0)) AS latest FROM lm GROUP BY league_id", "lm")
@@ -846,8 +847,7 @@ def frame_union(spark, sf):
     "FROM purchases JOIN meta USING (item_id) GROUP BY 1", "purchases", "meta",
 )
 def purchase_classes(spark, sf):
-    rows = facts.classified(_purchases(spark, sf), _meta(spark, sf))
-    return rows.groupBy("item_class").agg(F.count("*").alias("n"))
+    return facts.class_counts(_purchases(spark, sf), _meta(spark, sf))
 
 
 @query("SELECT CASE WHEN purchase_time_s < 0 THEN -1 ELSE purchase_time_s // 60 END AS minute, count(*) AS n FROM purchases GROUP BY 1", "purchases")

@@ -177,6 +177,12 @@ def test_purchases_with_player_are_those_of_the_join(spark):
     items = facts.bought_items(df, patches)
     assert sorted((r["match_id"], r["item_id"]) for r in items.collect()) == [(1, 1), (1, 2), (1, 7), (4, 2)]
     table = lambda x: sorted(map(str, x.collect()))
+    held = raw(
+        spark,
+        {"id": 1, "startDateTime": 5, "parsedDateTime": 9, "players": [{"heroId": 1, "item0Id": 1, "backpack2Id": 1851, "stats": buy(1)}, {"heroId": 1, "item1Id": 2, "item2Id": 5, "stats": buy(2)}, {"heroId": None, "item0Id": 7, "stats": buy(7)}]},
+        {"id": 2, "startDateTime": 5, "players": [{"heroId": 1, "item0Id": 1}]}, {"id": 3, "startDateTime": 5, "parsedDateTime": 9, "players": [{"heroId": 2, "item0Id": 1847}]},
+    )
+    assert table(quality.unlogged_share(facts.held_and_bought(held, patches))) == table(quality.unlogged_rate(facts.players(held, patches), facts.purchases(held, patches)))
     assert table(facts.item_availability(items, distinct=True)) == table(facts.item_availability(facts.purchases(df, patches)))
 
 
