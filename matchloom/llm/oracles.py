@@ -26,10 +26,10 @@ WITH r AS (SELECT doc_id, unnest(range(len(p))) AS pos, unnest(p) AS line FROM (
 o AS (SELECT doc_id, pos, list_filter(regexp_split_to_array(lower(line), {_BLANK}), lambda w: w <> '') AS ws FROM r),
 l AS (SELECT *, array_to_string(ws, ' ') AS k FROM o WHERE len(ws) > 0),
 f AS (SELECT k, any_value(ws) AS ws, min((doc_id, pos)) AS place FROM l GROUP BY k),
-t AS (SELECT * FROM f WHERE len(ws) BETWEEN 7 AND 500),
-v AS (SELECT k, place, i, len(ws) AS n, array_to_string(list_concat(ws[1:i - 1], ws[i + 1:]), ' ') AS short FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM t WHERE len(ws) >= 8)),
+t AS (SELECT *, md5(k) AS whole FROM f WHERE len(ws) >= 7),
+v AS (SELECT k, place, i, len(ws) AS n, md5(array_to_string(list_concat(ws[1:i - 1], ws[i + 1:]), ' ')) AS short FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM t WHERE len(ws) >= 8)),
 near AS (SELECT k FROM (SELECT k, place, min(place) OVER (PARTITION BY short, i, n) AS m FROM v) WHERE m < place
-UNION SELECT v.k FROM v JOIN t ON v.short = t.k AND t.place < v.place UNION SELECT t.k FROM v JOIN t ON v.short = t.k AND v.place < t.place),
+UNION SELECT v.k FROM v JOIN t ON v.short = t.whole AND t.place < v.place UNION SELECT t.k FROM v JOIN t ON v.short = t.whole AND v.place < t.place),
 j AS (SELECT l.doc_id, l.pos, (l.doc_id, l.pos) = f.place AS is_first, near.k IS NOT NULL AS is_near FROM l JOIN f USING (k) LEFT JOIN near USING (k)),
 a AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT is_first) AS n_equal, count(*) FILTER (is_first AND is_near) AS n_near,
 string_agg(pos, ',' ORDER BY pos) FILTER (is_first AND NOT is_near) AS kept_lines FROM j GROUP BY doc_id)
