@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import WORD, block_of, blocks_for, hash60, running, stored
+from .shared import WORD, hash60, running, stored
 
 
 def water_fill(sizes: dict, weights: dict, total: float, most: float) -> dict:
@@ -56,8 +56,7 @@ def mixed(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, most:
         plan.append((s, size, float(targets[s]), words // size if size else 0, words % size if size else 0))
     kind = "source string, source_size long, target double, whole long, over long"
     table = spark.createDataFrame(plan, T._parse_datatype_string(kind)) if plan else spark.createDataFrame([], kind)
-    blocks = blocks_for(rows.count())
-    ordered = running(rows.withColumn("block", block_of(F.col("h"), blocks)), ["source"], "block", ["h", "doc_id", "size", "uid"], F.col("size"), "before")
+    ordered = running(rows, ["source"], ["h", "doc_id", "size", "uid"], F.col("size"), "before")
     joined = ordered.alias("d").join(table.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")))
     extra = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("over") - F.col("before")))
     return joined.select(

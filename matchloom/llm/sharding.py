@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import block_of, blocks_for, hash60, running, stored
+from .shared import hash60, running, stored
 
 _BITS = 60
 
@@ -97,20 +97,19 @@ def shard_rows(docs: DataFrame, shards: int = 8) -> DataFrame:
     """One row per document: doc_id, size (bytes of the text plus 1), text_crc32, key, shard, slot.
 
     A null text counts as empty, of size 1. Repeated rows are rows of their own and share a shard. Slots are gapless
-    from 0 in each shard, in the order of a hash of doc_id; rows with one doc_id, null included, are numbered together. With fewer groups than shards the last
+    from 0 in each shard, in the order of a hash of doc_id. With fewer groups than shards the last
     shards stay empty. A text of any length counts whole, and a group larger than all others alone sets the capacity; columns besides doc_id and text are not read.
     """
     text = F.coalesce("text", F.lit(""))
     rows = stored(
         docs.select(
             "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-            F.shiftrightunsigned(F.xxhash64(text), 4).alias("key"), hash60(F.col("doc_id")).alias("h"),
+            F.shiftrightunsigned(F.xxhash64(text), 4).alias("key"), hash60(F.col("doc_id")).alias("h"), F.monotonically_increasing_id().alias("uid"),
         ), "sizes",
     )
     groups = stored(rows.groupBy("key").agg(F.sum("size").alias("bytes")), "group-sizes")
     _, cuts = capacity_and_cuts(groups, shards)
     shard = sum((F.when(F.col("key") >= c, 1).otherwise(0) for c in cuts), F.lit(0))
-    blocks = blocks_for(rows.count())
-    placed = rows.withColumn("shard", shard.cast("int")).withColumn("block", block_of(F.col("h"), blocks))
-    numbered = running(placed, ["shard"], "block", ["h", "doc_id", "key", "size"], F.lit(1).cast("long"), "slot")
+    placed = rows.withColumn("shard", shard.cast("int"))
+    numbered = running(placed, ["shard"], ["h", "doc_id", "key", "uid"], F.lit(1).cast("long"), "slot")
     return numbered.select("doc_id", "size", "text_crc32", "key", "shard", "slot")

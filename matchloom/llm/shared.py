@@ -46,38 +46,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def blocks_for(rows: int, per_block: int = 256, most: int = 65536) -> int:
-    """A power of two: blocks of about per_block rows, at most `most` blocks, so that what is summed
-    over blocks stays bounded while the blocks grow with the table."""
-    want = max(16, min(most, rows // per_block))
-    return 1 << (want - 1).bit_length()
-
-
 def hash60(*cols: Column) -> Column:
     """60 bits of MD5 as a long, the same in SQL engines that have md5()."""
     text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
-def block_of(h: Column, blocks: int) -> Column:
-    return F.shiftright(h, 60 - (blocks.bit_length() - 1)).cast("int")
-
-
-def running(df: DataFrame, group: list[str], block: str, order: list, amount: Column, name: str) -> DataFrame:
-    """df with `name`: the sum of amount over the earlier rows of its group, in the order of (block,
-    *order). Each group is cut into blocks, so that no task holds a whole group: sums of blocks
-    are summed first, then rows within one block. df is read twice and should be stored."""
-    sums = df.groupBy(*group, block).agg(F.sum(amount).alias("__sum"))
-    over = Window.partitionBy(*group).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select(*group, block, F.coalesce(F.sum("__sum").over(over), F.lit(0)).alias("__before"))
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*group, block]]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    inner = Window.partitionBy(*group, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = df.withColumn("__local", F.coalesce(F.sum(amount).over(inner), F.lit(0)))
-    joined = local.alias("l").join(before.alias("r"), cond)
-    return joined.select("l.*", "r.__before").withColumn(name, F.col("__before") + F.col("__local")).drop("__before", "__local")
+def running(df: DataFrame, group: list[str], order: list[str], amount: Column, name: str) -> DataFrame:
+    """df with `name`: the sum of amount over the earlier rows of its group by `order`, which must end in a column that no two rows share. Rows are dealt out by
+    ranges of group and order, so that no task holds a group, nor the rows alike in all but that column: sums of ranges are summed first, then
+    rows within one range."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = stored(df.repartitionByRange(parts, *group, *order).withColumn("__part", F.spark_partition_id()), "ranges")
+    sums = ranges.groupBy(*group, "__part").agg(F.sum(amount).alias("__sum"))
+    over = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    before = sums.select(*group, "__part", F.coalesce(F.sum("__sum").over(over), F.lit(0)).alias("__before"))
+    same = F.col("l.__part") == F.col("r.__part")
+    for c in group:
+        same = same & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    inner = Window.partitionBy(*group, "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranges.withColumn("__local", F.coalesce(F.sum(amount).over(inner), F.lit(0)))
+    joined = local.alias("l").join(before.alias("r"), same)
+    return joined.select("l.*", "r.__before").withColumn(name, F.col("__before") + F.col("__local")).drop("__before", "__local", "__part")
 
 
 def keep_rows(docs: DataFrame, rows: DataFrame, key: Column, name: str, kept: str) -> DataFrame:
