@@ -37,6 +37,20 @@ def _repeated(hashes: Column, width: int) -> Column:
     return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(_bind(hashes, count))
 
 
+def _windows(docs: DataFrame, width: int) -> DataFrame:
+    """docs with `windows`, the hashes of all runs of `width` words in order: those of twice as many words come from two neighbouring ones, so that a word is
+    hashed once and joined a few times."""
+
+    def joined(h: str, by: int) -> Column:
+        return F.zip_with(h, F.slice(h, by + 1, F.greatest(F.size(h) - by, F.lit(0))), lambda x, y: F.xxhash64(x, y))
+
+    docs, n = docs.withColumn("windows", F.transform("words", lambda w: F.xxhash64(w))), 1
+    while n < width:
+        by = min(n, width - n)
+        docs, n = docs.withColumn("windows", joined("windows", by)), n + by
+    return docs.withColumn("windows", F.slice("windows", 1, F.greatest(F.size("words") - width + 1, F.lit(0))))  # without those past the end
+
+
 def measured(docs: DataFrame, width: int = 8) -> DataFrame:
     """Stored: uid, doc_id, host, text_key, counts of the base rules and lines (array of line hash, words and place in the text)."""
     text = F.coalesce("text", F.lit(""))
@@ -44,11 +58,11 @@ def measured(docs: DataFrame, width: int = 8) -> DataFrame:
         "*", F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)).alias("words"),
         F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(x.alias("row"), i.alias("pos"))), lambda x: x["row"].rlike(WORD)).alias("rows"),
     )
-    windows = F.when(F.size("words") >= width, F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - width + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("words", i, width))))
     plain = lambda x: F.lower(F.trim(F.regexp_replace(F.regexp_replace(x, "[0-9]+", "0"), f"{BLANK}+", " ")))
-    lines = F.transform("rows", lambda x: F.struct(F.xxhash64(plain(x["row"])).alias("line"), F.regexp_count(x["row"], F.lit(WORD)).alias("n"), x["pos"].alias("pos")))
-    wide = base.select("doc_id", "host", "text", "words", "rows", F.coalesce(windows, F.array().cast("array<long>")).alias("windows"))
-    out = wide.select(
+    base = base.withColumn("plain", F.transform("rows", lambda x: F.struct(plain(x["row"]).alias("line"), x["pos"].alias("pos"))))
+    n = lambda line: F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+    lines = F.transform("plain", lambda x: F.struct(F.xxhash64(x["line"]).alias("line"), n(x["line"]).alias("n"), x["pos"].alias("pos")))
+    out = _windows(base, width).select(
         F.monotonically_increasing_id().alias("uid"), "doc_id", "host", F.xxhash64("text").alias("text_key"),
         F.size("words").cast("long").alias("n_words"),
         F.length(F.translate("text", _BLANKS, "")).cast("long").alias("word_chars"),
