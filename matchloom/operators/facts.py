@@ -25,9 +25,15 @@ FANTASY = ("match_id", "hero_id", "account_id", "is_parsed", "kills", "deaths",
 _EVENT_PLAYER = ("heroId", "isRadiant", "isVictory")
 
 
+def each(rows: DataFrame, items: Column | str, name: str) -> DataFrame:
+    """One row per element of a list, as explode gives them: none for a null or empty list. Spark puts a filter on the size of what explode takes below
+    it, so that a list that is made on the way would be made twice; the outer form has no such filter."""
+    return rows.select("*", F.posexplode_outer(items).alias("__at", name)).filter("__at is not null").drop("__at")
+
+
 def with_players(raw: DataFrame) -> DataFrame:
     """One row per match and player, `p`; a match without players has none."""
-    return raw.withColumn("p", F.explode("players")).drop("players")
+    return each(raw, "players", "p").drop("players")
 
 
 def player_columns() -> dict[str, Column]:
@@ -55,7 +61,7 @@ def players(raw: DataFrame, patches: DataFrame, *columns: str) -> DataFrame:
 
 
 def _events(raw: DataFrame, patches: DataFrame, field: str, columns: dict[str, str], player: tuple = _EVENT_PLAYER) -> DataFrame:
-    rows = with_players(asof(raw, patches)).withColumn("e", F.explode(f"p.stats.{field}"))
+    rows = each(with_players(asof(raw, patches)), f"p.stats.{field}", "e")
     return rows.select(
         F.col("id").alias("match_id"), *[F.col(f"p.{c}").alias(PLAYER_COLUMNS[c]) for c in player],
         *[F.col(f"e.{c}").alias(n) for c, n in columns.items()], "patch",
@@ -85,7 +91,7 @@ def purchases_with_player(raw: DataFrame, patches: DataFrame, *fields: str) -> D
     """Purchases with fields of the players of their match and hero, as with_player gives them, but looked up within the match before it is
     taken apart, so that nothing is shuffled."""
     rows = with_players(asof(raw, patches).withColumn("others", F.col("players")))
-    rows = rows.withColumn("q", F.explode(F.filter("others", lambda q: q["heroId"] == F.col("p.heroId")))).withColumn("e", F.explode("p.stats.itemPurchases"))
+    rows = each(each(rows, F.filter("others", lambda q: q["heroId"] == F.col("p.heroId")), "q"), "p.stats.itemPurchases", "e")
     return rows.select(
         F.col("id").alias("match_id"), F.col("p.heroId").alias("hero_id"), F.col("e.itemId").alias("item_id"), F.col("e.time").alias("purchase_time_s"),
         *[F.col(f"q.{c}").alias(PLAYER_COLUMNS[c]) for c in fields], "patch",
@@ -104,19 +110,19 @@ def held_and_bought(raw: DataFrame, patches: DataFrame) -> DataFrame:
     rows = with_players(asof(raw, patches).filter("parsedDateTime is not null").withColumn("others", F.col("players")))
     slots = F.array(*[F.col(f"p.{c}") for c in (*schemas.ITEM_SLOTS, *schemas.BACKPACK_SLOTS)])
     rows = rows.select(F.col("id").alias("match_id"), F.col("p.heroId").alias("hero_id"), "patch", slots.alias("held"), _purchased("others", F.col("p.heroId")).alias("bought"))
-    rows = rows.select("match_id", "hero_id", "patch", "bought", F.explode("held").alias("item_id")).filter("item_id is not null")
+    rows = each(rows, "held", "item_id").filter("item_id is not null").drop("held")
     return rows.withColumn("logged", F.coalesce(F.array_contains("bought", F.col("item_id")), F.lit(False))).drop("bought")
 
 
 def bought_items(raw: DataFrame, patches: DataFrame) -> DataFrame:
     """One row per match and item bought in it: match_id, patch, item_id."""
     rows = asof(raw, patches).select(F.col("id").alias("match_id"), "patch", F.array_distinct(_purchased("players")).alias("items"))
-    return rows.select("match_id", "patch", F.explode("items").alias("item_id"))
+    return each(rows, "items", "item_id").drop("items")
 
 
 def held_items(facts: DataFrame) -> DataFrame:
     """One row per filled slot of inventory and backpack."""
-    held = facts.withColumn("item_id", F.explode(F.concat("inventory", "backpack"))).filter("item_id is not null")
+    held = each(facts, F.concat("inventory", "backpack"), "item_id").filter("item_id is not null")
     return held.select("match_id", "hero_id", "patch", "is_parsed", "item_id")
 
 
