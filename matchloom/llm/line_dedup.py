@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 
 from .shared import BLANK, WORD, stored
 
-#: Bytes up to which the places of lines to be read again are broadcast; beyond, documents' texts are moved to them once.
-MOST_BROADCAST = 32_000_000
-
 
 def _plain(low: Column) -> Column:
     """A lower-cased line with single blanks between words."""
@@ -80,14 +77,11 @@ def _near_lines(docs: DataFrame, first: DataFrame, least_words: int) -> DataFram
     shared = blocks.groupBy("block").agg(F.min("line").alias("x"), F.max("line").alias("y")).filter("x != y").select("block")
     some = stored(blocks.join(shared, "block").groupBy("line").agg(F.collect_set("quarter").alias("without")), "lines-with-blocks")
     tried = stored(first.select("line", "place").join(some, "line"), "tried-lines")
-    # the words are read again, of the documents with such lines; their texts are moved once, or not at all where these documents are few
+    # the words are read again, of the documents with such lines, to which texts are moved once; by the same plan at any size
     wanted = tried.groupBy("place.doc_id", "place.text_key").agg(F.collect_list(F.struct("line", "place.pos")).alias("wanted"))
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select(F.col("doc_id").alias("of_doc"), F.xxhash64(text).alias("of_text"), text.alias("text"))
-    wanted = stored(wanted, "wanted-lines")
-    if (wanted.agg(F.sum(64 + 40 * F.size("wanted"))).first()[0] or 0) <= MOST_BROADCAST:
-        wanted = F.broadcast(wanted)
-    found = keyed.join(wanted, F.col("of_doc").eqNullSafe(F.col("doc_id")) & (F.col("of_text") == F.col("text_key")))
+    found = keyed.join(wanted.hint("merge"), F.col("of_doc").eqNullSafe(F.col("doc_id")) & (F.col("of_text") == F.col("text_key")))
     own = lambda x: F.struct(x["line"].alias("line"), F.try_element_at("rows", x["pos"] + 1).alias("row"))
     rows = found.select(F.split("text", "\n").alias("rows"), "wanted").select(F.explode(F.transform("wanted", own)).alias("x"))
     texts = rows.select("x.line", F.split(_plain(F.lower("x.row")), " ").alias("words")).groupBy("line").agg(F.first("words").alias("words"))
