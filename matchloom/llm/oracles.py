@@ -6,7 +6,40 @@ _WORD = r"'[^\x20\x09-\x0D]+'"
 _BLANK = r"'[\x20\x09-\x0D]+'"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _manifest() -> str:
+    """op13_merkle_manifest: trees of runs of 16 over the sources and over their tops, climbed level by level; CRC-32 by its table."""
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE concat(octet_length(encode(CAST({c} AS VARCHAR))), ':', {c}) END"
+    leaf = lambda t: "sha256(concat(" + ", ".join(map(field, ("doc_id", "source", "lang", "n_chars", t))) + "))"
+
+    def tree(n: int, nodes: str) -> str:
+        return f"""
+lv{n}(level, key, pos, size, h) AS (SELECT 0, key, pos, size, h FROM {nodes} UNION ALL
+SELECT level + 1, key, pos // 16, (size + 15) // 16, sha256(string_agg(h, '' ORDER BY pos)) FROM lv{n} WHERE size > 1 GROUP BY level, key, pos // 16, size),
+runs{n} AS (SELECT level, key, pos // 16 AS run, list(h ORDER BY pos) AS hs FROM lv{n} WHERE size > 1 GROUP BY ALL)"""
+
+    def walk(n: int, start: str) -> str:
+        others = "list_concat(hs[:pos % 16], {}hs[pos % 16 + 2:])"
+        return f"""
+walk{n}(uid, level, key, pos, h, proof) AS ({start} UNION ALL
+SELECT uid, w.level + 1, w.key, pos // 16, sha256(array_to_string({others.format('[h], ')}, '')), concat(proof, array_to_string({others.format('')}, ''))
+FROM walk{n} w JOIN runs{n} r ON r.level = w.level AND r.key = w.key AND r.run = w.pos // 16)"""
+
+    return f"""
+WITH RECURSIVE crcs AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_concat([i], range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(i))),
+d AS (SELECT *, row_number() OVER () AS uid, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) AS crc FROM documents, crcs),
+l AS (SELECT uid, doc_id, CASE WHEN source IS NULL THEN '' ELSE concat('=', source) END AS key, {leaf("text")} AS h, CASE WHEN crc % 5 = 0 THEN {leaf(_LOWER.format("text"))} END AS other FROM d),
+n AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, count(*) OVER (PARTITION BY key) AS size FROM l),{tree(1, "n")},
+s AS (SELECT 0 AS key, key AS own, row_number() OVER (ORDER BY key) - 1 AS pos, count(*) OVER () AS size, h FROM lv1 WHERE size = 1),{tree(2, "s")},{walk(1, "SELECT uid, 0, key, pos, coalesce(other, h), '' FROM n")},
+e AS (SELECT uid, key, arg_max(h, level) AS h, arg_max(proof, level) AS proof FROM walk1 GROUP BY ALL),{walk(2, "SELECT uid, 0, s.key, pos, e.h, proof FROM e JOIN s ON s.own = e.key")},
+z AS (SELECT uid, arg_max(h, level) AS folded_root, arg_max(proof, level) AS proof FROM walk2 GROUP BY uid),
+root AS (SELECT h AS root FROM lv2 WHERE size = 1)
+SELECT n.doc_id, n.h AS leaf, s.h AS subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified FROM n JOIN z USING (uid) JOIN s ON s.own = n.key CROSS JOIN root"""
+
+
 ORACLES = {
+    "op13_merkle_manifest": _manifest(),
     "op1_ngram_jaccard_join": f"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_WORD}) AS ws FROM documents),
 i AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0),

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, exact_dedup, line_dedup, mixing, ngram_join, packing, quality_model, quality_rules, secret_scan, sharding
+from . import archives, exact_dedup, line_dedup, merkle, mixing, ngram_join, packing, quality_model, quality_rules, secret_scan, sharding
 from .oracles import ORACLES  # noqa: F401
 
 
@@ -59,4 +59,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents")).drop("uid", "whole", "extra", "source")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_warc, op4_line_dedup, op5_quality_classifier, op6_exact_dedup, op7_sharding, op8_quality_rules, op9_secret_scans, op10_mixing)}
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_warc, op4_line_dedup, op5_quality_classifier, op6_exact_dedup, op7_sharding, op8_quality_rules, op9_secret_scans, op10_mixing, op13_merkle_manifest)}

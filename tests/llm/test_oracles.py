@@ -63,5 +63,5 @@ def test_equal(spark, folder, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op3_warc", "op5_quality_classifier"}))
 def test_empty_table(spark, tmp_path, name):
-    spark.createDataFrame([], "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, text string, source string, lang string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     assert QUERIES[name](spark, str(tmp_path)).count() == 0
