@@ -28,7 +28,7 @@ FROM walk{n} w JOIN runs{n} r ON r.level = w.level AND r.key = w.key AND r.run =
 
     return f"""
 WITH RECURSIVE crcs AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_concat([i], range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(i))),
-d AS (SELECT *, row_number() OVER () AS uid, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) AS crc FROM documents, crcs),
+d AS (SELECT doc_id, source, lang, n_chars, text, row_number() OVER () AS uid, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) AS crc FROM documents, crcs),
 l AS (SELECT uid, doc_id, CASE WHEN source IS NULL THEN '' ELSE concat('=', source) END AS key, {leaf("text")} AS h, CASE WHEN crc % 5 = 0 THEN {leaf(_LOWER.format("text"))} END AS other FROM d),
 n AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, count(*) OVER (PARTITION BY key) AS size FROM l),{tree(1, "n")},
 s AS (SELECT 0 AS key, key AS own, row_number() OVER (ORDER BY key) - 1 AS pos, count(*) OVER () AS size, h FROM lv1 WHERE size = 1),{tree(2, "s")},{walk(1, "SELECT uid, 0, key, pos, coalesce(other, h), '' FROM n")},
