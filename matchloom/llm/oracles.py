@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import permutations
+
 _WORD = r"'[^\x20\x09-\x0D]+'"
 _BLANK = r"'[\x20\x09-\x0D]+'"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -38,7 +40,27 @@ root AS (SELECT h AS root FROM lv2 WHERE size = 1)
 SELECT n.doc_id, n.h AS leaf, s.h AS subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified FROM n JOIN z USING (uid) JOIN s ON s.own = n.key CROSS JOIN root"""
 
 
+def _filters() -> str:
+    """op12_filter_audit: masks of failed filters, counted by part, against all orders."""
+    steps = []
+    for order in permutations(range(5)):
+        steps += [f"('{''.join('ABCDE'[i] for i in order)}', {k + 1}, {1 << f}, {sum(1 << i for i in order[:k])})" for k, f in enumerate(order)]
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {_WORD}) AS ws FROM documents),
+f AS (SELECT doc_id, part, (len(ws) < 50)::INT + 2 * (100 * len(list_distinct(ws)) < 65 * len(ws))::INT + 4 * (100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text))::INT
++ 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * (doc_id > min(doc_id) OVER (PARTITION BY text))::INT AS mask FROM t),
+m AS (SELECT part, mask, EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = f.doc_id AND quality = 1) AS good, EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = f.doc_id AND toxic = 1) AS bad FROM f),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad FROM m GROUP BY ALL),
+s(filter_order, step, own, before) AS (VALUES {", ".join(steps)}),
+r AS (SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (mask & (before | own) = 0), 0) AS kept, coalesce(sum(n) FILTER (mask & before = 0 AND mask & own <> 0), 0) AS removed,
+coalesce(sum(n) FILTER (mask & before <> 0 AND mask & own <> 0), 0) AS redundant, coalesce(sum(n) FILTER (mask = own), 0) AS unique_fails,
+coalesce(sum(good) FILTER (mask & before = 0 AND mask & own <> 0), 0) AS good_lost, coalesce(sum(bad) FILTER (mask & before = 0 AND mask & own <> 0), 0) AS toxic_lost FROM c CROSS JOIN s GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r"""
+
+
 ORACLES = {
+    "op12_filter_audit": _filters(),
     "op13_merkle_manifest": _manifest(),
     "op1_ngram_jaccard_join": f"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_WORD}) AS ws FROM documents),

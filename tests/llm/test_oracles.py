@@ -42,6 +42,9 @@ def folder(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("tables"))
     docs = spark.createDataFrame(documents(), "doc_id long, text string, source string").selectExpr("*", "'en' AS lang", "length(text) AS n_chars", "1 AS uid", "2 AS line")
     docs.coalesce(2).write.parquet(f"{path}/documents.parquet")
+    rnd = random.Random(3)
+    labels = [(3 * i, rnd.choice([0, 1, None]), rnd.choice([0, 0, 1])) for i in range(0, 260, 2)] + [(6, 1, 1), (None, 1, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{path}/labels.parquet")
     pages = [(i, f"http://h{i % 7}.org/{i}", h) for i, h in enumerate([None, "", "short", "short"] + ["<p>" + "é" * (i % 9) * 20 + "\r\n\r\nWARC/1.1\r\n</p>" * 6 for i in range(60)])]
     spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3).write.parquet(f"{path}/pages.parquet")
     return path
@@ -50,7 +53,7 @@ def folder(spark, tmp_path_factory):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_equal(spark, folder, name):
     db = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "labels", "pages"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet/*.parquet'")
     found = QUERIES[name](spark, folder)
     columns = sorted(found.columns)
@@ -64,4 +67,5 @@ def test_equal(spark, folder, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op3_warc", "op5_quality_classifier"}))
 def test_empty_table(spark, tmp_path, name):
     spark.createDataFrame([], "doc_id long, text string, source string, lang string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert QUERIES[name](spark, str(tmp_path)).count() == 0
