@@ -10,6 +10,19 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 
 
 
+def _near(percent: int) -> str:
+    """Components of documents whose sets of shingles are as similar as that."""
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_WORD}) AS ws FROM documents),
+i AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 4], ' ') END AS sh FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {percent} * (x.n + y.n - c)),
+r(d, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON r.d = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.c) AS component_id FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.d = d.doc_id GROUP BY ALL"""
+
+
 def _manifest() -> str:
     """op13_merkle_manifest: trees of runs of 16 over the sources and over their tops, climbed level by level; CRC-32 by its table."""
     field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE concat(octet_length(encode(CAST({c} AS VARCHAR))), ':', {c}) END"
@@ -62,15 +75,8 @@ toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::
 ORACLES = {
     "op12_filter_audit": _filters(),
     "op13_merkle_manifest": _manifest(),
-    "op1_ngram_jaccard_join": f"""
-WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_WORD}) AS ws FROM documents),
-i AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0),
-s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 4], ' ') END AS sh FROM i),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
-e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
-r(d, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON r.d = e.a)
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.c) AS component_id FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.d = d.doc_id GROUP BY ALL""",
+    "op1_ngram_jaccard_join": _near(75),
+    "op11_minhash_near_dedup": f"SELECT *, doc_id = component_id AS kept FROM ({_near(85)})",
     "op3_warc": """
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
 q AS (SELECT *, sha256(html) AS sha, min(page_id) OVER (PARTITION BY sha256(html)) AS first_id FROM p)

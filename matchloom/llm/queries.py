@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, exact_dedup, filter_audit, line_dedup, merkle, mixing, ngram_join, packing, quality_model, quality_rules, secret_scan, sharding
+from . import archives, exact_dedup, filter_audit, line_dedup, merkle, minhash, mixing, ngram_join, packing, quality_model, quality_rules, secret_scan, sharding
 from .oracles import ORACLES  # noqa: F401
 
 
@@ -59,6 +59,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents")).drop("uid", "whole", "extra", "source")
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents")).drop("uid", "text_key")
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audited(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -67,4 +71,4 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tampered(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_warc, op4_line_dedup, op5_quality_classifier, op6_exact_dedup, op7_sharding, op8_quality_rules, op9_secret_scans, op10_mixing, op12_filter_audit, op13_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_warc, op4_line_dedup, op5_quality_classifier, op6_exact_dedup, op7_sharding, op8_quality_rules, op9_secret_scans, op10_mixing, op11_minhash_near_dedup, op12_filter_audit, op13_merkle_manifest)}
