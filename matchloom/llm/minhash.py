@@ -7,7 +7,7 @@ verified on their whole sets. Kept as bytes, hashes agree by chance in one case
 
 Pairs are found without the pairs of a key. Each document is first compared with one other, the leader of most of its keys. Only keys whose documents then still are in several
 components are looked at again: those of few documents give their pairs, and for larger ones ngram_join's prefixes of differences from the key's leader find the pairs that can be linked,
-exactly and without all pairs of the key.
+exactly and without all pairs of the key. That leader is the first document of a component and need not have the key.
 
 With 32 bands of 6, two documents of similarity 0.85 share no key once in 4 million times; the miss probability of the comparison is one in a million.
 """
@@ -142,7 +142,8 @@ def links(docs: DataFrame, sets: DataFrame, width: int, percent: int, miss: floa
     labels = components(found).withColumnRenamed("node", "uid")
     labelled = stored(sets.select("uid", "size", "keys").join(wanted, "uid").join(labels, "uid", "left").withColumn("component", F.coalesce("component", "uid")), "labelled")
     labelled = labelled.select("uid", "size", "component", F.explode("keys").alias("key"))
-    several = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"), F.min("uid").alias("c")).filter("x < y").select("key", "n", "c")
+    # the first document of a component leads all keys that the component is in: so documents that meet in many keys are compared with one leader
+    several = labelled.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("y"), F.count("*").alias("n")).filter("c < y").drop("y")
     mixed = stored(labelled.join(several, "key"), "mixed-keys")
     few = mixed.filter(F.col("n") <= RARE)
     near = (F.col("x.key") == F.col("y.key")) & (F.col("x.uid") < F.col("y.uid")) & (F.col("x.component") != F.col("y.component"))
