@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalars as S
+from ..sources import landing
 from ..sources.schemas import field_paths
 from .asof import asof, nearest
 from .facts import held_items
@@ -87,18 +92,58 @@ def drift(requested: DataFrame, pinned: DataFrame) -> DataFrame:
     return tag(requested.subtract(pinned), "not pinned").unionByName(tag(pinned.subtract(requested), "never requested"))
 
 
-def observed_paths(lines: DataFrame, group: Column | None = None, most_schemas: int = 10_000) -> DataFrame:
-    """Paths of all keys in JSON texts (column value), optionally by group. Schemas are merged by group; the driver takes apart the distinct ones,
-    of which there are few: one for each vintage of the shards."""
-    parsed = lines.filter(F.trim("value") != "").select(F.parse_json("value").alias("v"), (F.lit("") if group is None else group).alias("group"))
-    merged = parsed.groupBy("group").agg(F.schema_of_variant_agg("v").alias("schema")).filter("schema is not null")
-    merged = merged.checkpoint() if merged.sparkSession.sparkContext.getCheckpointDir() else merged
-    kinds = [r[0] for r in merged.select("schema").distinct().limit(most_schemas + 1).collect()]
-    if len(kinds) > most_schemas:
-        raise ValueError(f"over {most_schemas} different schemas")
-    rows = [(k, p) for k in kinds for p in sorted(set(field_paths("v " + k.replace("OBJECT<", "STRUCT<")))) if p != "v"]
-    paths = lines.sparkSession.createDataFrame([(k, p.removeprefix("v.")) for k, p in rows], "schema string, path string")
-    return merged.join(paths, "schema").select("group", "path")
+#: In a variant's schema as Spark writes it: a key, quoted or not; what opens and closes a nested type.
+_SCHEMA_TOKEN = re.compile(r"`((?:[^`]|``)*)`: |(\w+): |((?:OBJECT|ARRAY)<)|(>)")
+
+
+def schema_paths(schema: str, prefix: str = "") -> set[str]:
+    """Dotted paths of all keys in a variant's schema."""
+    out, stack, own = set(), [prefix], prefix
+    for quoted, bare, opens, closes in _SCHEMA_TOKEN.findall(schema):
+        if opens:
+            stack.append(own)
+        elif closes:
+            own = stack.pop()
+        else:
+            key = bare or quoted.replace("``", "`")
+            own = f"{stack[-1]}.{key}" if stack[-1] else key
+            out.add(own)
+    return out
+
+
+def _taken_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [(g, p) for g, prefix, schema in zip(*(c.to_pylist() for c in batch.columns), strict=True) for p in schema_paths(schema, prefix)]
+        yield pa.record_batch([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["group", "path"])
+
+
+def observed_paths(lines: DataFrame, group: Column | None = None) -> DataFrame:
+    """group, path: the paths of all keys in JSON texts (column value), also of all elements of lists, by group. A key that has records in one place and other values
+    in another has its inner paths, too.
+
+    Each text's schema is made by Spark, and the different ones of a group are taken apart on the executors. A schema with a VARIANT in it hides what is in
+    a list of unlike elements, so such a text, of which there are few, is walked into, level by level, until its parts have schemas of their own.
+    """
+    of = F.lit("") if group is None else F.coalesce(group, F.lit(""))
+    values = lines.filter(F.trim("value") != "").select(of.alias("group"), F.lit("").alias("prefix"), F.parse_json("value").alias("v"))
+    spark, found, unlike = lines.sparkSession, None, F.col("schema").rlike("VARIANT(?!:)")
+
+    def written(rows: DataFrame, kind: str) -> DataFrame:
+        path = landing.shared_path(spark, "schemas")
+        rows.write.parquet(path)
+        return spark.read.schema(kind).parquet(path)
+
+    while True:
+        schemas = values.withColumn("schema", F.schema_of_variant("v"))
+        told = written(schemas.select("group", "prefix", "schema").distinct(), "group string, prefix string, schema string")  # also of texts that are walked into: it has their upper paths
+        paths = told.mapInArrow(_taken_apart, "group string, path string")
+        found = paths if found is None else found.union(paths)
+        if told.filter(unlike).isEmpty():
+            return found.distinct()
+        values = written(schemas.filter(unlike).select("group", "prefix", "v"), "group string, prefix string, v variant")
+        values = values.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).select("key", F.col("value").alias("inner")))
+        name = F.when(F.col("key").isNull(), F.col("prefix")).otherwise(F.concat("prefix", F.when(F.col("prefix") == "", "").otherwise("."), F.col("key")))
+        values = values.select("group", name.alias("prefix"), F.col("inner").alias("v"))
 
 
 def field_usage(rows: DataFrame, paths: list[str]) -> DataFrame:
@@ -113,11 +158,9 @@ def field_usage(rows: DataFrame, paths: list[str]) -> DataFrame:
     return rows.agg(pairs.alias("pairs")).select(F.explode("pairs").alias("p")).select("p.path", "p.n")
 
 
-def stale_shards(lines: DataFrame, requested: DataFrame, group: Column, preview: int = 4, most_records: int = 200) -> DataFrame:
-    """Shards whose first most_records records lack requested paths: file, missing (a number), first_missing. lines: value, the shard by `group`, in the order of
-    the scan; a shard is one file, which one task reads."""
-    place = Window.partitionBy(group).orderBy(F.monotonically_increasing_id())
-    lines = lines.withColumn("__place", F.row_number().over(place)).filter(F.col("__place") <= most_records)
+def stale_shards(lines: DataFrame, requested: DataFrame, group: Column, preview: int = 4) -> DataFrame:
+    """Shards whose records lack requested paths: file, missing (a number), first_missing. lines: value, the shard by `group`; for a look at
+    the first records of each shard only, give a scan that stops there."""
     seen = observed_paths(lines, group)
     wanted = seen.select("group").distinct().crossJoin(F.broadcast(requested))  # shards by pinned fields
     gaps = wanted.join(seen, ["group", "path"], "left_anti").groupBy("group").agg(F.array_sort(F.collect_list("path")).alias("paths"))

@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-import gzip
-import io
 import re
 import tempfile
 import uuid
-import zlib
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
+from .shards import ShardSource
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -47,62 +43,31 @@ def scan_raw(spark: SparkSession, paths, partitions: int | None = None) -> DataF
     return rows.repartition(partitions) if partitions else rows
 
 
-def _probe(raw: bytes) -> str | None:
-    if raw[:2] != b"\x1f\x8b":
-        return "not gzip"
-    try:
-        with gzip.open(io.BytesIO(raw)) as f:
-            while f.read(1 << 20):
-                pass
-    except (OSError, EOFError, zlib.error) as e:
-        return f"{type(e).__name__}: {e}"
-    return None
-
-
-def _probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        reasons = [_probe(x.as_py()) for x in batch.column("content")]
-        yield pa.record_batch([batch.column("path"), pa.array([r is None for r in reasons]), pa.array(reasons, pa.string())], names=["file", "ok", "reason"])
-
-
-def _binary_files(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", True).load(folder)
-
-
-def _empty_shards(spark: SparkSession, folder: str) -> DataFrame:
-    """Shards without a byte, which Spark's readers pass over; the driver lists the folder, as they do."""
-    fs, path = _files(spark, folder)
-    found, names = fs.listFiles(path(folder), True), []
-    while found.hasNext():
-        f = found.next()
-        if f.getLen() == 0 and f.getPath().getName().endswith(".gz"):
-            names.append((f.getPath().toString(),))
-    return spark.createDataFrame(names, "file string")
+def scan_shards(spark: SparkSession, folder: str, most: int | None = None, give: str = "records") -> DataFrame:
+    """The rows of shards.ShardSource: records of the *.gz shards in the folder and those inside it, and a row for each shard. Each shard is read once."""
+    spark.dataSource.register(ShardSource)
+    reader = spark.read.format(ShardSource.name()).option("give", give)
+    return (reader.option("most", most) if most else reader).load(folder)
 
 
 def shard_health(spark: SparkSession, folder: str) -> DataFrame:
     """file, ok, reason of each *.gz shard in the folder and those inside it. A shard that does not decompress to its end is bad as a whole: Spark would keep the
     rows before the damage."""
-    files = _binary_files(spark, folder).select("path", "content")
-    empty = _empty_shards(spark, folder).select("file", F.lit(False).alias("ok"), F.lit("empty").alias("reason"))
-    return files.mapInArrow(_probes, "file string, ok boolean, reason string").union(empty)
-
-
-def healthy_shards(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the shards that can be read to their end; the driver gets names only, as it does when Spark lists a folder."""
-    return sorted(r["file"] for r in shard_health(spark, folder).filter("ok").select("file").collect())
+    return scan_shards(spark, folder, give="health").select("file", F.col("reason").isNull().alias("ok"), "reason")
 
 
 def scan_healthy(spark: SparkSession, folder: str, partitions: int | None = None) -> DataFrame:
-    """Landed matches of the shards that can be read to their end: a damaged one costs its own rows and not the scan."""
-    paths = healthy_shards(spark, folder)
-    return scan_raw(spark, paths, partitions) if paths else spark.createDataFrame([], schemas.RAW)
+    """Landed matches of the shards that can be read to their end: a damaged one costs its own rows and not the scan. A value of another type fails
+    the read."""
+    lines = scan_shards(spark, folder).filter("record is not null").select("record")
+    lines = lines.repartition(partitions) if partitions else lines
+    return lines.select(F.from_json("record", schemas.RAW, {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 
 def landing_summary(spark: SparkSession, folder: str) -> DataFrame:
-    files = _binary_files(spark, folder)
-    sizes = files.select("length").union(_empty_shards(spark, folder).select(F.lit(0).cast("long")))
-    return sizes.agg(F.count("*").alias("shards"), F.coalesce(F.sum("length"), F.lit(0).cast("long")).alias("bytes"))
+    """shards, bytes: their number and the sum of their sizes, of which nothing is read."""
+    names = scan_shards(spark, folder, give="names")
+    return names.agg(F.count("*").alias("shards"), F.coalesce(F.sum("bytes"), F.lit(0).cast("long")).alias("bytes"))
 
 
 def _files(spark: SparkSession, folder: str):
