@@ -6,12 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..sources import landing
 
 RETRYABLE = ("discovered", "failed")
 MOST_ATTEMPTS = 3
 MOST_ERROR_CHARS = 300
-#: Seconds, or ids, that are numbered together.
-_PART = 900
 # The reasons that end a walk.
 TERMINAL_REASONS = ("reached --until floor", "no more results")
 
@@ -32,18 +31,34 @@ def pending(ledger: DataFrame, limit: int | None = None, walks: list[str] | None
     return rows.limit(limit) if limit else rows
 
 
+def numbered(rows: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:
+    """rows with their place within a group by order, from 0, as `name`. order: as in orderBy; rows alike in it are in any order.
+
+    Rows are dealt out by sampled ranges of group and order, so that a group is never in one task. They are stored, as ranges must not change between
+    counting and numbering: each range is counted, and numbers start after the earlier ranges of its group.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = rows.repartitionByRange(parts, *group, *order).withColumn("__range", F.spark_partition_id())
+    path = landing.shared_path(rows.sparkSession, "ranges")
+    ranges.write.parquet(path)
+    ranges = rows.sparkSession.read.schema(ranges.schema).parquet(path)
+    before = Window.partitionBy(*group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    starts = ranges.groupBy(*group, "__range").agg(F.count("*").alias("__n")).withColumn("__base", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    starts = starts.toDF(*[f"__g{i}" for i in range(len(group))], "__of", "__base")
+    same = F.col("__range") == F.col("__of")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    inner = Window.partitionBy("__range", *group).orderBy(*order)
+    placed = ranges.withColumn("__place", F.row_number().over(inner)).join(starts, same)
+    return placed.select(*rows.columns, (F.col("__base") + F.col("__place") - 1).alias(name))
+
+
 def batches(rows: DataFrame, size: int = 6) -> DataFrame:
-    """Ids of each walk in the order of pending(), cut into chunks: source, label, match_id, batch. A walk is numbered by quarters of an hour of its
-    start times, and by ranges of ids where it has none, so that no task holds it whole."""
-    walk = ["source", "label", "untimed", "part"]
-    part = F.floor(F.coalesce("start_time", "match_id") / _PART)
-    rows = rows.withColumns({"untimed": F.col("start_time").isNull(), "part": part})
-    counts = rows.groupBy(*walk).agg(F.count("*").alias("n"))
-    before = Window.partitionBy("source", "label").orderBy("untimed", F.col("part").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*walk, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    inner = Window.partitionBy(*walk).orderBy(F.col("start_time").desc(), F.col("match_id").desc())
-    numbered = rows.withColumn("rank", F.row_number().over(inner)).join(starts, walk)
-    return numbered.select("source", "label", "match_id", F.floor((F.col("base") + F.col("rank") - 1) / size).alias("batch"))
+    """Ids of each walk in the order of pending(), cut into chunks: source, label, match_id, batch. A walk is numbered over ranges of its order, so that no task holds
+    it whole, however many matches start in one second or have no time."""
+    order = [F.col("start_time").desc_nulls_last(), F.col("match_id").desc()]
+    found = numbered(rows.select("source", "label", "start_time", "match_id"), ["source", "label"], order, "place")
+    return found.select("source", "label", "match_id", F.floor(F.col("place") / size).alias("batch"))
 
 
 def split_responses(responses: DataFrame) -> DataFrame:
@@ -93,7 +108,13 @@ def batch_outcomes(outcomes: DataFrame) -> DataFrame:
 def without_walks(ledger: DataFrame, walks: list[str], include_fetched: bool = False) -> DataFrame:
     """The ledger without the walks' rows; fetched ones stay unless asked for."""
     gone = F.coalesce(S.in_walks(walks), F.lit(False))
-    return ledger.filter(~gone if include_fetched else ~gone | (F.col("status") == "fetched"))
+    return ledger.filter(~gone if include_fetched else ~gone | F.col("status").eqNullSafe(F.lit("fetched")))
+
+
+def of_walks(ledger: DataFrame, walks: list[str], include_fetched: bool = False) -> DataFrame:
+    """The rows that without_walks leaves out."""
+    gone = F.coalesce(S.in_walks(walks), F.lit(False))
+    return ledger.filter(gone if include_fetched else gone & ~F.col("status").eqNullSafe(F.lit("fetched")))
 
 
 def removal_tally(ledger: DataFrame, walks: list[str], include_fetched: bool = False) -> DataFrame:
@@ -123,10 +144,17 @@ def walk_status(ledger: DataFrame, walks: DataFrame) -> DataFrame:
     return spans.join(known, "key", "full").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
 
 
-def dead_streaks(outcomes: DataFrame, length: int = 3) -> DataFrame:
+def dead_streaks(outcomes: DataFrame, length: int = 3, block: int = 10_000) -> DataFrame:
     """run, seq of the first batch of each run at which `length` answered batches in a row found nothing. outcomes: run, seq, found.
 
-    A run is one process's batches, some thousands at most."""
-    last = Window.partitionBy("run").orderBy("seq").rowsBetween(1 - length, 0)
-    rows = outcomes.withColumn("found_lately", F.sum("found").over(last)).withColumn("batches", F.count("*").over(last))
-    return rows.filter((F.col("found_lately") == 0) & (F.col("batches") == length)).groupBy("run").agg(F.min("seq").alias("seq"))
+    A run of any length: its batches are numbered over ranges and looked at in blocks, and the last length - 1 of a block are carried over to the next one.
+    """
+    block = max(block, length)
+    placed = numbered(outcomes.select("run", "seq", "found"), ["run"], [F.col("seq")], "place")
+    own = F.floor(F.col("place") / block)
+    carried = F.col("place") % block > block - length
+    rows = placed.withColumn("own", own).withColumn("block", F.explode(F.when(carried, F.array(own, own + 1)).otherwise(F.array(own))))
+    last = Window.partitionBy("run", "block").orderBy("place").rowsBetween(1 - length, 0)
+    rows = rows.withColumn("found_lately", F.sum("found").over(last)).withColumn("batches", F.count("*").over(last))
+    dead = (F.col("found_lately") == 0) & (F.col("batches") == length) & (F.col("own") == F.col("block"))
+    return rows.filter(dead).groupBy("run").agg(F.min("seq").alias("seq"))
