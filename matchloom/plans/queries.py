@@ -9,7 +9,9 @@ from pyspark.sql import types as T
 from ..functions import scalars as S
 from ..operators import asof as A
 from ..operators import dims, facts, frame, ledger, quality
-from ..sources import landing, schemas
+from ..sources import landing, schemas, versions
+from ..sources.fact_store import FactStore
+from ..sources.ledger_store import LedgerStore
 from ..streaming import landing as streaming
 from . import derive as D
 from .derive import sql
@@ -236,6 +238,16 @@ def publish_tables(spark, sf):
     return counts[0].union(counts[1]).union(counts[2])
 
 
+@query("SELECT patch, hero_id, count(*) AS n, avg(CAST(is_victory AS INT)) AS win_rate FROM players WHERE patch <> '1.1b' GROUP BY patch, hero_id", "players")
+def publish_versions(spark, sf):
+    """Two publications by pointer, of which the first lacks the releases from 1998 on and the second one other release; the newest version is read."""
+    raw, folder = D.raw(spark, sf, ("startDateTime",), ("heroId", "isVictory"), ()), landing.shared_path(spark, "versions")
+    rows = facts.players(raw, D.patches(spark), "patch", "hero_id", "is_victory")
+    versions.publish({"players": rows.filter("patch < '1.3'"), "heroes": rows.select("hero_id", "patch").distinct()}, folder)
+    versions.publish({"players": rows.filter("patch <> '1.1b'")}, folder)
+    return facts.hero_winrate(versions.Reader(spark, folder).table("players", rows.schema))
+
+
 @query('SELECT id, "displayName" FROM catalogue', "catalogue")
 def write_dim_table(spark, sf):
     path = landing.shared_path(spark, "catalogue")
@@ -411,6 +423,16 @@ def insert_or_ignore(spark, sf):
     return ledger.insert_or_ignore(D.ledger(spark, sf).filter("match_id % 2 = 0"), _later(spark, sf), [F.col("label")])
 
 
+ORACLES["stored_insert_or_ignore"] = ORACLES["insert_or_ignore"]
+
+
+@query()
+def stored_insert_or_ignore(spark, sf):
+    """The same on a stored ledger: the rows that it took."""
+    store = LedgerStore.create(D.ledger(spark, sf).filter("match_id % 2 = 0"), landing.shared_path(spark, "ledger"), 16)
+    return store.insert_or_ignore(_later(spark, sf), [F.col("label")])
+
+
 def _responses(spark, sf):
     """Batches of six pending ids with their answers as JSON: alias k is null for id % 4 = 1, absent for 2, and an error for 3; every seventh batch is
     refused as a whole."""
@@ -461,6 +483,17 @@ ORACLES["apply_outcomes"] = _with_batches(
 )
 
 
+@query()
+def stored_apply_outcomes(spark, sf):
+    """The same on a stored ledger, which is read back."""
+    store = LedgerStore.create(D.ledger(spark, sf), landing.shared_path(spark, "ledger"), 16)
+    store.apply_outcomes(ledger.split_responses(_responses(spark, sf)), "part-1.jsonl.gz")
+    return store.read().select("match_id", "status", "attempts", "raw_file", "last_error")
+
+
+ORACLES["stored_apply_outcomes"] = ORACLES["apply_outcomes"]
+
+
 @query()
 def batch_outcome_counts(spark, sf):
     return ledger.batch_outcomes(ledger.split_responses(_responses(spark, sf)))
@@ -484,6 +517,14 @@ def remove_walk(spark, sf):
     return ledger.without_walks(D.ledger(spark, sf), WALKS).select("match_id", "status")
 
 
+@query(f"SELECT match_id, status FROM ledger WHERE NOT {_IN_WALKS} OR status = 'fetched'", "ledger")
+def stored_remove_walk(spark, sf):
+    """The same on a stored ledger, which is read back."""
+    store = LedgerStore.create(D.ledger(spark, sf), landing.shared_path(spark, "ledger"), 16)
+    store.remove_walks(WALKS)
+    return store.read().select("match_id", "status")
+
+
 @query(f"SELECT CASE WHEN status = 'fetched' THEN 'kept_fetched' ELSE status END AS what, count(*) AS n FROM ledger WHERE {_IN_WALKS} GROUP BY 1", "ledger")
 def removal_tally(spark, sf):
     return ledger.removal_tally(D.ledger(spark, sf), WALKS)
@@ -782,11 +823,11 @@ def _observed_sql(most: int | None = None) -> str:
     return f"{sql('', 'm').rstrip()}, {first}, {players}, {wanted}, obs AS (SELECT DISTINCT shard, path FROM ({' UNION ALL '.join(found)})) "
 
 
-def _lines(spark, sf) -> DataFrame:
-    """Records of the shards that can be read, and their shards."""
-    files = landing.healthy_shards(spark, _damaged(spark, sf, _vintages(spark, sf)))
-    rows = spark.read.text(files).select("value", F.col("_metadata.file_path").alias("path"))
-    return rows.select("value", F.concat_ws("/", F.regexp_extract("path", "/(new|old)/part=", 1), F.regexp_extract("path", r"/part=(\d+)/", 1)).alias("file"))
+def _lines(spark, sf, most: int | None = None) -> DataFrame:
+    """Records of the shards that can be read (the first of each, if a number is given), and their shards."""
+    rows = landing.scan_shards(spark, _damaged(spark, sf, _vintages(spark, sf)), most).filter("record is not null")
+    shard = F.concat_ws("/", F.regexp_extract("file", "/(new|old)/part=", 1), F.regexp_extract("file", r"/part=(\d+)/", 1))
+    return rows.select(F.col("record").alias("value"), shard.alias("file"))
 
 
 @query()
@@ -802,7 +843,7 @@ _PREVIEW = 200
 
 @query()
 def stale_shards(spark, sf):
-    return quality.stale_shards(_lines(spark, sf), _requested(spark), F.col("file"), most_records=_PREVIEW)
+    return quality.stale_shards(_lines(spark, sf, _PREVIEW), _requested(spark), F.col("file"))
 
 
 ORACLES["stale_shards"] = (
@@ -889,3 +930,18 @@ def stream_landing(spark, sf):
         landing.write_landing(raw.filter(F.col("id") % 2 == rest), f"{path}/landing")
         streaming.fold(spark, f"{path}/landing", patches, f"{path}/players", f"{path}/checkpoint")
     return _flat(landing.read_fact(spark, f"{path}/players", facts.players(raw, patches).schema))
+
+
+@query(_PLAYERS, "players")
+def stream_restated(spark, sf):
+    """Two landings folded into a store under a release table that starts later, lacks a release and has another one moved; then restated to the true table."""
+    path, patches = landing.shared_path(spark, "stream"), D.patches(spark)
+    moved = F.when(F.col("name") == "2.0", F.col("start_ts") + 40 * S.SECONDS_PER_DAY).otherwise(F.col("start_ts"))
+    old = patches.filter("name not in ('1.0', '1.3')").withColumn("start_ts", moved)
+    raw = D.raw(spark, sf)
+    store = FactStore(spark, f"{path}/players", facts.players(raw, patches).schema)
+    for rest in (0, 1):
+        landing.write_landing(raw.filter(F.col("id") % 2 == rest), f"{path}/landing")
+        streaming.fold_into(store, f"{path}/landing", old, f"{path}/checkpoint")
+    store.restate(old, patches, lambda: landing.scan_raw(spark, f"{path}/landing"), facts.players)
+    return _flat(store.read())

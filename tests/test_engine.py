@@ -294,3 +294,316 @@ def test_batches_without_times_go_by_id(spark):
     order = sorted(rows, key=lambda r: (r[3] is None, -(r[3] or 0), -r[0]))
     got = {r["match_id"]: r["batch"] for r in ledger.batches(spark.createDataFrame(rows, kind)).collect()}
     assert got == {r[0]: i // 6 for i, r in enumerate(order)}
+
+
+def _asof_brute(rows, releases):
+    out = []
+    for i, t in rows:
+        known = [(s, n) for n, s in releases if t is not None and s is not None and s <= t]
+        if known:
+            out.append((i, t, max(known)[1]))
+    return sorted(out)
+
+
+def test_merged_asof_against_brute_force(spark):
+    """Spans of any width, a hot instant on a start and between starts, equal starts, nulls, nested columns and a column of the same name."""
+    import random
+
+    rnd = random.Random(5)
+    for span, n, m in ((100, 60, 300), (10**13, 50, 200), (5, 30, 200), (10**6, 1, 50)):
+        releases = [(f"r{i}", rnd.randrange(span)) for i in range(n)] + [("none", None)]
+        hot = rnd.choice([s for _, s in releases[:-1]])
+        rows = [(i, rnd.choice([None, hot, hot, hot + 1, *[rnd.randrange(-span // 3, span * 2) for _ in range(6)]])) for i in range(m)]
+        left = spark.createDataFrame(rows, "id bigint, startDateTime bigint").selectExpr("*", "array(id) AS list", "named_struct('x', id) AS nest").repartition(3)
+        got = asof.asof_merged(left, spark.createDataFrame(releases, PATCHES))
+        assert got.columns == [*left.columns, "patch"]
+        assert sorted((r["id"], r["startDateTime"], r["patch"]) for r in got.collect()) == _asof_brute(rows, releases)
+        assert all(r["list"] == [r["id"]] and r["nest"]["x"] == r["id"] for r in got.collect())
+    clash = asof.asof_merged(left.withColumn("patch", F.lit("old")), spark.createDataFrame(releases, PATCHES))
+    assert clash.columns == [*left.columns, "patch"] and "old" not in {r["patch"] for r in clash.collect()}
+
+
+def test_starts_in_milliseconds_and_many_releases(spark):
+    rows = spark.createDataFrame([(1_700_000_000 + i,) for i in range(50)], "startDateTime bigint")
+    two = spark.createDataFrame([("a", 1_600_000_000), ("b", 1_700_000_010_000)], PATCHES)
+    assert {r["patch"] for r in asof.asof(rows, two).collect()} == {"a"}
+    many = spark.range(1_000_000).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("name"), (F.col("id") * 1000).alias("start_ts"))
+    times = spark.range(20_000).select((F.col("id") * 49_999 + 7).alias("startDateTime")).union(spark.range(30_000).select(F.lit(500_000_123).alias("startDateTime")))
+    got = asof.asof(times, many)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.filter(F.col("patch") != F.concat(F.lit("r"), F.floor(F.col("startDateTime") / 1000).cast("string"))).count() == 0 and got.count() == 50_000
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_hot_instant_is_in_several_parts(spark):
+    times = spark.range(9000).select(F.when(F.col("id") < 6000, F.lit(77)).otherwise(F.col("id")).alias("t"), "id")
+    line = asof.Line(times.select("t"), spark.createDataFrame([(77,)], "t bigint"))
+    sizes = {r["p"]: r["count"] for r in times.groupBy(line.part(F.col("t"), F.xxhash64("id")).alias("p")).count().collect()}
+    assert len(sizes) == 3 and max(sizes.values()) < 4200  # nothing is before the first cut
+
+
+def test_nearest_of_many_targets(spark):
+    import random
+
+    rnd = random.Random(3)
+    for span, n, m in ((60, 80, 50), (10**13, 70, 40), (3, 50, 5), (1000, 1, 30)):
+        rows = [(rnd.choice([1, -1]) * i, rnd.choice([7, rnd.randrange(span)])) for i in range(n)] + [(999, None)]
+        targets = [(rnd.choice([7, rnd.randrange(-span // 2, span * 2)]), "x") for _ in range(m)] + [(None, "y")]
+        small = spark.createDataFrame([(t,) for t, _ in targets if t is not None], "t bigint").distinct()
+        timed = spark.createDataFrame([(t, i) for i, t in rows if t is not None], "time bigint, key bigint").repartition(3)
+        want = {t: min((abs(x - t), i) for i, x in rows if x is not None) for t, _ in targets if t is not None}
+        for r in asof._beside(small, timed).collect():
+            sides = [(x["time"] - r["t"], x["key"]) for x in [r["after"]] if x] + [(r["t"] - x["time"], -x["key"]) for x in [r["before"]] if x]
+            assert min(sides) == want[r["t"]]
+        got = asof.nearest(spark.createDataFrame(targets, "target bigint, note string"), spark.createDataFrame(rows, "id bigint, t bigint"), "target", "t", "id")
+        assert sorted((r["target"], r["distance"], r["id"]) for r in got.collect()) == sorted((t, *want[t]) for t, _ in targets if t is not None)
+    rows = spark.range(200_000).select("id", (F.col("id") * 37).alias("t"))
+    targets = spark.range(1_000_000).select((F.col("id") * 7).alias("target"))
+    got = asof.nearest(targets, rows, "target", "t", "id")
+    assert got.filter((F.col("id") != F.least(F.ceil((F.col("target") - 18) / 37), F.lit(199_999)))).count() == 0 and got.count() == 1_000_000
+
+
+def test_shards_are_read_once_and_to_a_limit(spark, tmp_path):
+    """Reading stops at the limit; a shard that is damaged after it still gives its first records, and a health probe gives none."""
+    import io
+    import json
+    import random
+
+    from matchloom.sources import shards
+
+    rnd = random.Random(1)
+    text = b"".join(json.dumps({"id": i, "x": rnd.random()}).encode() + b"\n\n" for i in range(100_000))
+    whole = gzip.compress(text[: len(text) // 2]) + gzip.compress(text[len(text) // 2 :])  # two members
+    (tmp_path / "a.gz").write_bytes(whole)
+    (tmp_path / "b.gz").write_bytes(whole[:-100_000])
+    rows = landing.scan_shards(spark, str(tmp_path), 200).collect()
+    ends = {r["file"].rsplit("/", 1)[1]: r for r in rows if r["record"] is None}
+    assert all(r["reason"] is None and r["records"] == 200 and r["bytes"] <= 300_000 < len(whole) / 4 for r in ends.values()) and len(rows) == 402
+    assert [json.loads(r["record"])["id"] for r in rows if r["record"] and r["file"].endswith("a.gz")] == list(range(200))
+    rows = landing.scan_shards(spark, str(tmp_path)).groupBy("file").agg(F.count("record").alias("n"), F.max("bytes").alias("bytes"), F.max("records").alias("records"), F.max("reason").alias("reason"))
+    got = {r["file"].rsplit("/", 1)[1]: r for r in rows.collect()}
+    assert (got["a.gz"]["n"], got["a.gz"]["bytes"], got["a.gz"]["records"], got["a.gz"]["reason"]) == (100_000, len(whole), 100_000, None)
+    assert got["b.gz"]["n"] == 0 and "EOF" in got["b.gz"]["reason"]
+    assert landing.scan_shards(spark, str(tmp_path), give="health").filter("record is not null").count() == 0
+    assert landing.scan_shards(spark, f"file://{tmp_path}/none").count() == 0
+
+    class Once(io.BytesIO):
+        """Cannot be read again from the start, as a store's stream."""
+
+        def seek(self, *_):
+            raise OSError("read twice")
+
+    class Failing(io.RawIOBase):
+        def read(self, size=-1):
+            raise OSError("the store is away")
+
+    *records, end = shards.read_shard(Once(whole))
+    assert sum(map(len, records)) == 100_000 and end == (None, 100_000, len(whole)) and max(map(len, records)) <= shards.BATCH_RECORDS
+    with pytest.raises(OSError, match="away"):
+        list(shards.read_shard(Failing()))
+
+
+def test_landing_summary_is_the_sum_of_the_files(spark, tmp_path):
+    rows = spark.range(5000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    for _ in range(3):
+        landing.write_landing(rows.repartition(4), str(tmp_path / "raw"))
+    sizes = [p.stat().st_size for p in (tmp_path / "raw").glob("*.gz")]
+    assert len(sizes) == 12 and landing.landing_summary(spark, str(tmp_path / "raw")).first().asDict() == {"shards": 12, "bytes": sum(sizes)}
+
+
+def test_dead_streaks_with_cuts_at_every_place(spark):
+    import random
+
+    rnd = random.Random(4)
+    rows = [(run, i * 3, int(rnd.random() < share)) for run, n, share in (("a", 60, 0.5), ("b", 50, 0.8), ("c", 2, 0.0), ("d", 40, 0.3), (None, 30, 0.4)) for i in range(n)]
+    want = {}
+    for run in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == run]
+        for i in range(2, len(own)):
+            if not any(x[2] for x in own[i - 2 : i + 1]):
+                want[run] = own[i][1]
+                break
+    df = spark.createDataFrame(rows, "run string, seq int, found int").repartition(5)
+    for block in (3, 4, 7, 10_000):
+        assert {r["run"]: r["seq"] for r in ledger.dead_streaks(df, block=block).collect()} == want, block
+
+
+def test_batches_of_one_second_are_in_several_tasks(spark):
+    kind = "match_id bigint, source string, label string, start_time bigint"
+    rows = [(i * 7919 % 100_003, "s", "a", 1000 if i % 5 else None if i % 3 else i) for i in range(4000)] + [(i, None, "a", 5) for i in range(40)]
+    df = spark.createDataFrame(rows, kind).repartition(3)
+    placed = ledger.numbered(df.select("source", "label", "start_time", "match_id"), ["source", "label"], [F.col("start_time").desc_nulls_last(), F.col("match_id").desc()], "place")
+    for source in ("s", None):
+        own = sorted((r for r in rows if r[1] == source), key=lambda r: (r[3] is None, -(r[3] or 0), -r[0]))
+        got = {r["match_id"]: r["place"] for r in placed.filter(F.col("source").eqNullSafe(F.lit(source))).collect()}
+        assert got == {r[0]: i for i, r in enumerate(own)}
+    ranges = spark.read.parquet(placed.inputFiles()[0].rsplit("/", 1)[0]).groupBy("__range").count().collect()
+    assert len(ranges) == 4 and max(r["count"] for r in ranges) < 2000
+
+
+STORED = "match_id bigint, source string, label string, start_time bigint, status string, attempts bigint, raw_file string, last_error string"
+
+
+def stored_ledger(spark, path, n=400, buckets=32):
+    from matchloom.sources.ledger_store import LedgerStore
+
+    rows = [(i, "pro" if i % 3 else "public", f"w{i % 4}", i * 10, ("discovered", "failed", "fetched", "missing")[i % 4], i % 3, None, None) for i in range(n)]
+    full = spark.createDataFrame(rows, STORED).selectExpr("*", "CAST(NULL AS BIGINT) avg_rank_tier", "CAST(NULL AS BIGINT) lobby_type", "CAST(NULL AS BIGINT) game_mode", "7L discovered_at")
+    return LedgerStore.create(full, path, buckets), full
+
+
+def same(a, b, *columns):
+    of = lambda df: sorted(map(str, df.select(*columns).collect()))
+    assert of(a) == of(b)
+
+
+def test_stored_ledger_writes_touched_buckets_only(spark, tmp_path):
+    """The life of ids: added, fetched, failed, removed; each change writes its own buckets, and the ledger's side has no exchange."""
+    store, full = stored_ledger(spark, str(tmp_path / "ledger"))
+    columns = ["match_id", "status", "attempts", "raw_file", "last_error", "label", "discovered_at"]
+    same(store.read(), full, *columns)
+    before = {b: list(r) for b, r in store.runs.items()}
+    outcomes = spark.createDataFrame([(5, "found", None), (77, "failed", "no"), (123, "missing", None), (200, "found", None), (201, "failed", "x"), (399, "missing", None)], "match_id bigint, outcome string, error string")
+    touched = store.apply_outcomes(outcomes, "part-1.gz")
+    changed = [b for b in store.runs if store.runs[b] != before[b]]
+    assert 0 < len(touched) <= 6 and sorted(map(int, changed)) == touched and store.version == 2
+    full = ledger.apply_outcomes(full, outcomes, "part-1.gz")
+    same(store.read(), full, *columns)
+    plan = ledger.apply_outcomes(store.read(touched), F.broadcast(outcomes), "x")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("BroadcastExchange") == 1
+    store.remove_walks(["pro:w1", "w3"])
+    full = ledger.without_walks(full, ["pro:w1", "w3"])
+    same(store.read(), full, *columns)
+    assert store.remove_walks(["nowhere"]) == [] and store.version == 3
+    store.remove_walks(["w0"], include_fetched=True)
+    full = ledger.without_walks(full, ["w0"], include_fetched=True)
+    same(store.read(), full, *columns)
+    runs = {p.name for p in (tmp_path / "ledger/data").iterdir()}
+    gone = store.vacuum(1)
+    same(store.read(), full, *columns)
+    assert gone and {p.name for p in (tmp_path / "ledger/data").iterdir()} == runs - set(gone)
+
+
+def test_new_ids_are_added_without_a_look_at_the_ledger(spark, tmp_path):
+    import shutil
+
+    store, full = stored_ledger(spark, str(tmp_path / "ledger"))
+    kind = "match_id bigint, source string, label string, start_time bigint"
+    fresh = spark.createDataFrame([(i, "pro", label, i) for i in range(350, 460) for label in ("z", "a")], kind)
+    want = ledger.insert_or_ignore(full.select("match_id"), fresh, [F.col("label")])
+    added = store.insert_or_ignore(fresh, [F.col("label")])
+    same(added, want, *added.columns)
+    assert added.count() == 60 and store.read().count() == 460 and store.read().select("match_id").distinct().count() == 460
+    assert store.insert_or_ignore(fresh, [F.col("label")]).count() == 0 and store.version == 2
+    for i in range(3):  # further runs, which are then written as one
+        assert store.insert_or_ignore(spark.createDataFrame([(1000 + i, "pro", "b", 1), (3, "pro", "b", 1)], kind), [F.col("label")]).count() == 1
+    rows = store.read().collect()
+    compacted = store.compact(1)
+    assert compacted and all(len(r) == 1 for r in store.runs.values()) and sorted(map(str, store.read().collect())) == sorted(map(str, rows))
+    for run in (tmp_path / "ledger/data").iterdir():
+        shutil.rmtree(run / "rows")  # only the filters are left
+    new = spark.createDataFrame([(i, "pro", "b", 1) for i in range(10_000, 10_060) if i not in {r["match_id"] for r in store._maybe_known(spark.range(10_000, 10_060).select(F.col("id").alias("match_id"))).collect()}], kind)
+    assert new.count() > 40 and store.insert_or_ignore(new, [F.col("label")]).count() == new.count()
+
+
+def test_filters_know_all_ids_and_few_others(spark, tmp_path):
+    store, _ = stored_ledger(spark, str(tmp_path / "ledger"), 6000, 4)
+    known = store._maybe_known(spark.range(6000).select(F.col("id").alias("match_id")))
+    assert known.count() == 6000
+    assert store._maybe_known(spark.range(10_000, 16_000).select(F.col("id").alias("match_id"))).count() < 600
+
+
+def test_two_writers_of_a_ledger(spark, tmp_path):
+    from matchloom.sources.ledger_store import LedgerStore
+    from matchloom.sources.versions import Conflict
+
+    store, _ = stored_ledger(spark, str(tmp_path / "ledger"), 40, 4)
+    other = LedgerStore(spark, str(tmp_path / "ledger"))
+    outcomes = spark.createDataFrame([(5, "found", None)], "match_id bigint, outcome string, error string")
+    store.apply_outcomes(outcomes, "one.gz")
+    with pytest.raises(Conflict):
+        other.apply_outcomes(outcomes, "two.gz")
+    other.refresh()
+    assert [r["raw_file"] for r in other.read().filter("match_id = 5").collect()] == ["one.gz"]
+    other.apply_outcomes(outcomes, "two.gz")
+    assert [r["raw_file"] for r in LedgerStore(spark, str(tmp_path / "ledger")).read().filter("match_id = 5").collect()] == ["two.gz"]
+
+
+def test_published_versions(spark, tmp_path, monkeypatch):
+    """A reader between the steps of a publication sees the old tables; a failing put leaves them."""
+    from matchloom.sources import versions
+
+    folder, kind = str(tmp_path / "out"), "id bigint, patch string"
+    fact = lambda *p: spark.createDataFrame([(i, x) for i, x in enumerate(p)], kind)
+    read = lambda: {n: sorted(r["patch"] for r in versions.Reader(spark, folder).table(n, kind).collect()) for n in ("a", "b")}
+    assert versions.current(spark, folder) == (0, {})
+    assert versions.publish({"a": fact("7.40", "7.41"), "b": fact("7.40")}, folder) == {"a": 2, "b": 1}
+    old, seen = versions.Reader(spark, folder), []
+
+    def watched(df, path):
+        versions.write_fact(df, path)
+        seen.append(read())
+
+    versions.publish({"a": fact("8.0"), "b": fact("8.0", "8.1")}, folder, watched)
+    assert seen == [{"a": ["7.40", "7.41"], "b": ["7.40"]}] * 2 and read() == {"a": ["8.0"], "b": ["8.0", "8.1"]}
+    assert sorted(r["patch"] for r in old.table("a", kind).collect()) == ["7.40", "7.41"]
+    with pytest.raises(ValueError, match="no rows"):
+        versions.publish({"a": fact("9"), "b": fact()}, folder)
+    put = versions.put
+    monkeypatch.setattr(versions, "put", lambda *a: (_ for _ in ()).throw(OSError("the store is away")))
+    with pytest.raises(OSError, match="away"):
+        versions.publish({"a": fact("9")}, folder)
+    monkeypatch.setattr(versions, "put", put)
+    assert read() == {"a": ["8.0"], "b": ["8.0", "8.1"]} and len(list((tmp_path / "out/data").iterdir())) == 2
+    (tmp_path / "out/_versions/0000000003.json").write_text('{"tables": {"a"')  # a pointer that is being written
+    assert read() == {"a": ["8.0"], "b": ["8.0", "8.1"]}
+    with pytest.raises(versions.Conflict):
+        versions.publish({"b": fact("9")}, folder)
+    (tmp_path / "out/_versions/0000000003.json").unlink()
+    versions.publish({"b": fact("9")}, folder)
+    assert read() == {"a": ["8.0"], "b": ["9"]} and len(versions.vacuum_tables(spark, folder, 1)) == 1 and read() == {"a": ["8.0"], "b": ["9"]}
+
+
+def test_restated_facts_rewrite_what_changed(spark, tmp_path):
+    from matchloom.sources.fact_store import FactStore, changed_intervals
+
+    old = spark.createDataFrame([("a", 100), ("b", 200), ("c", 300), ("d", 400)], PATCHES)
+    df = raw(spark, *[{"id": i, "startDateTime": 10 * i, "players": [{"heroId": 1}, {"heroId": 2}]} for i in range(60)])
+    schema = facts.players(df, old).schema
+
+    def stored(name):
+        store = FactStore(spark, str(tmp_path / name), schema)
+        assert store.append(facts.players(df.filter("id < 30"), old), 0) and store.append(facts.players(df.filter("id >= 30"), old), 1) and not store.append(facts.players(df, old), 1)
+        same(store.read(), facts.players(df, old), *schema.names)
+        return store
+
+    cases = {
+        "moved": ([("a", 100), ("b", 200), ("c", 340), ("d", 400)], ["b", "c"]), "same": ([("a", 100), ("b", 200), ("c", 300), ("d", 400)], []),
+        "new": ([("a", 100), ("b", 200), ("b2", 250), ("c", 300), ("d", 400), ("e", 9999)], ["b", "b2", "d", "e"]), "gone": ([("a", 100), ("c", 300), ("d", 400)], ["a", "b"]),
+        "later": ([("a", 150), ("b", 200), ("c", 300), ("d", 400)], ["a"]), "earlier": ([("a", 50), ("b", 200), ("c", 300), ("d", 400)], ["a"]),
+        "renamed": ([("A", 100), ("b", 200), ("c", 300), ("d", 400)], ["A", "a"]),
+    }
+    for name, (rows, touched) in cases.items():
+        store, new = stored(name), spark.createDataFrame(rows, PATCHES)
+        before = dict(store.parts)
+        assert store.restate(old, new, lambda: df, facts.players) == touched, name
+        same(store.read(), facts.players(df, new), *schema.names)
+        assert all(store.parts[p] == x for p, x in before.items() if p not in touched)
+        if name == "earlier":
+            with pytest.raises(ValueError, match="earlier"):
+                stored("again").restate(old, new)
+        if name == "moved":
+            assert [tuple(r) for r in changed_intervals(old, new).collect()] == [(300, 340, "c", "b")]
+            assert store.read(["b"]).select("patch").distinct().count() == 1 and len(store.vacuum(1)) == 0 and store.read().count() == 100
+
+
+def test_observed_paths_of_unlike_values(spark):
+    """Odd keys, and keys with records in one place and scalars in another, within a text and between texts."""
+    texts = ['{"a":{"b":1},"c":[{"d":1},5,[{"e":{"f":null}}],{"d":{"g":2}}]}', '{"a":"text","c":[]}', '{"x y":1,"q`t":{"z: w":"s"},"a,b>":{"A":1,"a":2},"VARIANT":1}', '[{"top":[[1],[{"k":2}]]}]', "5", '{"a":{"h":[]}}']
+    lines = spark.createDataFrame([(t, "g") for t in texts] + [('{"n":{"only":1}}', None)], "value string, file string")
+    got = {}
+    for r in quality.observed_paths(lines, F.col("file")).collect():
+        got.setdefault(r["group"], set()).add(r["path"])
+    want = {"a", "a.b", "a.h", "c", "c.d", "c.d.g", "c.e", "c.e.f", "x y", "q`t", "q`t.z: w", "a,b>", "a,b>.A", "a,b>.a", "VARIANT", "top", "top.k"}
+    assert got == {"g": want, "": {"n", "n.only"}}
+    assert quality.observed_paths(lines.limit(0)).count() == 0
