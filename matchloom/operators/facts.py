@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..sources import schemas
+from ..sources import landing, schemas
 from .asof import asof
 
 MATCH_COLUMNS = {
@@ -161,6 +161,8 @@ def item_availability(events: DataFrame, distinct: bool = False) -> DataFrame:
     """Matches per patch and item; a pair without matches is 0 where the item occurs in any patch. distinct: events are one for each match and item."""
     n = F.count("match_id") if distinct else F.countDistinct("match_id")
     seen = events.groupBy("patch", "item_id").agg(n.alias("matches"))
-    seen = seen.checkpoint() if seen.sparkSession.sparkContext.getCheckpointDir() else seen  # else counted once for each side of the grid
+    path, kind = landing.shared_path(seen.sparkSession, "availability"), seen.schema  # else counted once for each side of the grid
+    seen.write.parquet(path)
+    seen = seen.sparkSession.read.schema(kind).parquet(path)
     grid = seen.select("patch").distinct().crossJoin(seen.select("item_id").distinct())  # two dimensions: releases and items
     return grid.join(seen, ["patch", "item_id"], "left").withColumn("matches", F.coalesce("matches", F.lit(0).cast("long")))

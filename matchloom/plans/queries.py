@@ -362,6 +362,22 @@ def asof_patch(spark, sf):
     return A.asof(D.matches(spark, sf), D.patches(spark)).select("id", "startDateTime", "patch")
 
 
+_LINE_TIME = "CAST(floor(epoch(l_shipdate)) AS BIGINT) + l_partkey % 86400"
+
+
+def _line_times(spark, sf) -> DataFrame:
+    """A time for each line of an order, and the line's part."""
+    time = F.unix_seconds(F.col("l_shipdate").cast("timestamp")) + F.col("l_partkey") % 86400
+    return D.table(spark, sf, "lineitem").select(time.alias("t"), "l_partkey")
+
+
+@query(f"""SELECT m.id, m."startDateTime", r.name AS patch FROM m ASOF JOIN (SELECT {_LINE_TIME} AS start_ts, max(concat('r', l_partkey)) AS name FROM lineitem GROUP BY 1) r ON m."startDateTime" >= r.start_ts""", "m")
+def asof_many_releases(spark, sf):
+    """A release for each line of an order: too many to be broadcast."""
+    releases = _line_times(spark, sf).select(F.concat(F.lit("r"), F.col("l_partkey").cast("string")).alias("name"), F.col("t").alias("start_ts"))
+    return A.asof_merged(D.matches(spark, sf), releases).select("id", "startDateTime", "patch")
+
+
 @query('SELECT m.id, count(*) AS n FROM m JOIN lineitem ON l_orderkey = m.id GROUP BY m.id', "m")
 def explode_players(spark, sf):
     return facts.with_players(D.raw(spark, sf, (), ("heroId",), ())).groupBy("id").agg(F.count("*").alias("n"))
@@ -570,6 +586,16 @@ def nearest_match(spark, sf):
     return A.nearest(_targets(spark, sf), D.matches(spark, sf), "target_ts", "startDateTime", "id")
 
 
+@query(
+    f'SELECT * FROM (WITH r AS (SELECT "startDateTime" AS time, min(id) AS id FROM m GROUP BY 1), t AS (SELECT DISTINCT {_LINE_TIME} AS target_ts FROM lineitem), '
+    "x AS (SELECT target_ts, id, target_ts - time AS distance FROM t ASOF JOIN r ON target_ts >= time UNION ALL SELECT target_ts, id, time - target_ts FROM t ASOF JOIN r ON target_ts <= time) "
+    "SELECT target_ts, id, distance FROM x QUALIFY row_number() OVER (PARTITION BY target_ts ORDER BY distance, id) = 1)", "m",
+)
+def nearest_many_targets(spark, sf):
+    """The nearest match to the time of each line of an order."""
+    return A.nearest(_line_times(spark, sf).select(F.col("t").alias("target_ts")).distinct(), D.matches(spark, sf), "target_ts", "startDateTime", "id")
+
+
 _SAMPLE_NOW = D.seconds("2001-01-01")
 
 
