@@ -29,7 +29,7 @@ ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
-_ARC_RECORD = "name string, place long, version int, url string, ip string, date string, mime string, status int, head binary, payload binary"
+_ARC_RECORD = "name string, place long, version int, url string, ip string, date string, mime string, status int, head binary, payload binary, error string"
 
 
 def write_arc(name: str, version: int, records: list[tuple[str, str, str, str, bytes]]) -> bytes:
@@ -47,8 +47,12 @@ def write_arc(name: str, version: int, records: list[tuple[str, str, str, str, b
     return b"".join(out)
 
 
+class Damaged(ValueError):
+    """An ARC file cannot be read on from a place, its second argument."""
+
+
 def read_arc(raw: bytes) -> Iterator[dict]:
-    """Records of an ARC file but the first, which tells the version. Broken or cut-off records raise ValueError."""
+    """Records of an ARC file but the first, which tells the version. Broken or cut-off records raise Damaged, after those before them."""
     at, fields, version = 0, None, 0
     while at < len(raw):
         if raw[at : at + 1] in b"\r\n":
@@ -58,20 +62,23 @@ def read_arc(raw: bytes) -> Iterator[dict]:
         line = raw[at:end].rstrip(b"\r").decode("utf-8", "replace") if end >= 0 else ""
         values = line.split(" ")
         if not line or not values[-1].isdigit():
-            raise ValueError(f"no ARC header at {at}")
+            raise Damaged(f"no ARC header at {at}", at)
         size = int(values[-1])
         content = raw[end + 1 : end + 1 + size]
         if len(content) < size:
-            raise ValueError(f"record at {at} is cut off")
+            raise Damaged(f"record at {at} is cut off", at)
         if fields is None:
-            first, names = content.decode("utf-8", "replace").splitlines()[:2]
-            version, fields = int(first.split()[0]), names.lower().split()
-            if version not in ARC_FIELDS:
-                raise ValueError(f"ARC version {version}")
+            first, names, *_ = [*content.decode("utf-8", "replace").splitlines(), "", ""]
+            number, fields = (first.split() or [""])[0], names.lower().split()
+            if not number.isdigit() or int(number) not in ARC_FIELDS or not {"url", "ip-address", "archive-date", "content-type", "archive-length"} <= set(fields):
+                raise Damaged(f"no ARC version at {at}", at)
+            version = int(number)
         else:
             if len(values) > len(fields):  # blanks in the URL
                 over = len(values) - len(fields)
                 values = [" ".join(values[: over + 1]), *values[over + 1 :]]
+            if len(values) < len(fields):
+                raise Damaged(f"no ARC header at {at}", at)
             yield dict(zip(fields, values, strict=True)) | {"place": at, "version": version, "content": content}
         at = end + 1 + size
 
@@ -117,21 +124,40 @@ def pages_to_arc(pages: DataFrame, per_file: int = 200, most_bytes: int = FILE_B
     return pages.select("page_id", "url", "html").mapInArrow(lambda it: _pages_to_arc(it, per_file, most_bytes), "name string, content binary")
 
 
+def _date_of(text: str) -> str | None:
+    """The time of an ARC date, 14 digits or the first of them, as WARC has it; null if it is none."""
+    digits = text[:14]
+    try:
+        full = digits + "00000101000000"[len(digits) :]
+        return datetime.strptime(full, "%Y%m%d%H%M%S").replace(tzinfo=timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ") if digits.isdigit() and len(digits) >= 4 else None
+    except ValueError:
+        return None
+
+
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in _ARC_RECORD.split(", ")]
-    kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.binary(), pa.binary()]
+    kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.string()]
     for batch in batches:
-        for name, raw in zip(batch.column("name"), batch.column("content"), strict=True):
+        for name, raw in zip(batch.column("name").to_pylist(), batch.column("content"), strict=True):
             rows = []
-            for r in read_arc(raw.as_py()):
-                status, head, payload = _split_http(r["content"])
-                rows.append((name.as_py(), r["place"], r["version"], r["url"], r["ip-address"], r["archive-date"], r["content-type"], status, head, payload))
+            broken = lambda place, error: (name, place, *[None] * 8, error)  # noqa: B023, E731
+            try:
+                for r in read_arc(raw.as_py()):
+                    date = _date_of(r["archive-date"])
+                    if date is None:
+                        rows.append(broken(r["place"], f"record at {r['place']} has no date"))
+                        continue
+                    status, head, payload = _split_http(r["content"])
+                    rows.append((name, r["place"], r["version"], r["url"], r["ip-address"], date, r["content-type"], status, head, payload, None))
+            except Damaged as e:
+                rows.append(broken(e.args[1], e.args[0]))
             # no larger than its archive
             yield pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
 def arc_records(archives: DataFrame) -> DataFrame:
-    """One row per record of the ARC files (name, content)."""
+    """One row per record of the ARC files (name, content). Where one is damaged, a row with its place there and an error ends it; a record without a date
+    is such a row, too, and the ones after it follow."""
     return archives.mapInArrow(_records, _ARC_RECORD)
 
 
@@ -143,11 +169,10 @@ def record_id(name: Column, place: Column) -> Column:
 
 
 def _bytes_of(row: dict) -> bytes:
-    date = datetime.strptime(row["date"][:14], "%Y%m%d%H%M%S").replace(tzinfo=timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     revisit = row["first_id"] is not None
     block = row["head"] if revisit else row["head"] + row["payload"]
     lines = [
-        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {row['id']}", f"WARC-Date: {date}",
+        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {row['id']}", f"WARC-Date: {row['date']}",
         f"WARC-Target-URI: {row['url']}", f"WARC-IP-Address: {row['ip']}", "Content-Type: application/http; msgtype=response",
         f"WARC-Payload-Digest: sha256:{row['sha']}", f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}",
         f"X-Payload-Length: {row['size']}",
@@ -173,17 +198,20 @@ def _texts(batches: Iterator[pa.RecordBatch], per_file: int, most_bytes: int) ->
         yield of()
 
 
-def arc_to_warc(archives: DataFrame, path: str, least: int = 100, per_file: int = 2000, most_bytes: int = FILE_BYTES) -> None:
+def arc_to_warc(archives: DataFrame, path: str, least: int = 100, per_file: int = 2000, most_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes the records of the ARC files (name, unique, and content) as WARC files in the folder `path`, each full after per_file records or
     most_bytes.
 
     Of records with equal payloads of at least `least` bytes, the one with the smallest X-Page-Id (then by file and place)
-    is a response and the others revisit it; a record without that field comes after those with it. Equal means the same SHA-256 and size.
+    is a response and the others revisit it; a record without that field comes after those with it. Equal means the same SHA-256 and size. Heads may hold any bytes.
+    Returns name, place, error of damage: the records before it are written, and a damaged archive costs no other one.
     """
     rows = arc_records(archives)
-    page = F.regexp_extract(F.decode("head", "UTF-8"), r"(?i)\r\nX-Page-Id: (-?\d+)\r\n", 1)
+    page = F.regexp_extract(F.decode("head", "ISO-8859-1"), r"(?i)\r\nX-Page-Id: (-?\d+)\r\n", 1)
     rows = rows.withColumn("page", F.when(page != "", page.cast("long"))).withColumn("sha", F.sha2("payload", 256))
     rows = stored(rows.withColumn("size", F.length("payload").cast("long")), "arc-records")
+    damage = rows.filter("error is not null").select("name", "place", "error")
+    rows = rows.filter("error is null")
     key = F.when(F.col("size") >= least, F.concat_ws(":", "sha", "size"))
     small = rows.select("name", "place", "page", key.alias("key")).filter("key is not null")
     order = F.struct(F.col("page").isNull().alias("none"), "page", "name", "place")
@@ -196,6 +224,7 @@ def arc_to_warc(archives: DataFrame, path: str, least: int = 100, per_file: int
     # a value is a file; the writer puts the end of the last record after it
     text = text.select(F.col("value").cast("string").alias("value"))
     text.write.option("lineSep", _END).option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
+    return damage
 
 
 def read_warc_bytes(raw: bytes) -> Iterator[tuple[dict, bytes]]:

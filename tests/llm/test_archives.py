@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 
 import pytest
@@ -50,3 +51,23 @@ def test_files_are_warc(spark, tmp_path):
 
 def test_no_pages(spark):
     assert A.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_old_heads_and_damaged_archives(spark, tmp_path):
+    """Heads in Latin-1 or in no encoding at all are kept byte by byte; of a damaged archive the records before the damage are written, and it costs no other one."""
+    body = lambda i: f"HTTP/1.0 200 OK\r\nServer: caf\xe9 \xff{i}\r\nX-Page-Id: {i}\r\n\r\n".encode("latin-1") + b"<p>\xe9\xff" * 60 + str(i % 2).encode()
+    record = lambda i, date="20010203040506": (f"http://x.org/{i}", "1.2.3.4", date, "text/html", body(i))
+    good = A.write_arc("good", 1, [record(1), record(2), record(3)])
+    cut = A.write_arc("cut", 2, [record(4), record(5)])[:-30]
+    broken = A.write_arc("broken", 1, [record(6)]) + b"no header here\n" + A.write_arc("rest", 1, [record(7)])
+    dates = A.write_arc("dates", 1, [record(8, "1999"), record(9, "20019999040506"), record(10, "199912312359")])
+    rows = [("good", good), ("cut", cut), ("broken", broken), ("dates", dates), ("empty", b""), ("junk", b"\x00\x01\x02"), ("version", good.replace(b"1 0 matchloom", b"7 0 matchloom"))]
+    damage = A.arc_to_warc(spark.createDataFrame(rows, "name string, content binary").repartition(3), str(tmp_path / "warc"))
+    got = {r["page_id"]: r for r in A.read_warc(spark, str(tmp_path / "warc")).collect()}
+    assert set(got) == {1, 2, 3, 4, 6, 8, 10} and len(got) == 7
+    assert [got[i]["date"] for i in (1, 8, 10)] == ["2001-02-03T04:05:06Z", "1999-01-01T00:00:00Z", "1999-12-31T23:59:00Z"]
+    assert {i for i, r in got.items() if r["record_type"] == "response"} == {1, 2} and bytes(got[1]["payload"]) == b"<p>\xe9\xff" * 60 + b"1"
+    told = {r["name"]: r["error"] for r in damage.collect()}
+    assert set(told) == {"cut", "broken", "dates", "junk", "version"}
+    assert "cut off" in told["cut"] and "no ARC header" in told["broken"] and "no date" in told["dates"] and "version" in told["version"]
+    assert b"Server: caf\xe9 \xff1" in b"".join(gzip.decompress(p.read_bytes()) for p in (tmp_path / "warc").glob("*.gz"))
