@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,10 +35,12 @@ _IN_KEY[list(_KEY)] = True
 _IN_HEX = np.zeros(256, bool)
 _IN_HEX[list(b"0123456789abcdef")] = True
 #: The number of each byte in the models; 0 stands before the first character.
-_STATE = np.zeros(256, np.int64)
+_STATE = np.zeros(256, np.uint8)
 _STATE[list(_KEY)] = np.arange(1, len(_KEY) + 1)
 _STATES = len(_KEY) + 1
 _SIGNS = b"+/_=-"
+#: Bytes of a text that are looked at together.
+_PIECE = 1 << 20
 #: Capitals 1, small letters 2, digits 3, signs 0.
 _CASE = np.zeros(256, np.int8)
 _CASE[65:91], _CASE[97:123], _CASE[48:58] = 1, 2, 3
@@ -95,17 +98,19 @@ def _found(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
         yield lo, hi, data, offsets, raws, bases
 
 
-def _states(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Which bytes lie in the runs, and states before and at each of these."""
-    edge = np.zeros(len(data) + 1, np.int8)
-    edge[begins] += 1
-    edge[ends] -= 1  # runs are apart, or at the edge of rows, where both meet
-    inside = np.cumsum(edge[:-1], dtype=np.int8) > 0
-    states = np.where(inside, _STATE[data], 0)
-    before = np.zeros_like(states)
-    before[1:] = states[:-1]
-    before[begins] = 0
-    return inside, before[inside], states[inside]
+def _pairs(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Pieces of the bytes: first, the one after the last, the number of the pair of states before and at each byte, and which bytes lie in the runs."""
+    for a in range(0, len(data), _PIECE):
+        b = min(len(data), a + _PIECE)
+        states = _STATE[data[a:b]]
+        before = np.concatenate([_STATE[data[a - 1 : a]] if a else np.zeros(1, np.uint8), states[:-1]])
+        lo, hi = np.searchsorted(begins, [a, b])
+        before[begins[lo:hi] - a] = 0
+        edge = np.zeros(b - a + 1, np.int8)
+        edge[begins[lo:hi] - a] += 1
+        edge[ends[slice(*np.searchsorted(ends, [a + 1, b]))] - a] -= 1  # runs are apart, or at the edge of rows, where both meet
+        edge[0] += 1 if lo and ends[lo - 1] > a else 0
+        yield a, b, before.astype(np.uint16) * _STATES + states, np.cumsum(edge[:-1], dtype=np.int8) > 0
 
 
 def _covered(offsets: np.ndarray, raws: list[bytes], bases: list) -> np.ndarray:
@@ -126,7 +131,7 @@ def _ordinary(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndar
     before = np.concatenate([[0], case[:-1]])
     before[begins[begins < len(data)]] = 0
     fresh = (case != before) & (case > 0) & ~((before == 1) & (case == 2))
-    pieces = np.concatenate([[0], np.cumsum(fresh)])
+    pieces = np.concatenate([[0], np.cumsum(fresh, dtype=np.int32)])
     return 4 * (pieces[ends] - pieces[begins] - 1) <= ends - begins
 
 
@@ -139,13 +144,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 text = raw.decode("utf-8") if base else ""
                 for s, e, k in base:
                     secret = re.split(r"[:=]\s*[\"']?", text[s:e], maxsplit=1)[-1] if k == 0 else text[s:e]
-                    states = _STATE[np.frombuffer(secret.encode(), np.uint8)]
-                    np.add.at(counts[1], (np.concatenate([[0], states[:-1]]), states), 1)
+                    own = np.frombuffer(secret.encode(), np.uint8)
+                    for _, _, pair, _ in _pairs(own, np.zeros(min(1, len(own)), np.int64), np.full(min(1, len(own)), len(own))):
+                        counts[1] += np.bincount(pair, minlength=_STATES * _STATES).reshape(_STATES, _STATES)
             begins, ends = runs(data, offsets, _IN_KEY, 1)
-            sums = np.concatenate([[0], np.cumsum(_covered(offsets, raws, bases))])
+            sums = np.concatenate([[0], np.cumsum(_covered(offsets, raws, bases), dtype=np.int32)])
             plain = (sums[begins] == sums[ends]) & _ordinary(data, begins, ends)
-            _, before, after = _states(data, begins[plain], ends[plain])
-            counts[0] += np.bincount(before * _STATES + after, minlength=_STATES * _STATES).reshape(_STATES, _STATES)
+            for _, _, pair, inside in _pairs(data, begins[plain], ends[plain]):
+                counts[0] += np.bincount(pair[inside], minlength=_STATES * _STATES).reshape(_STATES, _STATES)
     label, before, after = np.nonzero(counts)
     columns = [pa.array(x.astype(np.int32)) for x in (label, before, after)] + [pa.array(counts[label, before, after])]
     yield pa.record_batch(columns, names=["label", "before", "after", "n"])
@@ -168,44 +174,88 @@ def train(docs: DataFrame, most_rows: int = 20_000, strength: float = 20.0) -> n
     return logs[1] - logs[0]
 
 
+class _Sums:
+    """Sums of the ratios of a run up to each place, by pieces: only those at the pieces' begins are kept."""
+
+    def __init__(self, run: bytes, ratio: np.ndarray):
+        self.states, self.ratio, self.starts = _STATE[np.frombuffer(run, np.uint8)], ratio, [0.0]
+        for k in range(len(run) // _PIECE):
+            self.starts.append(self.piece(k)[-1])
+
+    def piece(self, k: int) -> np.ndarray:
+        """Sums at the places from k * _PIECE on, the begin of the next piece included."""
+        own = self.states[k * _PIECE : (k + 1) * _PIECE]
+        before = np.concatenate([self.states[k * _PIECE - 1 : k * _PIECE] if k else np.zeros(1, np.uint8), own[:-1]])[: len(own)]
+        return np.cumsum(np.concatenate([self.starts[k : k + 1], self.ratio[before, own]]))
+
+    def best(self, a: int, b: int) -> tuple[int, int, float]:
+        """The begin and end of the stretch between two places with the highest sum, and that sum; the first of several."""
+        low, at, found = np.inf, a, (a, a, 0.0)
+        for k in range(a // _PIECE, min(b // _PIECE, len(self.starts) - 1) + 1):
+            first = max(a, k * _PIECE)
+            own = self.piece(k)[first - k * _PIECE : b + 1 - k * _PIECE]
+            least = np.minimum.accumulate(np.minimum(own, low))
+            end = int(np.argmax(own - least))
+            if own[end] - least[end] > found[2]:
+                begin = int(np.argmin(own[: end + 1]))
+                found = (first + begin if own[begin] < low else at), first + end, float(own[end] - least[end])
+            begin = int(np.argmin(own))
+            if own[begin] < low:
+                low, at = own[begin], first + begin
+        return found
+
+
 def stretches(run: bytes, ratio: np.ndarray, least_total: float, least_mean: float) -> list[tuple[int, int]]:
     """Begins and ends of the random stretches of a run of key characters: the stretch with the highest sum of ratios, widened to the signs around it, if the
     sum is least_total and least_mean for each of its characters, or more; then those of what is left and right of it."""
-    states = _STATE[np.frombuffer(run, np.uint8)]
-    steps = ratio[np.concatenate([[0], states[:-1]]), states]
-    sums = np.concatenate([[0.0], np.cumsum(steps)])
+    sums = _Sums(run, ratio)
     found, left = [], [(0, len(run))]
     while left:
         a, b = left.pop()
-        own = sums[a : b + 1]
-        least = np.minimum.accumulate(own)
-        end = int(np.argmax(own - least))
-        begin = int(np.argmin(own[: end + 1]))
-        if own[end] - own[begin] < least_total:
+        begin, end, total = sums.best(a, b)
+        if begin == end or total < least_total:
             continue
-        begin, end = a + begin, a + end
-        total, size = sums[end] - sums[begin], end - begin
-        while begin > a and run[begin - 1] not in _SIGNS:
-            begin -= 1
-        while end < b and run[end] not in _SIGNS:
-            end += 1
+        size = end - begin
+        begin = max(run.rfind(bytes([x]), a, begin) + 1 or a for x in _SIGNS)
+        ends = [at for x in _SIGNS if (at := run.find(bytes([x]), end, b)) >= 0]
+        end = min(ends, default=b)
         if total >= least_mean * size:
             found.append((begin, end))
         left += [(a, begin), (end, b)]
     return sorted(found)
 
 
+def _outside(spans: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The spans of which some character is in none of the base spans, which are sorted by their start."""
+    joined: list[list[int]] = []
+    for s, e, _ in base:
+        if joined and s <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], e)
+        else:
+            joined.append([s, e])
+    out = []
+    for s, e in spans:
+        i = bisect_right(joined, s, key=lambda x: x[0]) - 1
+        if i < 0 or joined[i][1] < e:
+            out.append((s, e))
+    return out
+
+
 def _scan(batches: Iterator[pa.RecordBatch], ratio: np.ndarray, least_total: float, least_mean: float) -> Iterator[pa.RecordBatch]:
-    gains = np.maximum(ratio, 0)
+    gains = np.maximum(ratio, 0).ravel()
     text_of = lambda xs: ",".join(f"{KINDS[k]}:{s}:{e}" for s, e, k in xs)
     for batch in batches:
         ids = batch.column("doc_id").cast(pa.int64())
         for lo, hi, data, offsets, raws, bases in _found(batch.column("text")):
             begins, ends = runs(data, offsets, _IN_KEY, 1)
-            inside, before, after = _states(data, begins, ends)
-            upto = np.concatenate([[0.0], np.cumsum(gains[before, after])])
-            size = np.concatenate([[0], np.cumsum(inside)])
-            hopeful = np.flatnonzero(upto[size[ends]] - upto[size[begins]] >= least_total - 1e-6)
+            upto, at_begin, at_end = 0.0, np.zeros(len(begins)), np.zeros(len(begins))
+            for a, b, pair, inside in _pairs(data, begins, ends):
+                sums = np.cumsum(np.concatenate([[upto], np.where(inside, gains[pair], 0.0)]))
+                for places, told in ((begins, at_begin), (ends, at_end)):
+                    x, y = np.searchsorted(places, [a, b], "left" if places is begins else "right")
+                    told[x:y] = sums[places[x:y] - a]
+                upto = sums[-1]
+            hopeful = np.flatnonzero(at_end - at_begin >= least_total - 1e-6)
             row = np.searchsorted(offsets, begins[hopeful], "right") - 1
             more: dict[int, list] = {}
             for i, a, b in zip(row.tolist(), begins[hopeful].tolist(), ends[hopeful].tolist(), strict=True):
@@ -216,9 +266,7 @@ def _scan(batches: Iterator[pa.RecordBatch], ratio: np.ndarray, least_total: flo
                 spans = list(base)
                 if more.get(i):
                     point = _points(raws[i], [p for span in more[i] for p in span])
-                    hidden = {p for s, e, _ in base for p in range(s, e)}
-                    own = [(point[a], point[b]) for a, b in more[i]]
-                    spans += [(s, e, 3) for s, e in own if not all(p in hidden for p in range(s, e))]
+                    spans += [(s, e, 3) for s, e in _outside([(point[a], point[b]) for a, b in more[i]], base)]
                 counts = [sum(k == n for _, _, k in spans) for n in range(4)]
                 rows.append((*counts, hashlib.sha256(text_of(base).encode()).hexdigest(), text_of(sorted(spans, key=lambda x: (x[0], x[2], x[1])))))
             kinds = [pa.int64()] * 4 + [pa.string()] * 2

@@ -109,3 +109,38 @@ def test_a_key_is_found_whole_though_it_holds_hex(ratio):
     key = "Zk3Qw9PxLm7RtYv2Bn8" + "0123456789abcdef" + "Hs5DfGj1KqWzXcVb4"
     (a, b), *_ = secret_scan.stretches(key.encode(), ratio, 25.0, 0.9)
     assert (a, b) == (0, len(key))
+
+
+def test_a_run_of_any_length_is_scanned_in_pieces(monkeypatch):
+    """The same stretches whatever the pieces are, and a bounded memory for texts that are one run."""
+    import random
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from matchloom.llm import secret_scan
+
+    rnd = random.Random(5)
+    ratio = np.full((secret_scan._STATES, secret_scan._STATES), -0.8)
+    digits = secret_scan._STATE[list(b"0123456789")]
+    ratio[:, digits] = 1.4
+    noise = lambda n: "".join(rnd.choice("0123456789" * 3 + "gXYZ+/_") for _ in range(n))
+    texts = ["", noise(4000), "x " + noise(30) + " " + "7" * 900 + " é " + noise(500), "plain words only", None, "ab0" * 400, "1" * 64 + "\n" + "2" * 64]
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    scan = lambda b: [r for x in secret_scan._scan(iter([b]), ratio, 25.0, 0.9) for r in x.to_pylist()]
+    want = scan(batch)
+    assert sum(r["n_markov"] for r in want) >= 3
+    for piece in (64, 100, 1 << 10):
+        monkeypatch.setattr(secret_scan, "_PIECE", piece)
+        assert scan(batch) == want, piece
+    monkeypatch.undo()
+    rng = np.random.default_rng(1)
+    for letters, kinds in ((b"0123456789abcdef", (0, 0, 1)), (secret_scan._KEY[:64], None)):
+        long = pa.record_batch([pa.array([1], pa.int64()), pa.array([np.frombuffer(letters, np.uint8)[rng.integers(0, len(letters), 50_000_000)].tobytes().decode()])], names=["doc_id", "text"])
+        tracemalloc.start()
+        found = scan(long)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 1e9, peak
+        assert kinds is None or tuple(found[0][k] for k in ("n_assign", "n_access", "n_hex")) == kinds
