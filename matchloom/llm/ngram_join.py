@@ -20,7 +20,8 @@ a group. What could still join different components is found without the pairs o
   a document near the leader must share more than half of its differences.
 
 Tokens are shuffled as packed arrays, by hash range and then by chunk of documents. A token that many documents of a chunk hold is sent as
-one count a chunk, and its documents go straight to their chunk, so that no range grows with the documents of one token.
+one count a chunk, and its documents go straight to their chunk; many is fewer the more chunks there are, so that a range grows with the chunks
+of one token and not with its documents. Of a chunk's equal sets one is sent.
 """
 
 from __future__ import annotations
@@ -41,9 +42,10 @@ from .shared import keep_rows, stored
 #: Tokens of up to so many documents are rare.
 RARE = 32
 _PLANES = 7
-_TOKENS, _SIGNS, _HEADER, _COPIES, _HOT, _LISTS = range(6)
-#: Tokens that so many documents of a chunk hold are counted in the chunk.
+_TOKENS, _SIGNS, _HEADER, _COPIES, _HOT, _LISTS, _ALIKE = range(7)
+#: Tokens that so many documents of a chunk hold are counted in the chunk; fewer where there are so many chunks that a token would have more than _SHARE of them.
 _MANY = 256
+_SHARE = 170_000
 #: Bytes of text for each hash range, about a sixth as many tokens.
 _RANGE_BYTES = 100_000_000
 _PACKED = "bucket int, chunk long, kind int, docs binary, tokens binary, codes binary, ids array<long>"
@@ -76,8 +78,8 @@ def _by_bucket(chunk: int, kind: int, tokens: np.ndarray, docs: np.ndarray, buck
             yield int(bucket[a]), chunk, kind, docs[a:b].tobytes(), _planes(tokens[a:b]), None, None
 
 
-def _spread(batches: Iterator[pa.RecordBatch], width: int, buckets: int, chunk_tokens: int) -> Iterator[pa.RecordBatch]:
-    """Chunks of documents as rows: their tokens and signatures by hash range, and a header."""
+def _spread(batches: Iterator[pa.RecordBatch], width: int, buckets: int, chunk_tokens: int, many: int) -> Iterator[pa.RecordBatch]:
+    """Chunks of documents as rows: their tokens and signatures by hash range, and a header. Of equal sets of a chunk the first sends the signature."""
     chunk = TaskContext.get().partitionId() << 24
     held: list[np.ndarray] = []
     ids: list = []
@@ -87,7 +89,8 @@ def _spread(batches: Iterator[pa.RecordBatch], width: int, buckets: int, chunk_t
         sizes = np.array([len(x) for x in held])
         docs = np.repeat(np.arange(len(held), dtype=np.uint16), sizes)
         tokens = np.concatenate(held)
-        sums = np.concatenate([[0], np.cumsum(tb.mix(tokens), dtype=np.uint64)]).astype(np.uint64)
+        sums = np.zeros(len(tokens) + 1, np.uint64)
+        np.cumsum(tb.mix(tokens), out=sums[1:])
         ends = np.cumsum(sizes)
         signs = tb.mix(sums[ends] - sums[ends - sizes] + sizes.astype(np.uint64)) >> np.uint64(8)
         full = np.flatnonzero(sizes)
@@ -95,7 +98,7 @@ def _spread(batches: Iterator[pa.RecordBatch], width: int, buckets: int, chunk_t
         order = np.argsort(tokens, kind="stable")
         tokens, docs = tokens[order], docs[order]
         begins, lengths = _runs(tokens)
-        hot = lengths >= _MANY
+        hot = lengths >= many
         if hot.any():
             here, counts = np.repeat(hot, lengths), lengths[hot].astype(np.uint32)
             often = tokens[begins[hot]]
@@ -103,10 +106,15 @@ def _spread(batches: Iterator[pa.RecordBatch], width: int, buckets: int, chunk_t
             yield _rows([(chunk % buckets, chunk, _LISTS, docs[here].tobytes(), _planes(often), counts.tobytes(), None)])
             tokens, docs = tokens[~here], docs[~here]
         yield _rows([*_by_bucket(chunk, _TOKENS, tokens, docs, buckets)])
-        yield _rows([*_by_bucket(chunk, _SIGNS, signs[full], full.astype(np.uint16), buckets)])
+        begins, lengths = _runs(signs[full])
+        first = full[begins].astype(np.uint16)
+        yield _rows([*_by_bucket(chunk, _SIGNS, signs[full][begins], first, buckets)])
+        alike = np.repeat(first, lengths) != full
+        if alike.any():
+            yield _rows([(chunk % buckets, chunk, _ALIKE, full[alike].astype(np.uint16).tobytes(), None, np.repeat(first, lengths)[alike].tobytes(), None)])
         yield _rows([(chunk % buckets, chunk, _HEADER, None, sizes.astype(np.uint32).tobytes(), np.array(texts, np.uint64).tobytes(), ids)])
 
-    for batch in batches:
+    for batch in (whole.slice(i, 16_384) for whole in batches for i in range(0, whole.num_rows, 16_384)):  # a chunk stays under 65,536 documents
         numbers = batch.column("doc_id").cast(pa.int64()).to_pylist()
         for lo, hi, data, offsets in tb.slices(batch.column("text")):
             for x in tb.word_shingles(data, offsets, width):
@@ -144,7 +152,7 @@ def _count(table: pa.Table) -> pa.Table:
     """One hash range: the tokens of two or more documents go back to their chunks with a code of their number, and
     documents with equal sets with the first of them."""
     rows = table.to_pydict()
-    out = [(None, rows["chunk"][i], k, rows["docs"][i], rows["tokens"][i], rows["codes"][i], rows["ids"][i]) for i, k in enumerate(rows["kind"]) if k in (_HEADER, _LISTS)]
+    out = [(None, rows["chunk"][i], k, rows["docs"][i], rows["tokens"][i], rows["codes"][i], rows["ids"][i]) for i, k in enumerate(rows["kind"]) if k in (_HEADER, _LISTS, _ALIKE)]
     tokens, uids = _documents(rows, _TOKENS)
     order = np.argsort(tokens)
     tokens, uids = tokens[order], uids[order]
@@ -214,6 +222,9 @@ def _gather(table: pa.Table, percent: int) -> pa.Table:
     for i, kind in enumerate(rows["kind"]):
         if kind == _COPIES:
             first[np.frombuffer(rows["docs"][i], np.uint16)] = rows["ids"][i]
+    if _ALIKE in rows["kind"]:
+        i = rows["kind"].index(_ALIKE)
+        first[np.frombuffer(rows["docs"][i], np.uint16)] = first[np.frombuffer(rows["codes"][i], np.uint16)]
     tokens, uids = _documents(rows, _TOKENS)
     codes = [np.frombuffer(rows["codes"][i], np.uint8) for i, k in enumerate(rows["kind"]) if k == _TOKENS]
     codes = np.concatenate(codes) if codes else np.zeros(0, np.uint8)
@@ -253,7 +264,8 @@ def token_sets(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // _RANGE_BYTES)
     chunk_tokens = min(16_000_000, max(2_000_000, 64 * buckets))
-    packed = docs.select("doc_id", "text").mapInArrow(lambda it: _spread(it, width, buckets, chunk_tokens), _PACKED)
+    many = max(2, min(_MANY, _SHARE // (1 + size // min(6 * chunk_tokens, 64_000_000))))
+    packed = docs.select("doc_id", "text").mapInArrow(lambda it: _spread(it, width, buckets, chunk_tokens, many), _PACKED)
     counted = packed.groupBy("bucket").applyInArrow(_count, _PACKED.partition(", ")[2])
     return stored(counted.groupBy("chunk").applyInArrow(lambda t: _gather(t, percent), _SETS), "token-sets")
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,11 +40,34 @@ def drop_stored(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Paths of the tables that stored() has written since noted() began.
+_noted: ContextVar[list[str] | None] = ContextVar("noted", default=None)
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths of the tables that are stored meanwhile, in their order."""
+    token = _noted.set([])
+    try:
+        yield _noted.get()
+    finally:
+        _noted.reset(token)
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes stored tables; DataFrames that read them cannot be used after that."""
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet in the shared folder and read again: lineage ends there, and a lost
     executor costs no recomputation of what went before."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    if _noted.get() is not None:
+        _noted.get().append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -69,3 +69,25 @@ def test_small_components_that_share_frequent_pairs(spark):
 def test_low_similarities_are_refused(spark):
     with pytest.raises(ValueError):
         ngram_join.linked(spark.createDataFrame([(1, "a")], "doc_id long, text string"), percent=60)
+
+
+def test_hot_tokens_and_equal_sets_are_sent_once_a_chunk(spark, monkeypatch):
+    """A passage in all documents of many chunks and a third of all documents alike: ranges get a row of them for each chunk, whatever the documents."""
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(3)
+    passage = " ".join(f"p{i}" for i in range(30))
+    texts = [passage if i % 3 == 0 else passage + " " + " ".join(f"w{rnd.randrange(10**6)}" for _ in range(12)) for i in range(6000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(24)
+    packed = docs.mapInArrow(lambda it: ngram_join._spread(it, 5, 4, 10_000, 2), ngram_join._PACKED)
+    rows = packed.groupBy("kind", "chunk").agg(F.sum(F.octet_length("tokens") / 7).alias("n"), F.sum(F.octet_length("docs") / 2).alias("docs")).collect()
+    of = {k: {r["chunk"]: r for r in rows if r["kind"] == k} for k in (ngram_join._TOKENS, ngram_join._SIGNS, ngram_join._HOT, ngram_join._ALIKE)}
+    chunks = len(of[ngram_join._HOT])
+    assert chunks >= 20 and all(26 <= r["n"] < 40 for r in of[ngram_join._HOT].values())  # the passage's shingles, and no more
+    assert sum(r["docs"] for r in of[ngram_join._SIGNS].values()) == 4000 + chunks and sum(r["docs"] for r in of[ngram_join._ALIKE].values()) == 2000 - chunks
+    assert sum(r["n"] for r in of[ngram_join._TOKENS].values()) < 4000 * 17
+    monkeypatch.setattr(ngram_join, "_SHARE", 0)
+    words = [f"w{i}" for i in range(300)]
+    family_rows = [(i, " ".join(t)) for i, t in enumerate(family(4, 150, words))]
+    family_rows += [(1000 + i, family_rows[i % 3][1]) for i in range(60)]
+    assert got(spark, family_rows) == brute(family_rows)

@@ -6,12 +6,15 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from hashlib import md5
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from matchloom.llm.shared import shared_dir
+
 from .test_ngram_join import brute as components_of
 from .test_oracles import documents
 
@@ -106,7 +109,11 @@ def test_rows(spark, tables):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     ids = {d: [*tokenizer.encode(t, add_special_tokens=False).ids, 2] for d, t in want}
     lengths = sorted((d, len([*tokenizer.encode(t, add_special_tokens=False).ids, 2])) for d, t in want)
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = {p.name for p in folder.glob("*")}
     pieces = pipeline.run(spark, path).collect()
+    made = {p.name.rsplit("-", 1)[0] for p in folder.glob("*") if p.name not in before}
+    assert "pipeline-mixing" in made and not made & {"pipeline-quality_rules", "pipeline-exact_dedup", "pipeline-ngram_jaccard_join", "recipes", "token-sets", "links", "word-counts"}
     assert sum(r["length"] for r in pieces) == sum(n for _, n in lengths)
     assert sorted((r["doc_id"], r["doc_tokens"]) for r in pieces if r["start"] == 0) == lengths
     for r in pieces:
