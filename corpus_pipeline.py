@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from matchloom.llm import exact_dedup, mixing, ngram_join, packing, quality_rules
-from matchloom.llm.shared import stored
+from matchloom.llm.shared import drop_paths, noted, stored
 
 
 def by_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The packed pieces. Of the stages' intermediate tables those are deleted that nothing reads any more: all of a stage but its result, and that once the next stage
+    is done."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with noted() as made:
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_paths(spark, before + made[:-1])
+        before = made[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
