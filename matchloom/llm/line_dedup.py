@@ -40,8 +40,13 @@ def _quarters(line: Column, n: Column) -> Column:
     return F.when(b == shorter, F.array(*keys(b))).otherwise(F.array(*keys(b), *keys(shorter)))
 
 
+def _lane(plain: Column) -> Column:
+    """The hash by which lines are grouped; equal ones are told apart by a second one, if they are not equal lines."""
+    return F.xxhash64(plain)
+
+
 def line_places(docs: DataFrame, least_words: int) -> DataFrame:
-    """Stored: uid, doc_id, text_key, pos, line (hash of its words) and quarters of each line with words, and of the first line of any document, with
+    """Stored: uid, doc_id, text_key, pos, line (hash of its words), twin (another hash) and quarters of each line with words, and of the first line of any document, with
     a null hash if that has none. Lines that are only compared as equal or not have no quarters."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("uid", "doc_id", F.xxhash64(text).alias("text_key"), F.posexplode(F.split(text, "\n")).alias("pos", "row"))
@@ -51,7 +56,7 @@ def line_places(docs: DataFrame, least_words: int) -> DataFrame:
     blanks = F.octet_length("plain") - F.octet_length(F.replace("plain", F.lit(" "), F.lit("")))
     rows = rows.select("*", (blanks + 1).alias("n"))
     quarters = F.when(F.col("n") >= least_words - 1, _quarters(F.col("plain"), F.col("n")))
-    return stored(rows.select("uid", "doc_id", "text_key", "pos", F.when(F.col("plain").isNotNull(), F.xxhash64("plain")).alias("line"), quarters.alias("quarters")), "line-places")
+    return stored(rows.select("uid", "doc_id", "text_key", "pos", F.when(F.col("plain").isNotNull(), _lane(F.col("plain"))).alias("line"), F.xxhash64(F.lit(5), "plain").alias("twin"), quarters.alias("quarters")), "line-places")
 
 
 def near(a: Column, b: Column) -> Column:
@@ -124,18 +129,29 @@ def _near_lines(docs: DataFrame, first: DataFrame, least_words: int) -> DataFram
     return stored(tested.select("line").distinct(), "near-lines")
 
 
+def _first_lines(places: DataFrame) -> DataFrame:
+    """Stored: line, place (of its first one), quarters, and whether lines of different twins meet in it."""
+    place, met = F.struct("doc_id", "uid", "pos", "text_key"), (F.min("twin") != F.max("twin")).alias("met")
+    return stored(places.groupBy("line").agg(F.min(place).alias("place"), F.first("quarters").alias("quarters"), met), "first-lines")
+
+
 def line_verdicts(docs: DataFrame, least_words: int = 8) -> DataFrame:
     """Stored, a row per document: uid, doc_id, n_lines, n_equal, n_near, kept (places of the lines that stay, in order).
 
     docs: uid (unique; it is read once only), doc_id, text. A line with words goes if an earlier line, in the order of doc_id (null first), uid and place, has the
     same words (n_equal), or else if one is within one edit (n_near); lines without words are not counted. Lines of under least_words
     words are compared as equal or not only; of two lines within one edit one may have a word less than least_words.
-    It does not matter whether the earlier line goes itself.
+    It does not matter whether the earlier line goes itself. Lines are equal if two hashes of 64 bits are.
+    No rows give no rows.
     """
     rows = line_places(docs, least_words)
+    first = _first_lines(rows.filter("line is not null"))
+    met = first.filter("met").select(F.col("line").alias("of"))
+    if not met.isEmpty():  # different lines with one hash: they get a hash of both
+        both = F.when(F.col("of").isNotNull(), F.xxhash64("line", "twin")).otherwise(F.col("line"))
+        rows = stored(rows.join(met, F.col("line") == F.col("of"), "left").withColumn("line", both).drop("of"), "line-places")
+        first = _first_lines(rows.filter("line is not null"))
     places = rows.filter("line is not null")
-    place = F.struct("doc_id", "uid", "pos", "text_key")
-    first = stored(places.groupBy("line").agg(F.min(place).alias("place"), F.first("quarters").alias("quarters")), "first-lines")
     gone = _near_lines(docs, first, least_words).withColumn("near", F.lit(True))
     firsts = first.join(gone, "line", "left").select(F.col("place.uid").alias("uid"), F.col("place.pos").alias("pos"), F.coalesce("near", F.lit(False)).alias("near"))
     counts = places.groupBy("uid").agg(F.count("*").alias("n_lines"))

@@ -31,3 +31,22 @@ def test_lines_of_any_length(spark):
         equal = a in lines[:i]
         near = any(is_near(a, b) and max(len(a), len(b)) >= 8 for b in lines[:i])
         assert got[i] == (int(equal), int(near and not equal)), (i, len(a))
+
+
+def test_different_lines_of_one_hash_are_told_apart(spark, monkeypatch):
+    """With a first hash that only counts characters, equal and near lines are the same as with the real one."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from matchloom.llm import line_dedup
+
+    rnd = random.Random(2)
+    line = lambda n: " ".join(f"w{rnd.randrange(30):02}" for _ in range(n))
+    lines = [line(rnd.choice([1, 2, 9, 9, 14])) for _ in range(50)]
+    texts = ["\n".join(rnd.choice(lines) for _ in range(rnd.choice([0, 1, 4]))) for _ in range(60)] + [x.replace("w1", "w2", 1) for x in lines]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = lambda: sorted(map(str, line_dedup.deduplicated(docs, with_text=False).collect()))
+    want = rows()
+    monkeypatch.setattr(line_dedup, "_lane", lambda plain: F.length(plain).cast("long"))
+    assert rows() == want and "n_equal=0" in str(want)
