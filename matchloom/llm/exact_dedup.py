@@ -90,7 +90,7 @@ def exact_duplicates(docs: DataFrame, chunk_bits: int = 11) -> DataFrame:
 
     Texts are equal when identical after lower-casing A-Z; null counts as empty. Of equal texts the row
     with the largest doc_id stays, and of several rows with that doc_id exactly one; a null doc_id is
-    the smallest. Other columns are ignored.
+    the smallest. Other columns are ignored. A text of any length is taken whole, as chunks; no rows give no rows.
     """
     rows = recipes(docs, chunk_bits)
     groups = rows.groupBy("recipe").agg(F.max(F.struct("doc_id", "uid")).alias("keep"), F.count("*").alias("group_size"))

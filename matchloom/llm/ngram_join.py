@@ -371,7 +371,7 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     Words are lower-cased in A-Z. A document's set is its distinct runs of `width` words, or the whole sequence if shorter; null, empty or blank
     texts have an empty set and are linked with nothing. Repeated rows are rows of their own. leads marks one
     document of each component: one with that doc_id. A null doc_id is passed over unless there is no other. Very long texts are taken whole; columns
-    besides doc_id and text are not read. percent: 67 or more, as below it two linked documents need not share neighbouring tokens.
+    besides doc_id and text are not read, and no rows give no rows. percent: 67 or more, as below it two linked documents need not share neighbouring tokens.
     """
     if percent < 67:
         raise ValueError("percent must be 67 or more")

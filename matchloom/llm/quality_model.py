@@ -165,7 +165,8 @@ def judged(docs: DataFrame, labels: DataFrame, host: Column, path: Column, most_
 
     Null texts count as empty; a null host or path is a site of its own, the one of an empty name; repeated rows are rows of their own, and their label counts
     for each. Texts of any length are taken whole; other columns of docs are not read unless host or path do. Without labels every
-    document is kept. use_labels False: the site levels see the evidence only.
+    document is kept, and no documents give no rows. The regression is fitted on labels of the sampled documents, so for these only the site
+    levels are without their own label. use_labels False: the site levels see the evidence only.
     """
     weights, intercepts = train(docs, labels, most_rows)
     sited = docs.select("doc_id", "text", F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))

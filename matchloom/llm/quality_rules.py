@@ -102,7 +102,7 @@ def judged(docs: DataFrame, **limits) -> DataFrame:
     """One row per document: uid, doc_id, host, text_key (xxhash64 of the text), the counts, base_failed, removed_words (in boilerplate lines) and kept.
 
     A null text has no words and fails; a null source is a host of its own. Repeated rows are rows of their own and count as one text.
-    Texts are taken whole at any length, and columns besides doc_id, text and source are not read.
+    Texts are taken whole at any length, columns besides doc_id, text and source are not read, and no rows give no rows.
     base_failed: under 20 words, or over 30 % of the words in 8-word windows that the text repeats. removed_lines: the places of the
     boilerplate lines, from 0, joined by commas.
     limits: a line is boilerplate in over most_docs (10) texts of its host and over most_share (0.01) of them; least_words (20) and

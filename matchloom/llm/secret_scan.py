@@ -279,7 +279,8 @@ def scanned(docs: DataFrame, most_rows: int = 20_000, least_total: float = 25.0,
 
     Spans are kind:start:end in code points, end exclusive, by start and then kind. A null text counts as empty. A stretch of key characters
     is a markov span if its log-likelihood ratio is least_total and least_mean for each character, or more (see stretches), unless every character of it
-    is in spans of the fixed patterns. Repeated rows are rows of their own; texts of any length are taken whole, and columns besides doc_id and text are not read.
+    is in spans of the fixed patterns. Repeated rows are rows of their own; texts of any length are taken whole, columns besides doc_id and text are not read, and
+    no rows give no rows.
     """
     ratio = train(docs, most_rows)
     kind = "doc_id long, n_assign long, n_access long, n_hex long, n_markov long, base_sha256 string, spans string"

@@ -98,7 +98,7 @@ def shard_rows(docs: DataFrame, shards: int = 8) -> DataFrame:
 
     A null text counts as empty, of size 1. Repeated rows are rows of their own and share a shard. Slots are gapless
     from 0 in each shard, in the order of a hash of doc_id. With fewer groups than shards the last
-    shards stay empty. A text of any length counts whole, and a group larger than all others alone sets the capacity; columns besides doc_id and text are not read.
+    shards stay empty. A text of any length counts whole, and a group larger than all others alone sets the capacity; columns besides doc_id and text are not read, and no rows give no rows.
     """
     text = F.coalesce("text", F.lit(""))
     rows = stored(

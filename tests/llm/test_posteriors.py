@@ -91,3 +91,18 @@ def test_sample_is_bounded_in_rows_and_bytes(spark):
     whole = sample(1000, 10**9)
     assert len(whole) == 500 and all(r["text"].endswith("0") for r in whole)
     assert 10 < len(sample(40, 10**9)) < 90 and 10 < len(sample(1000, 40_000)) < 90
+
+
+def test_columns_of_clashing_names_and_empty_tables(spark):
+    """Columns of docs and labels that are named as those the operator makes change nothing; no documents or no labels are no error."""
+    rnd = random.Random(6)
+    good, bad = [f"fine{i}" for i in range(40)], [f"spam{i}" for i in range(40)]
+    rows = [(i, " ".join(rnd.choice(good if i % 3 else bad) for _ in range(30)), f"h{i % 4}", None if i % 7 else "p") for i in range(200)] + [(500, None, None, None), (501, "", "h1", "p"), (None, "fine1 fine2", "h1", "p")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 3 == 0)) for i in range(0, 200, 2)], "doc_id long, quality int, toxic int")
+    clash = ["quality", "toxic", "host", "path", "score_quality", "evidence_toxic", "p_quality", "kept", "features", "site_toxic", "uid"]
+    of = lambda d, l: sorted(map(str, quality_model.judged(d, l, F.col("source"), F.col("lang")).collect()))
+    want = of(docs, labels)
+    assert len(want) == len(rows)
+    assert of(docs.select("*", *[F.lit("x").alias(c) for c in clash]), labels.select("*", *[F.lit("y").alias(c) for c in ("text", "source", "lang", "host", "kept")])) == want
+    assert of(docs.limit(0), labels) == [] and len(of(docs, labels.limit(0))) == len(rows)
