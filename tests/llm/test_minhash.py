@@ -24,11 +24,6 @@ def test_cases_without_words(spark):
     assert got(spark, rows) == brute(rows, 85)
 
 
-def test_empty_table(spark):
-    none = spark.createDataFrame([], "doc_id long, text string")
-    assert minhash.near_duplicates(none).count() == 0 and minhash.keep_one(none).columns == none.columns
-
-
 def edited(rnd, words, text, times):
     text = list(text)
     for _ in range(times):
@@ -104,4 +99,4 @@ def test_near_group_gives_no_pairs(spark):
     signed = minhash.stored(docs.mapInArrow(lambda it: minhash._sign(it, 5), minhash._COLUMNS), "test-signatures")
     found = minhash.links(docs, signed.dropDuplicates(["set_one", "set_two"]).drop("set_one", "set_two"), 5, 85, 1e-6)
     assert 1000 <= found.count() < 3000
-    assert minhash.near_duplicates(docs).select("component_id").distinct().count() == 1
+    assert found.selectExpr("explode(array(a, b)) AS uid").distinct().count() == 1001
