@@ -138,8 +138,8 @@ class LedgerStore:
 
     def insert_or_ignore(self, rows: DataFrame, order: list[Column]) -> DataFrame:
         """Adds the rows with ids that the ledger does not have, of several with one id the first by `order`; the added rows. Columns that
-        rows lack are null."""
-        first = ledger.insert_or_ignore(rows.select("match_id").limit(0), rows, order)
+        rows lack are null; rows without an id are none."""
+        first = ledger.insert_or_ignore(rows.select("match_id").limit(0), rows.filter("match_id is not null"), order)
         top = f"{self.folder}/data/{versions.new_run()}"
         first.write.parquet(f"{top}/first")  # once: the rows are asked for several times
         first = self.spark.read.schema(first.schema).parquet(f"{top}/first")

@@ -11,7 +11,8 @@ from ..sources.fact_store import FactStore
 
 def fold(spark: SparkSession, landing: str, patches: DataFrame, out: str, checkpoint: str, fact=facts.players) -> None:
     """Reads the shards that are new since the last call and appends their rows to the fact at `out`, by patch. The release table is static:
-    after a change to it, publish the facts anew, or use fold_into and restate the store. Exactly once, by the checkpoint and the sink's own log."""
+    after a change to it, publish the facts anew, or use fold_into and restate the store, also for more
+    releases than asof broadcasts. Exactly once, by the checkpoint and the sink's own log."""
     raw = spark.readStream.schema(schemas.RAW).option("mode", "FAILFAST").json(landing)
     writer = fact(raw, patches).writeStream.format("parquet").partitionBy("patch").option("path", out)
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).outputMode("append").start().awaitTermination()

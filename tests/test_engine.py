@@ -495,6 +495,7 @@ def test_new_ids_are_added_without_a_look_at_the_ledger(spark, tmp_path):
     same(added, want, *added.columns)
     assert added.count() == 60 and store.read().count() == 460 and store.read().select("match_id").distinct().count() == 460
     assert store.insert_or_ignore(fresh, [F.col("label")]).count() == 0 and store.version == 2
+    assert store.insert_or_ignore(spark.createDataFrame([(None, "pro", "b", 1)], kind), [F.col("label")]).count() == 0
     for i in range(3):  # further runs, which are then written as one
         assert store.insert_or_ignore(spark.createDataFrame([(1000 + i, "pro", "b", 1), (3, "pro", "b", 1)], kind), [F.col("label")]).count() == 1
     rows = store.read().collect()
