@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import io
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from . import schemas
-from .shards import ShardSource
+from . import schemas, shards
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -44,9 +46,23 @@ def scan_raw(spark: SparkSession, paths, partitions: int | None = None) -> DataF
 
 
 def scan_shards(spark: SparkSession, folder: str, most: int | None = None, give: str = "records") -> DataFrame:
-    """The rows of shards.ShardSource: records of the *.gz shards in the folder and those inside it, and a row for each shard. Each shard is read once."""
-    spark.dataSource.register(ShardSource)
-    reader = spark.read.format(ShardSource.name()).option("give", give)
+    """The rows of shards.ShardSource: records of the *.gz shards in the folder and those inside it, and a row for each shard. Each shard is read once. In a store that
+    only Spark can open a shard comes as one value, of 2 GB at most, and shards without a byte are passed over."""
+    try:
+        shards.store_of(folder)
+    except pa.ArrowInvalid:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", True).load(folder)
+        if give == "names":
+            return files.select(F.col("path").alias("file"), *[F.lit(None).cast(t).alias(c) for c, t in (("record", "string"), ("reason", "string"), ("records", "long"))], F.col("length").alias("bytes"))
+
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                    yield from shards.shard_batches(name, io.BytesIO(content.as_buffer()), most, give == "records")
+
+        return files.select("path", "content").mapInArrow(read, "file string, record string, reason string, records long, bytes long")
+    spark.dataSource.register(shards.ShardSource)
+    reader = spark.read.format(shards.ShardSource.name()).option("give", give)
     return (reader.option("most", most) if most else reader).load(folder)
 
 

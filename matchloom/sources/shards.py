@@ -100,6 +100,17 @@ def read_shard(stream, most: int | None = None, give: bool = True) -> Iterator[l
     yield reason, 0 if reason else records, source.n
 
 
+def status_batch(name: str, records: list[bytes | None], reason: str | None, n: int | None, size: int | None) -> pa.RecordBatch:
+    """Rows of one shard: its records, or its own row where the record is None."""
+    columns = [[name] * len(records), [None if r is None else r.decode("utf-8", "replace") for r in records], *([x] * len(records) for x in (reason, n, size))]
+    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, _KINDS.values(), strict=True)], names=list(_KINDS))
+
+
+def shard_batches(name: str, stream, most: int | None, give: bool) -> Iterator[pa.RecordBatch]:
+    for x in read_shard(stream, most, give):
+        yield status_batch(name, x, None, None, None) if isinstance(x, list) else status_batch(name, [None], *x)
+
+
 class Shards(InputPartition):
     """Shards of one task: name and size of each."""
 
@@ -128,18 +139,12 @@ class ShardReader(DataSourceReader):
 
     def read(self, partition: Shards) -> Iterator[pa.RecordBatch]:
         store, _, before = store_of(self.folder)
-        batch = lambda name, records, reason, n, size: pa.record_batch(
-            [pa.array([name] * len(records)), pa.array([None if r is None else r.decode("utf-8", "replace") for r in records], pa.string()), *(pa.array([x] * len(records), t) for x, t in ((reason, pa.string()), (n, pa.int64()), (size, pa.int64())))],
-            names=list(_KINDS),
-        )
         for path, size in partition.files:
-            name = before + path
             if self.mode == "names":
-                yield batch(name, [None], None, None, size)
+                yield status_batch(before + path, [None], None, None, size)
                 continue
             with store.open_input_stream(path, compression=None) as stream:
-                for x in read_shard(stream, self.most, self.mode == "records"):
-                    yield batch(name, x, None, None, None) if isinstance(x, list) else batch(name, [None], *x)
+                yield from shard_batches(before + path, stream, self.most, self.mode == "records")
 
 
 class ShardSource(DataSource):

@@ -403,6 +403,20 @@ def test_shards_are_read_once_and_to_a_limit(spark, tmp_path):
         list(shards.read_shard(Failing()))
 
 
+def test_shards_of_a_store_that_only_spark_opens(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    from matchloom.sources import shards
+
+    whole = gzip.compress(b'{"id": 1}\n' * 900)
+    for name, data in (("a.gz", whole), ("b.gz", whole[:-9]), ("c.gz", b"plain")):
+        (tmp_path / name).write_bytes(data)
+    of = lambda: {(m, g): sorted(str(r[1:]) for r in landing.scan_shards(spark, str(tmp_path), m, g).collect()) for m, g in ((None, "records"), (7, "records"), (None, "health"), (None, "names"))}
+    want = of()
+    monkeypatch.setattr(shards, "store_of", lambda folder: (_ for _ in ()).throw(pa.ArrowInvalid("Unrecognized filesystem type")))
+    assert of() == want and len(want[None, "records"]) == 903 and len(want[7, "records"]) == 17
+
+
 def test_landing_summary_is_the_sum_of_the_files(spark, tmp_path):
     rows = spark.range(5000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x"))
     for _ in range(3):
