@@ -501,7 +501,7 @@ def test_stored_ledger_writes_touched_buckets_only(spark, tmp_path):
 def test_new_ids_are_added_without_a_look_at_the_ledger(spark, tmp_path):
     import shutil
 
-    store, full = stored_ledger(spark, str(tmp_path / "ledger"))
+    store, full = stored_ledger(spark, str(tmp_path / "ledger"), 400, 8)
     kind = "match_id bigint, source string, label string, start_time bigint"
     fresh = spark.createDataFrame([(i, "pro", label, i) for i in range(350, 460) for label in ("z", "a")], kind)
     want = ledger.insert_or_ignore(full.select("match_id"), fresh, [F.col("label")])
