@@ -80,9 +80,9 @@ def _exprs(fields: dict[str, str]) -> list:
     return [F.expr(e).alias(n) for n, e in fields.items()]
 
 
-def raw(spark: SparkSession, sf: str, match: tuple | None = None, player: tuple | None = None, stats: tuple | None = None) -> DataFrame:
+def raw(spark: SparkSession, sf: str, match: tuple | None = None, player: tuple | None = None, stats: tuple | None = None, by_id: bool = False) -> DataFrame:
     """Nested matches: one per order that has lines. match, player, stats: the fields to make at either level (None: all; id always; no stats for an empty
-    tuple). Only the lines' own columns are shuffled; records are made after that."""
+    tuple). Only the lines' own columns are shuffled; records are made after that. by_id: each partition ascends by id, by a sort before records are made."""
     wanted = lambda have, want: have if want is None else {k: have[k] for k in have if k in want}
     match_fields = {"id": MATCH["id"]} | wanted(MATCH, match)
     inner, lists = wanted(PLAYER, player), wanted(_STATS, stats)
@@ -94,6 +94,7 @@ def raw(spark: SparkSession, sf: str, match: tuple | None = None, player: tuple
         inner = inner | {"stats": f"CASE WHEN o_orderkey % 20 <> 0 THEN named_struct({of(lists)}) END"}
     record = re.sub(r"\bl_", "x.l_", f"named_struct({of(inner)})")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = joined.sortWithinPartitions("o_orderkey") if by_id else joined
     return joined.select(*_exprs(match_fields), F.expr(f"transform(lines, x -> {record})").alias("players"))
 
 

@@ -7,13 +7,29 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas, shards
 
+#: Folders that a task of a partitioned write has open at once; rows of further ones are sorted.
+OPEN_FOLDERS = 32
+
+
+@contextmanager
+def unsorted_folders(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes in here put each row into its folder as it comes: no task sorts (and spills) its rows by folder first, unless it has more folders than can be open."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, OPEN_FOLDERS)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """This application's folder under spark.checkpoint.dir. Where that is unset, a temporary folder serves in local mode only: on a cluster every machine
@@ -80,10 +96,10 @@ def scan_healthy(spark: SparkSession, folder: str, partitions: int | None = None
     return lines.select(F.from_json("record", schemas.RAW, {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 
-def landing_summary(spark: SparkSession, folder: str) -> DataFrame:
-    """shards, bytes: their number and the sum of their sizes, of which nothing is read."""
+def landing_summary(spark: SparkSession, folder: str, shard: Column | None = None) -> DataFrame:
+    """shards, bytes: their number and the sum of their sizes, of which nothing is read. shard: the name of a file's shard, where shards come in pieces."""
     names = scan_shards(spark, folder, give="names")
-    return names.agg(F.count("*").alias("shards"), F.coalesce(F.sum("bytes"), F.lit(0).cast("long")).alias("bytes"))
+    return names.agg((F.count("*") if shard is None else F.countDistinct(shard)).alias("shards"), F.coalesce(F.sum("bytes"), F.lit(0).cast("long")).alias("bytes"))
 
 
 def _files(spark: SparkSession, folder: str):
