@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.asof import asof
 from . import versions
+from .landing import unsorted_folders
 
 
 def changed_intervals(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -54,7 +55,8 @@ class FactStore:
     def _write(self, rows: DataFrame, run: str) -> dict[str, str]:
         """Writes rows as a run; the folder of each release that has rows."""
         top = f"{self.folder}/data/{run}"
-        rows.withColumn("part", _part(F.col("patch"))).write.partitionBy("part").option("compression", "zstd").parquet(top)
+        with unsorted_folders(self.spark):
+            rows.withColumn("part", _part(F.col("patch"))).write.partitionBy("part").option("compression", "zstd").parquet(top)
         found = self.spark.read.schema("patch string, part string").parquet(top).groupBy("patch", "part").count().collect()  # a row for each release
         return {r["patch"]: r["part"] for r in found}
 

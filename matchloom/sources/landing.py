@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from . import schemas, shards
 
+#: How shards are written: at level 3 a shard takes less time than its records do.
+GZIP = {"compression": "gzip", "zlib.compress.level": "THREE"}
 #: Folders that a task of a partitioned write has open at once; rows of further ones are sorted.
 OPEN_FOLDERS = 32
 
@@ -54,10 +56,10 @@ def drop_shared(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def scan_raw(spark: SparkSession, paths, partitions: int | None = None) -> DataFrame:
+def scan_raw(spark: SparkSession, paths, partitions: int | None = None, player: tuple | None = None) -> DataFrame:
     """Landed matches under the pinned schema; a value of another type fails the read. Gzip shards are not split, so
-    give partitions to deal the rows out after the scan."""
-    rows = spark.read.schema(schemas.RAW).option("mode", "FAILFAST").json(paths)
+    give partitions to deal the rows out after the scan. player: the fields of players that are wanted; as with columns, Spark takes no others apart."""
+    rows = spark.read.schema(schemas.RAW if player is None else schemas.with_player(player)).option("mode", "FAILFAST").json(paths)
     return rows.repartition(partitions) if partitions else rows
 
 
@@ -121,7 +123,7 @@ def write_landing(rows: DataFrame, folder: str) -> bool:
     aside = f"{folder.rstrip('/')}-aside-{uuid.uuid4().hex}"
     fs, path = _files(spark, aside)
     try:
-        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.option("compression", "gzip").json(aside)
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.options(**GZIP).json(aside)
         if not seen.get["n"]:
             return False
         fs.mkdirs(path(folder))
@@ -145,12 +147,12 @@ def scan_item_constants(texts: DataFrame, column: str = "value") -> DataFrame:
 
 
 def write_dimension(df: DataFrame, path: str) -> bool:
-    """A small table as one file; what stands there stays if there are no rows. Rows are computed once."""
+    """A table that replaces another as a whole, a file of each task that has rows; what stands there stays if there are no rows. Rows are computed once."""
     spark, seen = df.sparkSession, Observation()
     aside = f"{path.rstrip('/')}-aside-{uuid.uuid4().hex}"
     fs, of = _files(spark, aside)
     try:
-        df.coalesce(1).observe(seen, F.count(F.lit(1)).alias("n")).write.option("compression", "zstd").parquet(aside)
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.option("compression", "zstd").parquet(aside)
         if seen.get["n"]:
             _replace(fs, of, {path: aside})
         return bool(seen.get["n"])
@@ -163,8 +165,9 @@ def read_dimension(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def write_fact(df: DataFrame, path: str) -> None:
-    """Parquet by patch. Rows of a patch are dealt over tasks by Spark, so a patch with most rows is no single task."""
-    df.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "static").partitionBy("patch").parquet(path)
+    """Parquet by patch. Rows of a patch are dealt over tasks by Spark, so a patch with most rows is no single task; a task writes them as they come, without a sort."""
+    with unsorted_folders(df.sparkSession):
+        df.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "static").partitionBy("patch").parquet(path)
 
 
 def read_fact(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -27,6 +27,15 @@ RAW = (
     "lobbyType string, gameMode string, rank bigint, parsedDateTime bigint, leagueId bigint, seriesId bigint, radiantTeamId bigint,"
     f"direTeamId bigint, firstBloodTime bigint, towerStatusRadiant bigint, towerStatusDire bigint, players array<{PLAYER}>"
 )
+
+
+def with_player(fields: tuple) -> T.StructType:
+    """RAW, with the given fields of players only."""
+    whole = T.StructType.fromDDL(RAW)
+    players = T.ArrayType(T.StructType([f for f in whole["players"].dataType.elementType.fields if f.name in fields]))
+    return T.StructType([T.StructField(f.name, players) if f.name == "players" else f for f in whole.fields])
+
+
 PATCHES = ("name string, start_ts bigint, source string")
 VERSIONS = ("id bigint, name string, asOfDateTime bigint")
 ITEMS_META = (

@@ -78,6 +78,10 @@ def read_shard(stream, most: int | None = None, give: bool = True) -> Iterator[l
         if most is not None:
             found = list(islice(_lines(source), most))
             records = len(found)
+        elif give:
+            with gzip.GzipFile(fileobj=source, mode="rb") as f:
+                while f.read(1 << 20):
+                    pass
         else:
             for _ in _lines(source):
                 records += 1
@@ -86,9 +90,10 @@ def read_shard(stream, most: int | None = None, give: bool = True) -> Iterator[l
     if reason is None and give:
         if kept is not None:
             kept.seek(0)
-        held, size = [], 0
+        held, size, records = [], 0, 0
         for line in _lines(kept) if kept is not None else found:
             held.append(line)
+            records += 1
             size += len(line)
             if size >= BATCH_BYTES or len(held) >= BATCH_RECORDS:
                 yield held

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import facts
 from ..sources import schemas
 from ..sources.fact_store import FactStore
+from ..sources.landing import unsorted_folders
 
 
 def fold(spark: SparkSession, landing: str, patches: DataFrame, out: str, checkpoint: str, fact=facts.players) -> None:
@@ -15,7 +16,8 @@ def fold(spark: SparkSession, landing: str, patches: DataFrame, out: str, checkp
     releases than asof broadcasts. Exactly once, by the checkpoint and the sink's own log."""
     raw = spark.readStream.schema(schemas.RAW).option("mode", "FAILFAST").json(landing)
     writer = fact(raw, patches).writeStream.format("parquet").partitionBy("patch").option("path", out)
-    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).outputMode("append").start().awaitTermination()
+    with unsorted_folders(spark):  # the stream takes the session's settings when it starts
+        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).outputMode("append").start().awaitTermination()
 
 
 def fold_into(store: FactStore, landing: str, patches: DataFrame, checkpoint: str, fact=facts.players) -> None:

@@ -6,7 +6,9 @@ from collections import defaultdict
 
 import pytest
 
-from matchloom.plans import queries
+from matchloom.operators import asof
+from matchloom.plans import derive, queries
+from matchloom.sources import landing
 
 from .test_queries import folder  # noqa: F401  the small tables
 
@@ -30,3 +32,49 @@ def test_shards_come_in_pieces(several, folder):  # noqa: F811
     for r in several.read.parquet(f"{folder}/lineitem.parquet").select("l_orderkey").distinct().collect():
         ids[f"{'new' if r[0] % 3 else 'old'}/{r[0] % 4}"].append(r[0])
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v)[:3] for k, v in ids.items()}
+
+
+def test_a_dimension_has_no_single_writer(several, tmp_path):
+    rows = several.range(400).groupBy("id").count()
+    landing.write_dimension(rows, str(tmp_path / "dim"))
+    assert len(glob.glob(f"{tmp_path}/dim/*.parquet")) > 1 and several.read.parquet(str(tmp_path / "dim")).count() == 400
+
+
+def test_a_fact_is_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """The setting holds while a fact is written and not beyond it."""
+    key, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(key)
+    rows = spark.range(100).selectExpr("id", "concat('1.', id % 40) AS patch")  # more releases than folders that can be open
+    monkeypatch.setattr(landing, "unsorted_folders", lambda s, f=landing.unsorted_folders: (seen.append(1), f(s))[1])
+    landing.write_fact(rows, str(tmp_path / "fact"))
+    assert seen and spark.conf.get(key) == before
+    assert sorted(landing.read_fact(spark, str(tmp_path / "fact"), rows.schema).collect()) == sorted(rows.collect())
+
+
+def test_team_matches_join_lines_once(spark, folder):  # noqa: F811
+    plan = derive.team_matches(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftSemi") == 1
+
+
+def test_fixed_entries_are_those_that_were_made(spark):
+    rows = spark.range(-1, 20).selectExpr("CAST(id AS INT) AS l_linenumber", "id * 5 AS l_partkey")
+    for name, entry in (("campStack", "CAST(k AS BIGINT)"), ("killEvents", "named_struct('time', CAST(100 * k - 150 AS BIGINT))")):
+        made = derive._ENTRIES.format(entry)
+        where = "l_partkey % 11 <> 0" if name == "campStack" else "l_partkey % 13 > 1"
+        both = rows.filter(where).selectExpr(f"{derive._STATS[name]} AS got", f"{made} AS want").collect()
+        assert both and all(r["got"] == r["want"] for r in both)
+
+
+def test_fields_of_players_are_pinned_alone(spark, tmp_path):
+    spark.createDataFrame([('{"id":1,"players":[{"heroId":3,"isRadiant":true,"stats":{"campStack":[1]}},{"isRadiant":false}]}',)], "value string").write.text(str(tmp_path / "x"))
+    rows = landing.scan_raw(spark, str(tmp_path / "x"), player=("isRadiant",)).select("id", "players").collect()
+    assert [(r["id"], [p.asDict() for p in r["players"]]) for r in rows] == [(1, [{"isRadiant": True}, {"isRadiant": False}])]
+
+
+def test_many_targets_meet_one_row_for_each_time(spark, monkeypatch):
+    monkeypatch.setattr(asof, "MOST_BROADCAST", 0)
+    met = []
+    monkeypatch.setattr(asof, "_beside", lambda small, timed, f=asof._beside: (met.append(timed.count()), f(small, timed))[1])
+    rows = spark.createDataFrame([(k, k % 3 * 100) for k in range(300, 0, -1)], "id bigint, t bigint")
+    got = asof.nearest(spark.createDataFrame([(40,), (60,), (150,), (999,), (None,)], "target bigint"), rows, "target", "t", "id").collect()
+    assert met == [3] and sorted((r["target"], r["id"], r["distance"]) for r in got) == [(40, 3, 40), (60, 1, 40), (150, 1, 50), (999, 2, 799)]
