@@ -41,13 +41,24 @@ PLAYER = {
     **{f"backpack{k}Id": f"(l_partkey + {100 + k}) % 2000" for k in range(3)}, "neutral0Id": "(l_partkey + 200) % 2000",
 }
 _ENTRIES = "transform(sequence(0, l_linenumber - 1), k -> {})"
-_SPARSE = "CASE WHEN l_partkey % 13 = 0 THEN NULL WHEN l_partkey % 13 = 1 THEN array() ELSE " + _ENTRIES + " END"
+
+
+def _entries(entry: str) -> str:
+    """Entries that depend on their places k alone: the first of a fixed list, where it is long enough, instead of being made for every player."""
+    fixed = "array(" + ", ".join(re.sub(r"\bk\b", str(k), entry) for k in range(8)) + ")"
+    return f"CASE WHEN l_linenumber BETWEEN 1 AND 8 THEN slice({fixed}, 1, l_linenumber) ELSE {_ENTRIES.format(entry)} END"
+
+
+def _sparse(entry: str) -> str:
+    return f"CASE WHEN l_partkey % 13 = 0 THEN NULL WHEN l_partkey % 13 = 1 THEN array() ELSE {_entries(entry)} END"
+
+
 _STATS = {
     "itemPurchases": _ENTRIES.format("named_struct('itemId', (l_partkey + 7 * k) % 2000, 'time', CAST(90 * k - 79 AS BIGINT))"),
-    "campStack": "CASE WHEN l_partkey % 11 = 0 THEN array() ELSE " + _ENTRIES.format("CAST(k AS BIGINT)") + " END",
-    "runes": _SPARSE.format("named_struct('rune', concat('r', CAST(k AS STRING)), 'time', CAST(120 * k AS BIGINT))"),
-    "wardDestruction": _SPARSE.format("named_struct('time', CAST(60 * k AS BIGINT), 'isWard', CASE WHEN k % 3 = 0 THEN NULL ELSE k % 3 = 1 END)"),
-    "killEvents": _SPARSE.format("named_struct('time', CAST(100 * k - 150 AS BIGINT))"),
+    "campStack": f"CASE WHEN l_partkey % 11 = 0 THEN array() ELSE {_entries('CAST(k AS BIGINT)')} END",
+    "runes": _sparse("named_struct('rune', concat('r', CAST(k AS STRING)), 'time', CAST(120 * k AS BIGINT))"),
+    "wardDestruction": _sparse("named_struct('time', CAST(60 * k AS BIGINT), 'isWard', CASE WHEN k % 3 = 0 THEN NULL ELSE k % 3 = 1 END)"),
+    "killEvents": _sparse("named_struct('time', CAST(100 * k - 150 AS BIGINT))"),
 }
 START = "unix_seconds(CAST(o_orderdate AS TIMESTAMP))"
 SUMMARY = {
@@ -146,10 +157,11 @@ def league_matches(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def team_matches(spark: SparkSession, sf: str) -> DataFrame:
-    rows = league_matches(spark, sf)
-    sides = [rows.select(F.col(f"{s}_team_id").alias("team_id"), "match_id", "start_time") for s in ("radiant", "dire")]
-    return sides[0].union(sides[1]).distinct()
+def team_matches(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
+    """A row for each team of a match. Orders and lines are joined once: a match gives both its teams, or its one. rows: the league matches, if they are made already."""
+    teams = F.array_distinct(F.array("radiant_team_id", "dire_team_id"))
+    rows = league_matches(spark, sf) if rows is None else rows
+    return rows.select(F.explode(teams).alias("team_id"), "match_id", "start_time").distinct()
 
 
 #: The same tables for DuckDB.
