@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import SECONDS_PER_DAY
+from ..sources import landing
 
 #: Releases and days of up to so many are broadcast; beyond, both sides are merged.
 MOST_BROADCAST = 20_000
@@ -110,6 +111,13 @@ def asof_merged(rows: DataFrame, patches: DataFrame, time: str = "startDateTime"
     return joined.select("row.*", F.col("release.name").alias("__name")).withColumn(name, F.col("__name")).drop("__name")
 
 
+def _kept(rows: DataFrame, name: str) -> DataFrame:
+    """rows, written once and read back."""
+    path = landing.shared_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def nearest(targets: DataFrame, rows: DataFrame, target: str, time: str, key: str) -> DataFrame:
     """Each target time with the row closest in time, the one with the lower key if two are as close: targets' columns, key, distance. Targets
     without a time drop out, as do all where there are no rows.
@@ -122,7 +130,11 @@ def nearest(targets: DataFrame, rows: DataFrame, target: str, time: str, key: st
     if not bounds["n"]:
         return targets.select(*targets.columns, F.lit(None).cast(rows.schema[key].dataType).alias(key), F.lit(None).cast("long").alias("distance")).limit(0)
     timed = rows.filter(F.col(time).isNotNull()).select(F.col(time).cast("long").alias("time"), F.col(key).alias("key"))
+    timed = timed.groupBy("time").agg(F.min("key").alias("key"))  # of the rows at one time only that with the lowest key can be nearest
     few = bounds["last"] // SECONDS_PER_DAY - bounds["first"] // SECONDS_PER_DAY + bounds["n"] <= MOST_BROADCAST
+    if not few:  # read four times
+        targets, timed = _kept(targets, "targets"), _kept(timed, "times")
+        small = _kept(targets.select(F.col(target).cast("long").alias("t")).filter("t is not null").distinct(), "distinct-targets")
     filled = _between_days(small, timed, bounds) if few else _beside(small, timed)
     hit = lambda distance, k: F.when(distance.isNotNull(), F.struct(distance.alias("distance"), k.alias("key")))
     best = F.least(hit(F.col("after.time") - F.col("t"), F.col("after.key")), hit(F.col("t") - F.col("before.time"), -F.col("before.key")))
