@@ -304,11 +304,17 @@ def links(sets: DataFrame, percent: int = 75) -> DataFrame:
     one = stored(led.groupBy("uid").agg(F.max_by("a", best).alias("a")).select("a", F.col("uid").alias("b")), "first-pairs")
     found = stored(_verified(one, near, percent), "first-links")
     labels = stored(components(found), "first-components")
-    labelled = near.select("uid", *bounds, "keys").join(labels.withColumnRenamed("node", "uid"), "uid", "left")
-    labelled = labelled.select("uid", *bounds, F.coalesce("component", "uid").alias("component"), F.explode(F.array_distinct("keys")).alias("key"))
-    several = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"), F.min(F.struct((F.col("size") - F.col("shared")).alias("own"), "uid")).alias("lead"))
-    several = several.filter("x < y").select("key", "n", F.col("lead.uid").alias("c"))
-    mixed = stored(labelled.join(several, "key"), "mixed-keys")
+    # each component has one head, which led most of its links, and the head of a key's largest component leads the key: so documents that meet in many keys are compared with one leader
+    size = labels.groupBy("component").agg(F.count("*").alias("members"))
+    led_most = found.groupBy("a").agg(F.count("*").alias("n")).join(labels.withColumnRenamed("node", "a"), "a")
+    heads = led_most.groupBy("component").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("head")).join(size, "component")
+    labelled = near.select("uid", *bounds, "keys").join(labels.join(heads, "component").withColumnRenamed("node", "uid"), "uid", "left")
+    whole = [F.coalesce("component", "uid").alias("component"), F.coalesce("members", F.lit(1)).alias("members"), F.coalesce("head", "uid").alias("head")]
+    labelled = labelled.select("uid", *bounds, *whole, F.explode(F.array_distinct("keys")).alias("key"))
+    largest = F.max_by("head", F.struct("members", -F.col("component")))
+    several = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"), largest.alias("c"))
+    several = several.filter("x < y").drop("x", "y")
+    mixed = stored(labelled.drop("members", "head").join(several, "key"), "mixed-keys")
     few = mixed.filter(F.col("n") <= RARE)
     pairs = few.alias("x").join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.uid") < F.col("y.uid")) & (F.col("x.component") != F.col("y.component")) & _possible("x", "y", percent))
     pairs = stored(pairs.select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b")).distinct(), "few-pairs")

@@ -91,3 +91,22 @@ def test_hot_tokens_and_equal_sets_are_sent_once_a_chunk(spark, monkeypatch):
     family_rows = [(i, " ".join(t)) for i, t in enumerate(family(4, 150, words))]
     family_rows += [(1000 + i, family_rows[i % 3][1]) for i in range(60)]
     assert got(spark, family_rows) == brute(family_rows)
+
+
+def test_documents_of_a_group_are_compared_with_few_leaders(spark, monkeypatch):
+    """A document is in many keys with documents of other components; what it is compared with does not grow with these."""
+    from pyspark.sql import functions as F
+
+    met = []
+    around = ngram_join._around_leaders
+
+    def counted(rows, near, percent):
+        met.append(rows.agg(F.count_distinct("c", "uid"), F.count_distinct("uid"), F.count_distinct("key")).first())
+        return around(rows, near, percent)
+
+    monkeypatch.setattr(ngram_join, "_around_leaders", counted)
+    words = [f"w{i}" for i in range(500)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(family(1, 400, words))]
+    assert got(spark, rows) == brute(rows)
+    pairs, docs, keys = met[0]
+    assert docs > 200 and keys > 20 and pairs <= 1.5 * docs, (pairs, docs, keys)
