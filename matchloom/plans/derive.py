@@ -91,22 +91,30 @@ def _exprs(fields: dict[str, str]) -> list:
     return [F.expr(e).alias(n) for n, e in fields.items()]
 
 
-def raw(spark: SparkSession, sf: str, match: tuple | None = None, player: tuple | None = None, stats: tuple | None = None, by_id: bool = False) -> DataFrame:
+def raw(spark: SparkSession, sf: str, match: tuple | None = None, player: tuple | None = None, stats: tuple | None = None, by_id: bool = False, by_line: bool = False) -> DataFrame:
     """Nested matches: one per order that has lines. match, player, stats: the fields to make at either level (None: all; id always; no stats for an empty
-    tuple). Only the lines' own columns are shuffled; records are made after that. by_id: each partition ascends by id, by a sort before records are made."""
+    tuple). Only the lines' own columns are shuffled; records are made after that. by_id: each partition ascends by id, by a sort before records are made. by_line: a player
+    is made of a line by itself, which Spark compiles, and players are put together after that; to be written within landing.in_order, or tasks sort whole players."""
     wanted = lambda have, want: have if want is None else {k: have[k] for k in have if k in want}
     match_fields = {"id": MATCH["id"]} | wanted(MATCH, match)
     inner, lists = wanted(PLAYER, player), wanted(_STATS, stats)
     used = set(re.findall(r"\bl_\w+", " ".join([*inner.values(), *lists.values()]))) | {"l_linenumber"}
-    lines = table(spark, sf, "lineitem").select("l_orderkey", F.struct(*sorted(used)).alias("line")).groupBy("l_orderkey").agg(F.collect_list("line").alias("lines"))
+    lines = table(spark, sf, "lineitem")
     orders = table(spark, sf, "orders").withColumn("start", F.expr(START))
     of = lambda fields: ", ".join(f"'{n}', {e}" for n, e in fields.items())
     if lists:
         inner = inner | {"stats": f"CASE WHEN o_orderkey % 20 <> 0 THEN named_struct({of(lists)}) END"}
-    record = re.sub(r"\bl_", "x.l_", f"named_struct({of(inner)})")
+    record = f"named_struct({of(inner)})"
+    if by_line:
+        players, record = "players", re.sub(r"\bo_orderkey\b", "l_orderkey", record)  # all that a player takes from its order
+        lines = lines.select("l_orderkey", *sorted(used - {"l_orderkey"})).repartition("l_orderkey").sortWithinPartitions("l_orderkey")
+        lines = lines.select("l_orderkey", F.expr(record).alias("player")).groupBy("l_orderkey").agg(F.collect_list("player").alias("players"))
+    else:
+        players, record = "transform(lines, x -> {})", re.sub(r"\bl_", "x.l_", record)
+        lines = lines.select("l_orderkey", F.struct(*sorted(used)).alias("line")).groupBy("l_orderkey").agg(F.collect_list("line").alias("lines"))
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     joined = joined.sortWithinPartitions("o_orderkey") if by_id else joined
-    return joined.select(*_exprs(match_fields), F.expr(f"transform(lines, x -> {record})").alias("players"))
+    return joined.select(*_exprs(match_fields), F.expr(players.format(record)).alias("players"))
 
 
 def matches(spark: SparkSession, sf: str) -> DataFrame:

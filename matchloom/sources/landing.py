@@ -19,18 +19,37 @@ from . import schemas, shards
 GZIP = {"compression": "gzip", "zlib.compress.level": "THREE"}
 #: Folders that a task of a partitioned write has open at once; rows of further ones are sorted.
 OPEN_FOLDERS = 32
+#: Shuffled bytes for a task that lands matches. What is shuffled is narrow: of so much a task makes some 120 MB of JSON, a shard of some 20 MB.
+LANDED_BYTES = 4 << 20
 
 
 @contextmanager
-def unsorted_folders(spark: SparkSession) -> Iterator[None]:
-    """Partitioned writes in here put each row into its folder as it comes: no task sorts (and spills) its rows by folder first, unless it has more folders than can be open."""
-    key = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(key)
-    spark.conf.set(key, OPEN_FOLDERS)
+def _set(spark: SparkSession, **settings) -> Iterator[None]:
+    """The session with other settings spark.sql.*, and with its own again after that."""
+    settings = {f"spark.sql.{k.replace('__', '.')}": v for k, v in settings.items()}
+    before = {k: spark.conf.get(k) for k in settings}
     try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@contextmanager
+def unsorted_folders(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes in here put each row into its folder as it comes: no task sorts (and spills) its rows by folder first, unless it has more folders than can be open."""
+    with _set(spark, maxConcurrentOutputFileWriters=OPEN_FOLDERS):
+        yield
+
+
+@contextmanager
+def in_order(spark: SparkSession) -> Iterator[None]:
+    """Lists that are collected in here come from rows in the order of their key, one key after the other: rows that are narrow when they are sorted are not sorted again when they are
+    records. Tasks are small enough that the last ones do not wait for one, and so are the shards that they write, which cannot be divided by readers."""
+    with _set(spark, execution__useObjectHashAggregateExec="false", adaptive__advisoryPartitionSizeInBytes=LANDED_BYTES):
+        yield
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -123,7 +142,8 @@ def write_landing(rows: DataFrame, folder: str) -> bool:
     aside = f"{folder.rstrip('/')}-aside-{uuid.uuid4().hex}"
     fs, path = _files(spark, aside)
     try:
-        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.options(**GZIP).json(aside)
+        with in_order(spark):
+            rows.observe(seen, F.count(F.lit(1)).alias("n")).write.options(**GZIP).json(aside)
         if not seen.get["n"]:
             return False
         fs.mkdirs(path(folder))

@@ -15,7 +15,7 @@ def fold(spark: SparkSession, landing: str, patches: DataFrame, out: str, checkp
     after a change to it, publish the facts anew, or use fold_into and restate the store, also for more
     releases than asof broadcasts. Exactly once, by the checkpoint and the sink's own log."""
     raw = spark.readStream.schema(schemas.RAW).option("mode", "FAILFAST").json(landing)
-    writer = fact(raw, patches).writeStream.format("parquet").partitionBy("patch").option("path", out)
+    writer = fact(raw, patches).writeStream.format("parquet").partitionBy("patch").option("compression", "zstd").option("path", out)
     with unsorted_folders(spark):  # the stream takes the session's settings when it starts
         writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).outputMode("append").start().awaitTermination()
 
