@@ -21,6 +21,8 @@ GZIP = {"compression": "gzip", "zlib.compress.level": "THREE"}
 OPEN_FOLDERS = 32
 #: Shuffled bytes for a task that lands matches. What is shuffled is narrow: of so much a task makes some 120 MB of JSON, a shard of some 20 MB.
 LANDED_BYTES = 4 << 20
+#: Bytes of shards for a task of a stream: half of Spark's own limit, as they become six times as many.
+READ_BYTES = 64 << 20
 
 
 @contextmanager
@@ -52,6 +54,13 @@ def in_order(spark: SparkSession) -> Iterator[None]:
         yield
 
 
+@contextmanager
+def small_reads(spark: SparkSession) -> Iterator[None]:
+    """Tasks that read in here take fewer shards each, so that a second round of few tasks does not take as long as the first."""
+    with _set(spark, files__maxPartitionBytes=READ_BYTES):
+        yield
+
+
 def shared_folder(spark: SparkSession) -> str:
     """This application's folder under spark.checkpoint.dir. Where that is unset, a temporary folder serves in local mode only: on a cluster every machine
     would write to its own."""

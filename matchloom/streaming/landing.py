@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import facts
 from ..sources import schemas
 from ..sources.fact_store import FactStore
-from ..sources.landing import unsorted_folders
+from ..sources.landing import small_reads, unsorted_folders
 
 
 def fold(spark: SparkSession, landing: str, patches: DataFrame, out: str, checkpoint: str, fact=facts.players) -> None:
@@ -16,7 +16,7 @@ def fold(spark: SparkSession, landing: str, patches: DataFrame, out: str, checkp
     releases than asof broadcasts. Exactly once, by the checkpoint and the sink's own log."""
     raw = spark.readStream.schema(schemas.RAW).option("mode", "FAILFAST").json(landing)
     writer = fact(raw, patches).writeStream.format("parquet").partitionBy("patch").option("compression", "zstd").option("path", out)
-    with unsorted_folders(spark):  # the stream takes the session's settings when it starts
+    with unsorted_folders(spark), small_reads(spark):  # the stream takes the session's settings when it starts
         writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).outputMode("append").start().awaitTermination()
 
 
@@ -24,4 +24,5 @@ def fold_into(store: FactStore, landing: str, patches: DataFrame, checkpoint: st
     """fold into a store that can be restated after a change to the release table. Exactly once: the store takes each batch by its number."""
     raw = store.spark.readStream.schema(schemas.RAW).option("mode", "FAILFAST").json(landing)
     writer = raw.writeStream.foreachBatch(lambda rows, batch: store.append(fact(rows, patches), batch))
-    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    with small_reads(store.spark):
+        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -63,3 +63,15 @@ def test_folded_files_are_zstd_as_published_ones(spark, tmp_path):
     assert list((tmp_path / "out").glob("*/*.zstd.parquet"))
     got = landing.read_fact(spark, str(tmp_path / "out"), facts.players(raw, patches).schema)
     assert sorted(map(str, got.collect())) == sorted(map(str, facts.players(raw, patches).select(*got.columns).collect()))
+
+
+def test_folds_take_few_shards_a_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "READ_BYTES", 1)  # of any two shards none go together
+    folder, patches = tables(spark, tmp_path), derive.patches(spark)
+    raw = spark.createDataFrame(derive.raw(spark, folder).collect(), derive.raw(spark, folder).schema)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for k in range(3):
+        landing.write_landing(raw.filter(F.col("id") % 3 == k).repartition(4), str(tmp_path / "raw"))
+    streaming.fold(spark, str(tmp_path / "raw"), patches, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    assert len({p.name[:10] for p in (tmp_path / "out").glob("*/*.parquet")}) == len(list((tmp_path / "raw").glob("*.gz"))) == 12
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
