@@ -113,7 +113,7 @@ def raw(spark: SparkSession, sf: str, match: tuple | None = None, player: tuple
         players, record = "transform(lines, x -> {})", re.sub(r"\bl_", "x.l_", record)
         lines = lines.select("l_orderkey", F.struct(*sorted(used)).alias("line")).groupBy("l_orderkey").agg(F.collect_list("line").alias("lines"))
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    joined = joined.sortWithinPartitions("o_orderkey") if by_id else joined
+    joined = joined.sortWithinPartitions("l_orderkey") if by_id else joined
     return joined.select(*_exprs(match_fields), F.expr(players.format(record)).alias("players"))
 
 

@@ -2,6 +2,7 @@
 
 import glob
 import json
+import zlib
 from collections import defaultdict
 
 import pytest
@@ -34,6 +35,36 @@ def test_shards_come_in_pieces(several, folder):  # noqa: F811
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v)[:3] for k, v in ids.items()}
 
 
+def test_damaged_shards_are_whole_but_no_larger_than_others(several, folder, monkeypatch):  # noqa: F811
+    """The damaged vintage has all its matches, in an order by id in each piece, in a fraction of the bytes of their JSON."""
+    paths = []
+    monkeypatch.setattr(landing, "scan_healthy", lambda spark, path, f=landing.scan_healthy: (paths.append(path), f(spark, path))[1])
+    read = {r["id"] for r in queries.scan_healthy_shards(several, folder).collect()}
+    pieces = [open(p, "rb").read() for p in glob.glob(f"{paths[0]}/old/part=*/*.gz")]
+    lines = [list(map(json.loads, zlib.decompress(p).splitlines())) for p in pieces]
+    size = sum(len(zlib.decompress(p)) for p in pieces)
+    assert 0 < 2 * sum(map(len, pieces)) < size
+    assert not any(p.startswith(b"\x1f\x8b") for p in pieces)
+    assert all(x == sorted(x, key=lambda r: r["id"]) for x in lines)
+    found = {r["id"]: len(r["players"]) for x in lines for r in x}
+    every = {r[0]: r[1] for r in several.read.parquet(f"{folder}/lineitem.parquet").groupBy("l_orderkey").count().collect()}
+    assert found == {k: n for k, n in every.items() if k % 3 == 0} and read == {k for k in every if k % 3}
+    players = [p for x in lines for r in x for p in r["players"]]
+    assert not any("award" in p or "stats" in p for p in players) and not any("leagueId" in r for x in lines for r in x)
+
+
+def test_shards_are_made_line_by_line(spark, folder, monkeypatch):  # noqa: F811
+    """Neither vintage sorts or makes whole players in lists, and the old one makes no field that it lacks."""
+    plans, raw = [], derive.raw
+    explain = lambda df: spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+    monkeypatch.setattr(derive, "raw", lambda *a, **k: plans.append((df := raw(*a, **k), explain(df))) or df)
+    queries._vintages(spark, folder)
+    assert len(plans) == 2 and all("ObjectHashAggregate" not in p and "lambda" not in p and p.count("Sort [l_orderkey") == 1 for _, p in plans)
+    fields = [set(schemas.field_paths(df.schema)) for df, _ in plans]
+    lacks = fields[0] - fields[1]
+    assert set(queries._OLD_LACKS) <= lacks and all(p in queries._OLD_LACKS or p.startswith("players.stats.") for p in lacks) and not fields[1] - fields[0]
+
+
 def test_a_dimension_has_no_single_writer(several, tmp_path):
     rows = several.range(400).groupBy("id").count()
     landing.write_dimension(rows, str(tmp_path / "dim"))
