@@ -118,12 +118,13 @@ def shard_health(spark: SparkSession, folder: str) -> DataFrame:
     return scan_shards(spark, folder, give="health").select("file", F.col("reason").isNull().alias("ok"), "reason")
 
 
-def scan_healthy(spark: SparkSession, folder: str, partitions: int | None = None) -> DataFrame:
+def scan_healthy(spark: SparkSession, folder: str, partitions: int | None = None, player: tuple | None = None) -> DataFrame:
     """Landed matches of the shards that can be read to their end: a damaged one costs its own rows and not the scan. A value of another type fails
-    the read."""
+    the read. player: the fields of players that are wanted, as in scan_raw."""
     lines = scan_shards(spark, folder).filter("record is not null").select("record")
     lines = lines.repartition(partitions) if partitions else lines
-    return lines.select(F.from_json("record", schemas.RAW, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+    schema = schemas.RAW if player is None else schemas.with_player(player)
+    return lines.select(F.from_json("record", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 
 def landing_summary(spark: SparkSession, folder: str, shard: Column | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """What no single task may hold: shards, dimensions and facts come in pieces, and rows of a fact are not sorted by release."""
 
 import glob
+import gzip
 import json
 import zlib
 from collections import defaultdict
@@ -38,7 +39,7 @@ def test_shards_come_in_pieces(several, folder):  # noqa: F811
 def test_damaged_shards_are_whole_but_no_larger_than_others(several, folder, monkeypatch):  # noqa: F811
     """The damaged vintage has all its matches, in an order by id in each piece, in a fraction of the bytes of their JSON."""
     paths = []
-    monkeypatch.setattr(landing, "scan_healthy", lambda spark, path, f=landing.scan_healthy: (paths.append(path), f(spark, path))[1])
+    monkeypatch.setattr(landing, "scan_healthy", lambda s, path, f=landing.scan_healthy, **k: (paths.append(path), f(s, path, **k))[1])
     read = {r["id"] for r in queries.scan_healthy_shards(several, folder).collect()}
     pieces = [open(p, "rb").read() for p in glob.glob(f"{paths[0]}/old/part=*/*.gz")]
     lines = [list(map(json.loads, zlib.decompress(p).splitlines())) for p in pieces]
@@ -102,6 +103,20 @@ def test_fields_of_players_are_pinned_alone(spark, tmp_path):
     assert [(r["id"], [p.asDict() for p in r["players"]]) for r in rows] == [(1, [{"isRadiant": True}, {"isRadiant": False}])]
 
 
+def test_healthy_shards_are_read_with_the_wanted_fields(spark, tmp_path, folder, monkeypatch):  # noqa: F811
+    """Only the wanted fields of players are taken apart; every player is there, also a null one."""
+    (tmp_path / "x.json.gz").write_bytes(gzip.compress(b'{"id":1,"players":[{"heroId":3,"isRadiant":true,"stats":{"campStack":[1]}},null,{}]}\n{"id":2,"players":[]}\n{"id":3}\n'))
+    rows = landing.scan_healthy(spark, str(tmp_path), player=("isRadiant",)).select("id", "players").collect()
+    assert [(r["id"], r["players"] and [p and p.asDict() for p in r["players"]]) for r in rows] == [(1, [{"isRadiant": True}, None, {"isRadiant": None}]), (2, []), (3, None)]
+    (tmp_path / "y.json.gz").write_bytes(gzip.compress(b'{"id":4,"players":[{"isRadiant":"no"}]}\n'))
+    with pytest.raises(Exception, match="(?i)malformed|cannot parse|fail"):
+        landing.scan_healthy(spark, str(tmp_path), player=("isRadiant",)).collect()
+    asked = []
+    monkeypatch.setattr(landing, "scan_healthy", lambda *a, f=landing.scan_healthy, **k: (asked.append(k), f(*a, **k))[1])
+    queries.scan_healthy_shards(spark, folder)
+    assert asked == [{"player": ("heroId",)}]
+
+
 def test_many_targets_meet_one_row_for_each_time(spark, monkeypatch):
     monkeypatch.setattr(asof, "MOST_BROADCAST", 0)
     met = []
